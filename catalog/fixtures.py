@@ -54,14 +54,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _listed(number: Column, a: int, b: int, modulus: int, below: int, odd_spelling: bool) -> Column:
     """Skills k with (number*a + k*b) % modulus < below, as a comma-separated list."""
-    known = F.array(
-        *(
-            F.struct(F.lit(k).alias("k"), F.lit(even).alias("even"), F.lit(odd).alias("odd"))
-            for k, _, _, even, odd in SKILLS
-        )
-    )
-    held = F.filter(known, lambda x: (number * a + x["k"] * b) % modulus < below)
-    spelling = lambda x: F.when((number % 2 == 1) & F.lit(odd_spelling), x["odd"]).otherwise(x["even"])
+    even, odd = (F.split(F.lit("|".join(row[i] for row in SKILLS)), r"\|") for i in (3, 4))
+    held = F.filter(F.sequence(F.lit(0), F.lit(len(SKILLS) - 1)), lambda k: (number * a + k * b) % modulus < below)
+    spelling = lambda k: F.when(
+        (number % 2 == 1) & F.lit(odd_spelling), F.element_at(odd, k + 1)
+    ).otherwise(F.element_at(even, k + 1))
     return F.array_join(F.transform(held, spelling), ", ")
 
 

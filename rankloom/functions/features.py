@@ -7,20 +7,14 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 from .text import norm_quotes
-from .vocabulary import DEFAULT_VOCABULARY, Vocabulary
+from .vocabulary import DEFAULT_VOCABULARY, Vocabulary, lookup_table
 
 
 def extract_skills(text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:
     """Sorted canonical skills that occur as whole terms, in one pass over the text."""
     hits = F.array_distinct(F.regexp_extract_all(F.lower(norm_quotes(text)), F.lit(vocab.pattern), 1))
-    table = F.create_map(
-        *(
-            part
-            for term, skills in vocab.skills_by_hit.items()
-            for part in (F.lit(term), F.array(*map(F.lit, skills)))
-        )
-    )
-    found = F.flatten(F.transform(hits, lambda hit: F.element_at(table, hit)))
+    skills_of = lookup_table({term: "|".join(skills) for term, skills in vocab.skills_by_hit.items()})
+    found = F.flatten(F.transform(hits, lambda hit: F.split(F.element_at(skills_of, hit), r"\|")))
     return F.array_sort(F.array_distinct(found))
 
 

@@ -11,7 +11,8 @@ from collections.abc import Mapping
 from itertools import groupby
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .patterns import WORD
 
@@ -149,6 +150,12 @@ def default_vocabulary() -> Vocabulary:
 DEFAULT_VOCABULARY = default_vocabulary()
 
 
+def lookup_table(entries: Mapping[str, str]) -> Column:
+    """A constant map column. One text literal, split while the plan is optimized, instead of one per entry."""
+    text = "\n".join(f"{key}\t{value}" for key, value in entries.items())
+    return F.str_to_map(F.lit(text), F.lit("\n"), F.lit("\t"))
+
+
 def skill_dimension(spark: SparkSession, vocab: Vocabulary = DEFAULT_VOCABULARY) -> DataFrame:
     """The dictionary as a table ``(skill, category)``."""
     return spark.createDataFrame(list(vocab.category_of.items()), "skill string, category string")

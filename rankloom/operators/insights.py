@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary, skill_dimension
+from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary, lookup_table, skill_dimension
 from ..runtime import is_small
 from .scoring import COMPONENTS
 
@@ -61,7 +61,7 @@ def skill_category_rollup(featured: DataFrame, vocab: Vocabulary = DEFAULT_VOCAB
     """Per skill category: mentions, and documents with at least one."""
     dim = skill_dimension(featured.sparkSession, vocab)
     # A document counts once per category, so categories are made distinct inside the row.
-    table = F.create_map(*(F.lit(part) for pair in vocab.category_of.items() for part in pair))
+    table = lookup_table(vocab.category_of)
     mentions = featured.select(F.explode("skills").alias("skill")).groupBy("skill").agg(F.count(F.lit(1)).alias("m"))
     by_mention = mentions.join(F.broadcast(dim), "skill").groupBy("category").agg(F.sum("m").alias("mentions"))
     held = F.array_distinct(F.transform("skills", lambda s: F.element_at(table, s)))
