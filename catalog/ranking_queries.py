@@ -217,12 +217,11 @@ SUBLINEAR_TF = plain(
 
 def smooth_idf(spark, sf):
     """Per pool and document frequency: the weight, and how many terms have it."""
-    documents, queries = _plain(spark, sf)
-    corpus = documents.unionByName(queries.select("jd_id", F.lit(similarity.JOB_POS).cast("bigint").alias("pos"), "text"))
-    sizes = corpus.groupBy("jd_id").agg(F.count(F.lit(1)).alias("n"))
-    tf = similarity.term_frequencies(corpus, fx.STOP_WORDS)
-    stats = similarity.term_statistics(tf, sizes, is_small(queries))
-    return stats.groupBy("jd_id", "df").agg(F.round(F.max("idf"), 6).alias("idf"), F.count(F.lit(1)).alias("terms"))
+    corpus = similarity.with_job_texts(*_plain(spark, sf))
+    counted = similarity.document_frequencies(similarity.term_frequencies(corpus, fx.STOP_WORDS))
+    sized = counted.join(similarity.corpus_sizes(corpus), "jd_id")
+    weighted = sized.withColumn("idf", similarity.smooth_idf(F.col("df"), F.col("n")))
+    return weighted.groupBy("jd_id", "df").agg(F.round(F.max("idf"), 6).alias("idf"), F.count(F.lit(1)).alias("terms"))
 
 
 SMOOTH_IDF = plain("SELECT jd_id, df, round(max(idf), 6) AS idf, count(*) AS terms FROM idf GROUP BY jd_id, df")

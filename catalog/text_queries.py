@@ -196,7 +196,7 @@ def redact_pii(spark, sf):
     line = F.concat(
         F.lit("mail: a.b+c@x-y.example, http://x.example/"), "doc_id", F.lit(" or (+91) 98765-43210 since 2019 - 2022\n"), "text"
     )
-    return _documents_with(spark, sf, text=text.redact_pii(line))
+    return text.redact_pii(_documents_with(spark, sf, text=line))
 
 
 REDACT_PII = f"""

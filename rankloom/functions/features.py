@@ -12,7 +12,9 @@ from .vocabulary import DEFAULT_VOCABULARY, Vocabulary, lookup_table
 
 def extract_skills(text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:
     """Sorted canonical skills that occur as whole terms, in one pass over the text."""
-    hits = F.array_distinct(F.regexp_extract_all(F.lower(norm_quotes(text)), F.lit(vocab.pattern), 1))
+    if any("'" in term for term in vocab.skill_of):
+        text = norm_quotes(text)
+    hits = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(vocab.pattern), 1))
     skills_of = lookup_table({term: "|".join(skills) for term, skills in vocab.skills_by_hit.items()})
     found = F.flatten(F.transform(hits, lambda hit: F.split(F.element_at(skills_of, hit), r"\|")))
     return F.array_sort(F.array_distinct(found))
@@ -20,7 +22,7 @@ def extract_skills(text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Colu
 
 def explicit_years(text: Column) -> Column:
     """Largest believable "N years of ... experience", NULL where nothing is stated."""
-    stated = F.regexp_extract_all(norm_quotes(text), F.lit(P.STATED_YEARS), 1)
+    stated = F.regexp_extract_all(text, F.lit(P.STATED_YEARS), 1)
     years = F.transform(stated, lambda n: n.cast("int"))
     return F.array_max(F.filter(years, lambda n: n <= P.LONGEST_CAREER))
 
@@ -31,7 +33,6 @@ def year_spans(text: Column, current_year: int) -> Column:
     Two extractions over the same matches: one captures what stands before the span on its line,
     the other the span and what follows it on the line.
     """
-    text = norm_quotes(text)
     near = P.SPAN_CONTEXT
     before = (
         rf"(?={P.YEAR})(?<=((?:\A|\n)[^\n]{{0,{near - 1}}}|[^\n]{{{near}}})){P.YEAR_SPAN}"
@@ -45,7 +46,7 @@ def year_spans(text: Column, current_year: int) -> Column:
         return F.struct(
             F.substring(itself, 1, 4).cast("int").alias("s"),
             F.coalesce(closing_year, F.lit(current_year)).alias("e"),
-            F.regexp_like(context, F.lit(f"{P.SCHOOLING}|{P.BACHELOR_OF_ENGINEERING}")).alias("schooling"),
+            F.regexp_like(context, F.lit(P.SCHOOLING)).alias("schooling"),
         )
 
     spans = F.zip_with(
@@ -86,19 +87,16 @@ def experience_years(text: Column, current_year: int) -> Column:
 
 def education_levels(text: Column) -> Column:
     """Sorted distinct education levels mentioned."""
-    text = norm_quotes(text)
     marks = F.array(*(F.when(F.regexp_like(text, F.lit(p)), F.lit(level)) for level, p in P.EDUCATION_PATTERNS))
     return F.array_sort(F.array_distinct(F.array_compact(marks)))
 
 
 def education_level(text: Column) -> Column:
-    """Highest level mentioned. Patterns run from the highest down and stop at the first hit."""
-    text = norm_quotes(text)
-    (top, first), *rest = P.EDUCATION_PATTERNS
-    level = F.when(F.regexp_like(text, F.lit(first)), F.lit(top))
-    for lower, pattern in rest:
-        level = level.when(F.regexp_like(text, F.lit(pattern)), F.lit(lower))
-    return level.otherwise(F.lit(0))
+    """Highest level mentioned. One test settles the texts without any; the others stop at the first hit."""
+    level = F.when(~F.regexp_like(text, F.lit(P.ANY_EDUCATION)), F.lit(0))
+    for value, pattern in P.EDUCATION_PATTERNS:
+        level = level.when(F.regexp_like(text, F.lit(pattern)), F.lit(value))
+    return level
 
 
 def education_label(level: Column) -> Column:

@@ -6,15 +6,19 @@ of lookarounds for the same reason: its meaning changed between Java releases.
 """
 
 # Bodies of character classes.
-WORD = r"\p{L}\p{N}_"
+WORD = r"a-zA-Z0-9_\p{L}\p{N}"
 SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
 
+# The members of SPACE one by one, for functions that take a set of characters.
+SPACE_CHARACTERS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 NOT_AFTER_WORD = rf"(?<![{WORD}])"
 NOT_BEFORE_WORD = rf"(?![{WORD}])"
 
 
-def whole_word(body: str) -> str:
-    return rf"{NOT_AFTER_WORD}(?:{body}){NOT_BEFORE_WORD}"
+def whole_word(body: str, starts: str) -> str:
+    """``body`` as a whole word. Nearly all positions are turned down by their first character alone."""
+    return rf"(?=[{starts}]){NOT_AFTER_WORD}(?:{body}){NOT_BEFORE_WORD}"
 
 
 # ---- fixed values: formats that decide what is recognised -----------------------------------
@@ -23,13 +27,16 @@ def whole_word(body: str) -> str:
 # previous address. Saying so keeps the scan linear on long unbroken runs.
 EMAIL = rf"(?:(?<![{WORD}.+-])|\G)[{WORD}.+-]++@[{WORD}-]+\.[{WORD}.-]+"
 URL = rf"(?:https?://|www\.)[^{SPACE}]+"
-PHONE = rf"(?<![{WORD}/])\+?\(?\p{{Nd}}[\p{{Nd}}{SPACE}().-]{{8,}}\p{{Nd}}(?![{WORD}/])"
+PHONE = rf"(?=[+(0-9\p{{Nd}}])(?<![{WORD}/])\+?\(?\p{{Nd}}[\p{{Nd}}{SPACE}().-]{{8,}}\p{{Nd}}(?![{WORD}/])"
 PHONE_DIGITS = (10, 15)
 
+# An apostrophe, straight or typographic: features read texts whose quotes were not made plain.
+QUOTE = r"['\u2019\u2018]"
+
 # "3+ years of experience": number, optional range, unit, at most four words, "experience".
 STATED_YEARS = (
     rf"(?i)([0-9]{{1,2}})[{SPACE}]*\+?[{SPACE}]*(?:-[{SPACE}]*[0-9]{{1,2}}[{SPACE}]*)?"
-    rf"(?:years?|yrs?)['\u2019]?[{SPACE}]+(?:of[{SPACE}]+)?"
+    rf"(?:years?|yrs?){QUOTE}?[{SPACE}]+(?:of[{SPACE}]+)?"
     rf"(?:[{WORD}\-/&,]+[{SPACE}]+){{0,4}}?experience"
 )
 LONGEST_CAREER = 45
@@ -40,45 +47,45 @@ MONTH = (
 )
 YEAR = r"(?:19|20)[0-9]{2}"
 YEAR_SPAN = (
-    rf"(?<!\p{{Nd}}){YEAR}[{SPACE}]*(?i:-|\u2013|\u2014|to|till)[{SPACE}]*(?i:{MONTH})"
+    rf"(?=[12])(?<!\p{{Nd}}){YEAR}[{SPACE}]*(?i:-|\u2013|\u2014|to|till)[{SPACE}]*(?i:{MONTH})"
     rf"(?i:{YEAR}|present|current|now|date)"
 )
 SPAN_CONTEXT = 50
 
 # A year span this close to one of these words belongs to schooling, not to work.
-SCHOOLING = (
-    "(?i:"
-    + whole_word(
-        r"university|college|institute|school|academy|"
-        rf"b\.?[{SPACE}]?tech|m\.?[{SPACE}]?tech|bachelor|master'?s|master[{SPACE}]+of|"
-        rf"b\.?[{SPACE}]?sc|m\.?[{SPACE}]?sc|mba|degree|diploma|cgpa|gpa|graduat[{WORD}]*|ph\.?[{SPACE}]?d"
-    )
-    + ")"
+SCHOOLING_WORDS = (
+    rf"university|college|institute|school|academy|b\.?[{SPACE}]?tech|m\.?[{SPACE}]?tech|bachelor|"
+    rf"master{QUOTE}?s|master[{SPACE}]+of|b\.?[{SPACE}]?sc|m\.?[{SPACE}]?sc|mba|degree|diploma|cgpa|gpa|"
+    rf"graduat[{WORD}]*|ph\.?[{SPACE}]?d"
 )
-# Case-sensitive, so that the word "be" is not a degree.
-BACHELOR_OF_ENGINEERING = whole_word(rf"B\.[{SPACE}]?E")
-
-DOCTORATE = "(?i)" + whole_word(rf"ph\.?[{SPACE}]?d|doctorate|doctoral")
-MASTER = "(?i)" + whole_word(
-    rf"master(?:'s|s)?[{SPACE}]+(?:of|in|degree)|master'?s|m\.?[{SPACE}]?tech|m\.?[{SPACE}]?sc|"
+DOCTORATE_WORDS = rf"ph\.?[{SPACE}]?d|doctorate|doctoral"
+MASTER_WORDS = (
+    rf"master(?:{QUOTE}s|s)?[{SPACE}]+(?:of|in|degree)|master{QUOTE}?s|m\.?[{SPACE}]?tech|m\.?[{SPACE}]?sc|"
     rf"mba|mca|pgdm|post[{SPACE}-]?graduat[{WORD}]*"
 )
-BACHELOR = "(?i)" + whole_word(
-    rf"bachelor(?:'s|s)?|b\.?[{SPACE}]?tech|b\.?[{SPACE}]?sc|b\.?[{SPACE}]?com|bca|bba|"
+BACHELOR_WORDS = (
+    rf"bachelor(?:{QUOTE}s|s)?|b\.?[{SPACE}]?tech|b\.?[{SPACE}]?sc|b\.?[{SPACE}]?com|bca|bba|"
     rf"under[{SPACE}-]?graduat[{WORD}]*"
 )
-DIPLOMA = "(?i)" + whole_word("diploma")
+DIPLOMA_WORDS = "diploma"
+# Case-sensitive, so that the word "be" is not a degree.
+ENGINEER_WORDS = rf"B\.[{SPACE}]?E"
 
 # Education level by pattern, and the label of each level.
 EDUCATION_PATTERNS = (
-    (4, DOCTORATE),
-    (3, MASTER),
-    (2, BACHELOR),
-    (2, BACHELOR_OF_ENGINEERING),
-    (1, DIPLOMA),
+    (4, whole_word(f"(?i:{DOCTORATE_WORDS})", "dpDP")),
+    (3, whole_word(f"(?i:{MASTER_WORDS})", "mpMP")),
+    (2, whole_word(f"(?i:{BACHELOR_WORDS})", "buBU")),
+    (2, whole_word(ENGINEER_WORDS, "B")),
+    (1, whole_word(f"(?i:{DIPLOMA_WORDS})", "dD")),
 )
 EDUCATION_LABELS = {0: "Not stated", 1: "Diploma", 2: "Bachelor's", 3: "Master's", 4: "PhD"}
 
+ANY_EDUCATION = whole_word(
+    f"(?i:{DOCTORATE_WORDS}|{MASTER_WORDS}|{BACHELOR_WORDS}|{DIPLOMA_WORDS})|{ENGINEER_WORDS}", "bdmpuBDMPU"
+)
+SCHOOLING = whole_word(f"(?i:{SCHOOLING_WORDS})|{ENGINEER_WORDS}", "abcdgimpsuABCDGIMPSU")
+
 # A line that opens the optional part of a job description.
 OPTIONAL_HEADING = (
     rf"(?i)(?<![^\n])[{SPACE}]*(?:nice[{SPACE}-]*to[{SPACE}-]*have|"

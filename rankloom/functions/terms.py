@@ -58,6 +58,28 @@ def add_ngrams(documents: DataFrame, stop_words: Sequence[str], text: str = "tex
     return documents.withColumn("_words", tokens(body, stop_words)).withColumn(name, F.concat(word, pairs)).drop("_words")
 
 
+def add_term_counts(documents: DataFrame, stop_words: Sequence[str], text: str = "text") -> DataFrame:
+    """Add ``terms``, the distinct tokens and pairs of a text, and ``counts``, how often each occurs.
+
+    Counted inside the row: sorted, equal terms form runs, and a count is the distance between the
+    starts of two runs. Every array read more than once has a projection of its own.
+    """
+    grams = add_ngrams(documents, stop_words, text, "_grams")
+    ordered = grams.withColumn("_grams", F.sort_array("_grams"))
+    begins = lambda term, i: F.when((i == 0) | (term != F.get("_grams", i - 1)), i)
+    runs = ordered.withColumn("_begins", F.array_compact(F.transform("_grams", begins)))
+    ends = F.concat(F.slice("_begins", 2, F.greatest(F.size("_begins"), F.lit(1))), F.array(F.size("_grams")))
+    counted = runs.withColumns(
+        {
+            "terms": F.array_distinct("_grams"),
+            "counts": F.when(F.size("_grams") > 0, F.zip_with(ends, "_begins", lambda e, b: e - b)).otherwise(
+                F.array().cast("array<int>")
+            ),
+        }
+    )
+    return counted.drop("_grams", "_begins")
+
+
 def chunk_words(documents: DataFrame, text: str = "text", size: int = CHUNK_WORDS) -> DataFrame:
     """One row per chunk of ``size`` words: ``chunk_no`` from 0 and ``chunk``. An empty text has one, empty.
 

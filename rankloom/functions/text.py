@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
@@ -15,7 +15,7 @@ def norm_quotes(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim every kind of white space; ``F.trim`` only knows the blank."""
-    return F.regexp_replace(text, rf"\A[{P.SPACE}]+|[{P.SPACE}]+\z", "")
+    return F.btrim(text, F.lit(P.SPACE_CHARACTERS))
 
 
 def collapse_space(text: Column) -> Column:
@@ -25,11 +25,13 @@ def collapse_space(text: Column) -> Column:
 def clean_text(text: Column) -> Column:
     """Plain quotes, single blanks, no blank lines, no outer white space. Line breaks stay."""
     plain = F.translate(text, "\u2019\u2018\u00a0", "'' ")
-    return strip(F.regexp_replace(F.regexp_replace(plain, r"[ \t]+", " "), rf"\n[{P.SPACE}]*\n+", "\n"))
+    # Single blanks need no replacing.
+    spaced = F.regexp_replace(plain, r"[ \t]{2,}|\t", " ")
+    return strip(F.regexp_replace(spaced, rf"\n[{P.SPACE}]*\n", "\n"))
 
 
 def redact_email(text: Column) -> Column:
-    return F.regexp_replace(text, P.EMAIL, " ")
+    return F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, P.EMAIL, " ")).otherwise(text)
 
 
 def redact_url(text: Column) -> Column:
@@ -55,9 +57,14 @@ def redact_phone(text: Column) -> Column:
     return F.when(F.regexp_like(text, F.lit(P.PHONE)), rejoined).otherwise(text)
 
 
-def redact_pii(text: Column) -> Column:
-    """Mail addresses first, then links, then phone numbers."""
-    return redact_phone(redact_url(redact_email(text)))
+def redact_pii(documents: DataFrame, text: str = "text") -> DataFrame:
+    """Mail addresses first, then links, then phone numbers.
+
+    One projection per step: nested into one expression, each step would repeat those before it.
+    """
+    for redact in (redact_email, redact_url, redact_phone):
+        documents = documents.withColumn(text, redact(F.col(text)))
+    return documents
 
 
 def text_preview(text: Column, start: int = 0, chars: int = 1500) -> Column:

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.terms import add_ngrams, default_stop_words
+from ..functions.terms import add_term_counts, default_stop_words
 from ..runtime import attach, is_small, materialize
 from .ordering import first_rows
 
-# A term is frequent if it has more than this share of all (document, term) rows. Document
-# frequencies add up to the number of rows, so there are fewer than 1/share such terms: a table
-# of them is safe to broadcast, and no other term can weigh down a task.
+# A term is frequent if it takes more than this share of all (document, term) rows. Shares add up to
+# one, so there are fewer than 1/share frequent terms: a table of them is safe to broadcast.
 FREQUENT_SHARE = 1 / 20_000
+# Documents looked at to find the frequent terms.
+SAMPLED_DOCUMENTS = 2_000
 
 # Sums over shuffled rows differ in the last bits from run to run. Equal texts must get equal
 # scores, so similarities are cut to this many digits.
@@ -26,16 +27,8 @@ STABLE_DIGITS = 10
 
 BEST_CHUNKS = 3
 
-
-def term_frequencies(documents: DataFrame, stop_words: Sequence[str], keys: Sequence[str] = ("jd_id", "pos")) -> DataFrame:
-    """``(*keys, term, tf)``: how often each token and token pair occurs.
-
-    The texts are shuffled, not their many times larger terms: once the rows of a document are known
-    to sit in one partition, counting them needs no further exchange.
-    """
-    placed = documents.select(*keys, "text").repartition(keys[-1])
-    terms = add_ngrams(placed, stop_words).select(*keys, F.explode("grams").alias("term"))
-    return terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+# The job's own text is part of its corpus, under this position.
+JOB_POS = -1
 
 
 def sublinear_tf(tf: Column) -> Column:
@@ -47,75 +40,111 @@ def smooth_idf(df: Column, n: Column) -> Column:
     return F.log((1 + n).cast("double") / (1 + df)) + 1
 
 
-def term_statistics(tf: DataFrame, sizes: DataFrame, small: bool) -> DataFrame:
-    """``(jd_id, term, df, idf, job_weight)``; the job's own text counts as a document of its pool."""
-    counted = tf.groupBy("jd_id", "term").agg(
-        F.count(F.lit(1)).alias("df"), F.max(F.when(F.col("pos") == JOB_POS, F.col("tf"))).alias("job_tf")
+def with_job_texts(candidates: DataFrame, jobs: DataFrame) -> DataFrame:
+    """``(jd_id, pos, text)`` of the candidates and, as position -1, of the jobs."""
+    members = candidates.select("jd_id", F.col("pos").cast("bigint").alias("pos"), "text")
+    return members.unionByName(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"))
+
+
+def corpus_sizes(corpus: DataFrame) -> DataFrame:
+    return corpus.groupBy("jd_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def term_rows(counted: DataFrame) -> DataFrame:
+    """One row ``(jd_id, pos, term, tf)`` per document and term."""
+    pairs = F.explode(F.arrays_zip("terms", "counts")).alias("t")
+    return counted.select("jd_id", "pos", pairs).select(
+        "jd_id", "pos", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf")
     )
-    sized = attach(counted, sizes, "jd_id", F.col("term"), small)
-    return sized.withColumn("idf", smooth_idf(F.col("df"), F.col("n"))).select(
-        "jd_id", "term", "df", "idf", (sublinear_tf(F.col("job_tf")) * F.col("idf")).alias("job_weight")
+
+
+def term_frequencies(documents: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """``(jd_id, pos, term, tf)``: how often each token and token pair occurs in each text."""
+    return term_rows(add_term_counts(documents.select("jd_id", "pos", "text"), stop_words))
+
+
+def document_frequencies(tf: DataFrame) -> DataFrame:
+    """``(jd_id, term, df, job_tf)``; ``job_tf`` is NULL for terms the job's text does not have."""
+    return tf.groupBy("jd_id", "term").agg(F.count(F.lit(1)).alias("df"), F.max(_job_tf()).alias("job_tf"))
+
+
+def _job_tf() -> Column:
+    return F.when(F.col("pos") == JOB_POS, F.col("tf"))
+
+
+def _products(rows: DataFrame, sizes: DataFrame, small: bool) -> DataFrame:
+    """Per document, its part of the dot product with the job and of its squared norm.
+
+    ``rows`` knows of every (document, term) the ``df`` of the term and the job's ``job_tf``.
+    """
+    sized = attach(rows, sizes, "jd_id", F.col("pos"), small)
+    idf = smooth_idf(F.col("df"), F.col("n"))
+    weights = sized.select(
+        "jd_id",
+        "pos",
+        (sublinear_tf(F.col("tf")) * idf).alias("w"),
+        F.coalesce(sublinear_tf(F.col("job_tf")) * idf, F.lit(0.0)).alias("jw"),
     )
+    w, jw = F.col("w"), F.col("jw")
+    return weights.groupBy("jd_id", "pos").agg(F.sum(w * jw).alias("dot"), F.sum(w * w).alias("norm2"))
 
 
-# The job's text takes part in its corpus under this position.
-JOB_POS = -1
+def frequent_terms(counted: DataFrame) -> DataFrame:
+    """``(jd_id, term)`` that would weigh down a task, found in a sample of documents.
 
+    This only decides which way a term takes below; either way is exact.
+    """
+    every = max(counted.count() // SAMPLED_DOCUMENTS, 1)
+    sample = counted.where(F.pmod(F.xxhash64("pos"), F.lit(every)) == 0)
+    rows = sample.agg(F.sum(F.size("terms"))).first()[0] or 0
+    counts = term_rows(sample).groupBy("jd_id", "term").agg(F.count(F.lit(1)).alias("c"))
+    return materialize(counts.where(F.col("c") > max(rows * FREQUENT_SHARE, 1)).select("jd_id", "term"), "frequent-terms")
 
-def tfidf_similarity(candidates: DataFrame, jobs: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
-    """Cosine of every candidate with its job: ``(jd_id, pos, similarity)``.
 
-    ``candidates`` has ``jd_id, pos, text`` and ``jobs`` has ``jd_id, text``. A text that shares
-    nothing with the vocabulary, or is empty, scores 0.
+def cosine_with_job(counted: DataFrame, small: bool) -> DataFrame:
+    """TF-IDF cosine of every document with the job of its pool: ``(jd_id, pos, similarity)``.
+
+    ``counted`` has ``jd_id, pos, terms, counts``, the jobs' own texts included; it is read several
+    times and should be a stored table. ``small`` says that there are few jobs.
+
+    A weight needs the number of documents that share the term, and the few terms that most documents
+    share cannot be brought together in one task each. So frequent terms are counted first, in every
+    task on its own, and their counts are broadcast; those rows never leave their partition before
+    they have become one row per document. All other rows meet by term.
     """
-    stop_words = default_stop_words() if stop_words is None else stop_words
-    small = is_small(jobs)
-    members = candidates.select("jd_id", F.col("pos").cast("bigint"), "text")
-    corpus = members.unionByName(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"))
-    sizes = members.groupBy("jd_id").agg((F.count(F.lit(1)) + 1).alias("n"))
-
-    tf = materialize(term_frequencies(corpus, stop_words), "term-frequencies")
-    stats = materialize(term_statistics(tf, sizes, small), "term-statistics")
-    rows = tf.count()
-    if rows == 0:
-        raise ValueError("empty vocabulary: no text holds a term that is not a stop word")
-    is_frequent = F.col("df") > max(rows * FREQUENT_SHARE, 1)
-
-    # Frequent terms meet their weights without a shuffle, and collapse to one row per document on
-    # the spot; the long tail is joined by term. The merge hint keeps the tail off the broadcast path.
-    weights = stats.select("jd_id", "term", "df", "idf", "job_weight")
-    frequent = F.broadcast(weights.where(is_frequent).drop("df"))
-    rare = weights.where(~is_frequent).drop("df")
-    ours = tf.where(F.col("pos") != JOB_POS)
-    near = _products(ours.join(frequent, ["jd_id", "term"]))
-    far = _products(
-        ours.join(F.broadcast(weights.where(is_frequent).select("jd_id", "term")), ["jd_id", "term"], "left_anti").join(
-            rare.hint("merge"), ["jd_id", "term"]
-        )
+    sizes = corpus_sizes(counted)
+    tf = term_rows(counted)
+    frequent = F.broadcast(frequent_terms(counted))
+    common = document_frequencies(tf.join(frequent, ["jd_id", "term"], "left_semi"))
+    near = tf.join(F.broadcast(common), ["jd_id", "term"])
+
+    same_term = Window.partitionBy("jd_id", "term")
+    far = tf.join(frequent, ["jd_id", "term"], "left_anti").withColumns(
+        {"df": F.count(F.lit(1)).over(same_term), "job_tf": F.max(_job_tf()).over(same_term)}
     )
-    empty = members.select("jd_id", "pos", F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2"))
-    sums = near.unionByName(far).unionByName(empty).groupBy("jd_id", "pos").agg(
-        F.sum("dot").alias("dot"), F.sum("norm2").alias("norm2")
+    nothing = counted.select("jd_id", "pos", F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2"))
+    parts = nothing.unionByName(_products(near, sizes, small)).unionByName(_products(far, sizes, small))
+    sums = materialize(
+        parts.groupBy("jd_id", "pos").agg(F.sum("dot").alias("dot"), F.sum("norm2").alias("norm2")), "term-products"
     )
 
-    job_norms = (
-        stats.where(F.col("job_weight").isNotNull())
-        .groupBy("jd_id")
-        .agg(F.sum(F.col("job_weight") * F.col("job_weight")).alias("job_norm2"))
-    )
-    together = attach(sums, job_norms, "jd_id", F.col("pos"), small, "left")
+    jobs = sums.where(F.col("pos") == JOB_POS).select("jd_id", F.col("norm2").alias("job_norm2"))
+    together = attach(sums.where(F.col("pos") != JOB_POS), jobs, "jd_id", F.col("pos"), small)
     length = F.sqrt(F.col("norm2") * F.col("job_norm2"))
     cosine = F.when(length > 0, F.col("dot") / length).otherwise(F.lit(0.0))
     return together.select("jd_id", "pos", F.round(cosine, STABLE_DIGITS).alias("similarity"))
 
 
-def _products(weighted: DataFrame) -> DataFrame:
-    weight = sublinear_tf(F.col("tf")) * F.col("idf")
-    return (
-        weighted.select("jd_id", "pos", weight.alias("w"), F.coalesce("job_weight", F.lit(0.0)).alias("jw"))
-        .groupBy("jd_id", "pos")
-        .agg(F.sum(F.col("w") * F.col("jw")).alias("dot"), F.sum(F.col("w") * F.col("w")).alias("norm2"))
-    )
+def tfidf_similarity(candidates: DataFrame, jobs: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
+    """Cosine of every candidate with its job: ``(jd_id, pos, similarity)``.
+
+    ``candidates`` has ``jd_id, pos, text`` and ``jobs`` has ``jd_id, text``. A text that shares
+    nothing with the job, or is empty, scores 0.
+    """
+    stop_words = default_stop_words() if stop_words is None else stop_words
+    corpus = with_job_texts(candidates, jobs).repartition("pos")
+    counted = materialize(add_term_counts(corpus, stop_words).drop("text"), "term-counts")
+    return cosine_with_job(counted, is_small(jobs))
 
 
 def dot_product(a: Column, b: Column) -> Column:

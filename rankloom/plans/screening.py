@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import build_features, education_label
+from ..functions.terms import add_term_counts, default_stop_words
 from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary
 from ..operators import scoring
 from ..operators.jobs import parse_job_descriptions
 from ..operators.ordering import rank_rows
-from ..operators.similarity import minmax, semantic_similarity, tfidf_similarity
+from ..operators.similarity import JOB_POS, cosine_with_job, minmax, semantic_similarity
 from ..runtime import attach, is_small, materialize
 
 RANKING_COLUMNS = [
@@ -40,23 +41,21 @@ def score_candidates(
 ) -> DataFrame:
     """Candidates ``(jd_id, pos, id, category, text)`` with all scores, in no order.
 
-    Reads the texts twice, once for the features and once for the terms, instead of dragging the
-    features of every document through the term joins.
+    The texts are read once. Reading them is by far the dearest step, so they are first spread
+    evenly, whatever the files they came in, and what was read is stored: features and term counts.
     """
+    stop_words = default_stop_words() if stop_words is None else stop_words
     profiles = materialize(parse_job_descriptions(jobs, vocab), "profiles")
     small = is_small(profiles)
-    similar = _scaled(tfidf_similarity(candidates, profiles, stop_words), "tfidf_score", small)
+    read = materialize(read_documents(candidates, current_year, stop_words, vocab), "read-documents")
+    terms = ["jd_id", "pos", "terms", "counts"]
+    own = add_term_counts(profiles.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
+    similar = cosine_with_job(read.select(terms).unionByName(own.select(terms)), small)
 
-    carried = [c for c in ("id", "category") if c in candidates.columns]
-    featured = build_features(candidates, current_year, vocab).select(
-        "jd_id", "pos", *carried, "skills", "experience_years", "education_level"
-    )
-    if "category" not in carried:
-        featured = featured.withColumn("category", F.lit(""))
-    rows = featured.join(similar, ["jd_id", "pos"])
+    rows = read.drop("terms", "counts").join(_scaled(similar, "tfidf_score", small), ["jd_id", "pos"])
     if vectors is not None and job_vectors is not None:
         met = semantic_similarity(vectors, job_vectors)
-        all_rows = candidates.select("jd_id", "pos").join(met, ["jd_id", "pos"], "left").fillna(0.0, ["similarity"])
+        all_rows = read.select("jd_id", "pos").join(met, ["jd_id", "pos"], "left").fillna(0.0, ["similarity"])
         rows = rows.join(_scaled(all_rows, "semantic_score", small), ["jd_id", "pos"])
     else:
         rows = rows.withColumn("semantic_score", F.lit(None).cast("double"))
@@ -68,6 +67,17 @@ def score_candidates(
     )
 
 
+def read_documents(
+    candidates: DataFrame, current_year: int, stop_words: Sequence[str], vocab: Vocabulary = DEFAULT_VOCABULARY
+) -> DataFrame:
+    """Features and term counts of every candidate; the text itself is left behind."""
+    category = F.col("category") if "category" in candidates.columns else F.lit("")
+    spread = candidates.select(
+        "jd_id", F.col("pos").cast("bigint").alias("pos"), "id", category.alias("category"), "text"
+    ).repartition("pos")
+    return add_term_counts(build_features(spread, current_year, vocab), stop_words).drop("text")
+
+
 def _scaled(similarity: DataFrame, name: str, small: bool) -> DataFrame:
     """Scores are read twice, for their bounds and for themselves, so they are stored in between."""
     return minmax(materialize(similarity, name), "similarity", name, small).select("jd_id", "pos", name)

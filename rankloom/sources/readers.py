@@ -57,8 +57,8 @@ def resolve_columns(raw: DataFrame) -> DataFrame:
 
 def prepare_text(documents: DataFrame, redact: bool = True) -> DataFrame:
     """Clean and, unless told otherwise, redact the text; missing text becomes empty."""
-    body = clean_text(F.coalesce("text", F.lit("")))
-    return documents.withColumn("text", redact_pii(body) if redact else body)
+    cleaned = documents.withColumn("text", clean_text(F.coalesce("text", F.lit(""))))
+    return redact_pii(cleaned) if redact else cleaned
 
 
 def load_table(raw: DataFrame, redact: bool = True) -> DataFrame:
