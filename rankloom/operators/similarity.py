@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.terms import add_term_counts, default_stop_words
-from ..runtime import attach, is_small, materialize
+from ..runtime import attach, is_small, materialize, spread
 from .ordering import first_rows
 
 # A term is frequent if it takes more than this share of all (document, term) rows. Shares add up to
@@ -142,7 +142,7 @@ def tfidf_similarity(candidates: DataFrame, jobs: DataFrame, stop_words: Sequenc
     nothing with the job, or is empty, scores 0.
     """
     stop_words = default_stop_words() if stop_words is None else stop_words
-    corpus = with_job_texts(candidates, jobs).repartition("pos")
+    corpus = spread(with_job_texts(candidates, jobs), "pos")
     counted = materialize(add_term_counts(corpus, stop_words).drop("text"), "term-counts")
     return cosine_with_job(counted, is_small(jobs))
 

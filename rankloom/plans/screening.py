@@ -14,7 +14,7 @@ from ..operators import scoring
 from ..operators.jobs import parse_job_descriptions
 from ..operators.ordering import rank_rows
 from ..operators.similarity import JOB_POS, cosine_with_job, minmax, semantic_similarity
-from ..runtime import attach, is_small, materialize
+from ..runtime import attach, is_small, materialize, spread
 
 RANKING_COLUMNS = [
     "rank", "jd_id", "id", "category", "final_score",
@@ -72,10 +72,8 @@ def read_documents(
 ) -> DataFrame:
     """Features and term counts of every candidate; the text itself is left behind."""
     category = F.col("category") if "category" in candidates.columns else F.lit("")
-    spread = candidates.select(
-        "jd_id", F.col("pos").cast("bigint").alias("pos"), "id", category.alias("category"), "text"
-    ).repartition("pos")
-    return add_term_counts(build_features(spread, current_year, vocab), stop_words).drop("text")
+    texts = candidates.select("jd_id", F.col("pos").cast("bigint").alias("pos"), "id", category.alias("category"), "text")
+    return add_term_counts(build_features(spread(texts, "pos"), current_year, vocab), stop_words).drop("text")
 
 
 def _scaled(similarity: DataFrame, name: str, small: bool) -> DataFrame:

@@ -59,6 +59,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows evenly over all shuffle partitions, ahead of work that costs much more than moving rows.
+
+    The number is given because adaptive execution would otherwise merge partitions by their bytes,
+    and files that cannot be split would otherwise be one task each.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def is_small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``dim`` has at most ``rows`` rows, found without reading on beyond them."""
     return dim.limit(rows + 1).count() <= rows
