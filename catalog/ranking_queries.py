@@ -46,9 +46,9 @@ def _single(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 def _vectors(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Embeddings as chunks of 100 owners; vector 0 is the query and no candidate."""
-    rows = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"), F.lit(SINGLE_JOB).alias("jd_id"))
-    chunks = rows.where("vec_id <> 0").select("jd_id", (F.col("vec_id") % 100).alias("pos"), "vector")
-    return chunks, rows.where("vec_id = 0").select("jd_id", "vector")
+    rows = table(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 100).alias("pos"), F.col("embedding").alias("vector"))
+    in_pool = screening.in_one_pool(rows, SINGLE_JOB)
+    return in_pool.where("vec_id <> 0").drop("vec_id"), in_pool.where("vec_id = 0").select("jd_id", "vector")
 
 
 def _featured(spark, sf, pools_of=_by_source) -> DataFrame:
@@ -243,7 +243,7 @@ def semantic_top3_mean(spark, sf):
 
 
 def minmax(spark, sf):
-    scaled = similarity.minmax(materialize(_cosines(spark, sf), "cosines"), "similarity", "score", small=True)
+    scaled = similarity.minmax(_cosines(spark, sf), "similarity", "score", small=True)
     return scaled.select("jd_id", "pos", F.round("score", 6).alias("score"))
 
 

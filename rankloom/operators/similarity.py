@@ -104,7 +104,7 @@ def frequent_terms(counted: DataFrame) -> DataFrame:
 def cosine_with_job(counted: DataFrame, small: bool) -> DataFrame:
     """TF-IDF cosine of every document with the job of its pool: ``(jd_id, pos, similarity)``.
 
-    ``counted`` has ``jd_id, pos, terms, counts``, the jobs' own texts included; it is read several
+    The result is a light step over a stored table. ``counted`` has ``jd_id, pos, terms, counts``, the jobs' own texts included; it is read several
     times and should be a stored table. ``small`` says that there are few jobs.
 
     A weight needs the number of documents that share the term, and the few terms that most documents
@@ -166,7 +166,10 @@ def semantic_similarity(chunks: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def minmax(scores: DataFrame, column: str, name: str, small: bool) -> DataFrame:
-    """Scale ``column`` to 0..1 within every pool; a pool without spread is clipped instead."""
+    """Scale ``column`` to 0..1 within every pool; a pool without spread is clipped instead.
+
+    Reads ``scores`` twice, for the bounds and for the rows, so they should be cheap to read.
+    """
     bounds = scores.groupBy("jd_id").agg(
         F.min(column).alias("_low"), F.max(column).alias("_high"), F.count(F.lit(1)).alias("_n")
     )

@@ -25,8 +25,12 @@ RANKING_COLUMNS = [
 
 
 def in_one_pool(documents: DataFrame, jd_id: str | int) -> DataFrame:
-    """All documents as candidates for a single job."""
-    return documents.withColumn("jd_id", F.lit(jd_id))
+    """All documents as candidates for a single job.
+
+    The id hangs on a column that every row has. As a mere constant it would be optimized out of the
+    joins on it, which turns them into joins without a key.
+    """
+    return documents.withColumn("jd_id", F.when(F.col("pos").isNotNull(), F.lit(jd_id)))
 
 
 def score_candidates(
@@ -45,18 +49,18 @@ def score_candidates(
     evenly, whatever the files they came in, and what was read is stored: features and term counts.
     """
     stop_words = default_stop_words() if stop_words is None else stop_words
-    profiles = materialize(parse_job_descriptions(jobs, vocab), "profiles")
-    small = is_small(profiles)
+    small = is_small(jobs)
+    profiles = parse_job_descriptions(jobs, vocab)
     read = materialize(read_documents(candidates, current_year, stop_words, vocab), "read-documents")
     terms = ["jd_id", "pos", "terms", "counts"]
-    own = add_term_counts(profiles.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
+    own = add_term_counts(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
     similar = cosine_with_job(read.select(terms).unionByName(own.select(terms)), small)
 
     rows = read.drop("terms", "counts").join(_scaled(similar, "tfidf_score", small), ["jd_id", "pos"])
     if vectors is not None and job_vectors is not None:
         met = semantic_similarity(vectors, job_vectors)
         all_rows = read.select("jd_id", "pos").join(met, ["jd_id", "pos"], "left").fillna(0.0, ["similarity"])
-        rows = rows.join(_scaled(all_rows, "semantic_score", small), ["jd_id", "pos"])
+        rows = rows.join(_scaled(materialize(all_rows, "semantic"), "semantic_score", small), ["jd_id", "pos"])
     else:
         rows = rows.withColumn("semantic_score", F.lit(None).cast("double"))
 
@@ -77,8 +81,7 @@ def read_documents(
 
 
 def _scaled(similarity: DataFrame, name: str, small: bool) -> DataFrame:
-    """Scores are read twice, for their bounds and for themselves, so they are stored in between."""
-    return minmax(materialize(similarity, name), "similarity", name, small).select("jd_id", "pos", name)
+    return minmax(similarity, "similarity", name, small).select("jd_id", "pos", name)
 
 
 def rank_candidates(candidates: DataFrame, jobs: DataFrame, current_year: int, **options) -> DataFrame:
