@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.vocabulary import DEFAULT_VOCABULARY
+from rankloom.runtime import spread
 
 YEAR = 2026
 
@@ -52,6 +53,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def _listed(number: Column, a: int, b: int, modulus: int, below: int, odd_spelling: bool) -> Column:
     """Skills k with (number*a + k*b) % modulus < below, as a comma-separated list."""
     even, odd = (F.split(F.lit("|".join(row[i] for row in SKILLS)), r"\|") for i in (3, 4))
@@ -101,7 +106,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         say(_pick([name for name, _ in DEGREES], d), ", City University (", graduated - 4, " - ", graduated, ")"),
         F.col("text"),
     )
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         d.alias("pos"),
         d.cast("string").alias("id"),
         F.when(d % 11 != 0, _pick(CATEGORIES, F.floor(d / 7))).alias("category"),

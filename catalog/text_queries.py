@@ -163,7 +163,7 @@ UNION ALL SELECT 't' || doc_id, toxic FROM labels"""
 
 
 def _documents_with(spark: SparkSession, sf: str, **columns) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", *(c.alias(n) for n, c in columns.items()))
+    return fx.documents(spark, sf).select("doc_id", *(c.alias(n) for n, c in columns.items()))
 
 
 def clean_text(spark, sf):
@@ -367,7 +367,7 @@ def parse_job_description(spark, sf):
 
 
 def tokenize_ngrams(spark, sf):
-    grams = terms.add_ngrams(table(spark, sf, "documents"), fx.STOP_WORDS)
+    grams = terms.add_ngrams(fx.documents(spark, sf), fx.STOP_WORDS)
     return grams.select("doc_id", F.size("grams").cast("bigint").alias("n_grams"), F.md5(F.array_join("grams", "|")).alias("digest"))
 
 
@@ -378,7 +378,7 @@ SELECT doc_id, CAST(len(g) AS BIGINT) AS n_grams, md5(array_to_string(g, '|')) A
 
 
 def chunk_words(spark, sf):
-    return terms.chunk_words(table(spark, sf, "documents").select("doc_id", "text"))
+    return terms.chunk_words(fx.documents(spark, sf).select("doc_id", "text"))
 
 
 CHUNK_WORDS = f"""

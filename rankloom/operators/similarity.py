@@ -72,21 +72,21 @@ def _job_tf() -> Column:
     return F.when(F.col("pos") == JOB_POS, F.col("tf"))
 
 
-def _products(rows: DataFrame, sizes: DataFrame, small: bool) -> DataFrame:
-    """Per document, its part of the dot product with the job and of its squared norm.
-
-    ``rows`` knows of every (document, term) the ``df`` of the term and the job's ``job_tf``.
-    """
-    sized = attach(rows, sizes, "jd_id", F.col("pos"), small)
+def _with_idf(rows: DataFrame, sizes: DataFrame, spread_by: str, small: bool) -> DataFrame:
+    """Turn ``df`` and ``job_tf`` into ``idf`` and ``job_weight``, 0 for terms the job does not have."""
+    sized = attach(rows, sizes, "jd_id", F.col(spread_by), small)
     idf = smooth_idf(F.col("df"), F.col("n"))
-    weights = sized.select(
-        "jd_id",
-        "pos",
-        (sublinear_tf(F.col("tf")) * idf).alias("w"),
-        F.coalesce(sublinear_tf(F.col("job_tf")) * idf, F.lit(0.0)).alias("jw"),
+    return sized.withColumns(
+        {"idf": idf, "job_weight": F.coalesce(sublinear_tf(F.col("job_tf")) * idf, F.lit(0.0))}
+    ).drop("df", "n", "job_tf")
+
+
+def _products(weighted: DataFrame) -> DataFrame:
+    """Per document, its part of the dot product with the job and of its squared norm."""
+    w = sublinear_tf(F.col("tf")) * F.col("idf")
+    return weighted.groupBy("jd_id", "pos").agg(
+        F.sum(w * F.col("job_weight")).alias("dot"), F.sum(w * w).alias("norm2")
     )
-    w, jw = F.col("w"), F.col("jw")
-    return weights.groupBy("jd_id", "pos").agg(F.sum(w * jw).alias("dot"), F.sum(w * w).alias("norm2"))
 
 
 def frequent_terms(counted: DataFrame) -> DataFrame:
@@ -116,14 +116,15 @@ def cosine_with_job(counted: DataFrame, small: bool) -> DataFrame:
     tf = term_rows(counted)
     frequent = F.broadcast(frequent_terms(counted))
     common = document_frequencies(tf.join(frequent, ["jd_id", "term"], "left_semi"))
-    near = tf.join(F.broadcast(common), ["jd_id", "term"])
+    near = tf.join(F.broadcast(_with_idf(common, sizes, "term", small)), ["jd_id", "term"])
 
     same_term = Window.partitionBy("jd_id", "term")
     far = tf.join(frequent, ["jd_id", "term"], "left_anti").withColumns(
         {"df": F.count(F.lit(1)).over(same_term), "job_tf": F.max(_job_tf()).over(same_term)}
     )
     nothing = counted.select("jd_id", "pos", F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2"))
-    parts = nothing.unionByName(_products(near, sizes, small)).unionByName(_products(far, sizes, small))
+    far = _with_idf(far, sizes, "pos", small)
+    parts = nothing.unionByName(_products(near)).unionByName(_products(far))
     sums = materialize(
         parts.groupBy("jd_id", "pos").agg(F.sum("dot").alias("dot"), F.sum("norm2").alias("norm2")), "term-products"
     )

@@ -45,8 +45,8 @@ def score_candidates(
 ) -> DataFrame:
     """Candidates ``(jd_id, pos, id, category, text)`` with all scores, in no order.
 
-    The texts are read once. Reading them is by far the dearest step, so they are first spread
-    evenly, whatever the files they came in, and what was read is stored: features and term counts.
+    The texts are read once, which is by far the dearest step, in one pass without a shuffle. What
+    was read is stored: features and term counts.
     """
     stop_words = default_stop_words() if stop_words is None else stop_words
     small = is_small(jobs)

@@ -60,12 +60,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows evenly over all shuffle partitions, ahead of work that costs much more than moving rows.
+    """Deal rows that come from few files over all shuffle partitions, ahead of costly work on each row.
 
-    The number is given because adaptive execution would otherwise merge partitions by their bytes,
-    and files that cannot be split would otherwise be one task each.
+    Files that cannot be split are one task each, however many cores wait. Where there is a file or
+    more per core nothing is moved: the scan is spread already. The number of partitions is given
+    because adaptive execution would otherwise merge them by their bytes.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    spark = df.sparkSession
+    if len(df.inputFiles()) >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def is_small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
