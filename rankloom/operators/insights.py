@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary, lookup_table, skill_dimension
+from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary, lookup_table
 from ..runtime import is_small
 from .scoring import COMPONENTS
 
@@ -58,17 +58,16 @@ def score_breakdown(ranked: DataFrame, n: int) -> DataFrame:
 
 
 def skill_category_rollup(featured: DataFrame, vocab: Vocabulary = DEFAULT_VOCABULARY) -> DataFrame:
-    """Per skill category: mentions, and documents with at least one."""
-    dim = skill_dimension(featured.sparkSession, vocab)
-    # A document counts once per category, so categories are made distinct inside the row.
+    """Per skill category: mentions, and documents with at least one. Counted per document first."""
     table = lookup_table(vocab.category_of)
-    mentions = featured.select(F.explode("skills").alias("skill")).groupBy("skill").agg(F.count(F.lit(1)).alias("m"))
-    by_mention = mentions.join(F.broadcast(dim), "skill").groupBy("category").agg(F.sum("m").alias("mentions"))
-    held = F.array_distinct(F.transform("skills", lambda s: F.element_at(table, s)))
-    by_document = (
-        featured.select(F.explode(held).alias("category")).groupBy("category").agg(F.count(F.lit(1)).alias("documents"))
+    category = F.transform("skills", lambda s: F.element_at(table, s))
+    rows = featured.select(category.alias("categories")).select(
+        "categories", F.explode(F.array_distinct("categories")).alias("category")
+    )
+    mentions = F.size(F.filter("categories", lambda c: c == F.col("category")))
+    return rows.groupBy("category").agg(
+        F.sum(mentions).alias("mentions"), F.count(F.lit(1)).alias("documents")
     )
-    return by_mention.join(by_document, "category")
 
 
 def split_by_category(rows: DataFrame, relevant: DataFrame, relevant_rows: bool = True) -> DataFrame:

@@ -18,8 +18,9 @@ from .ordering import first_rows
 # A term is frequent if it takes more than this share of all (document, term) rows. Shares add up to
 # one, so there are fewer than 1/share frequent terms: a table of them is safe to broadcast.
 FREQUENT_SHARE = 1 / 20_000
-# Documents looked at to find the frequent terms.
+# Documents looked at to find the frequent terms, and files they are taken from.
 SAMPLED_DOCUMENTS = 2_000
+SAMPLED_FILES = 256
 
 # Sums over shuffled rows differ in the last bits from run to run. Equal texts must get equal
 # scores, so similarities are cut to this many digits.
@@ -90,31 +91,37 @@ def _products(weighted: DataFrame) -> DataFrame:
 
 
 def frequent_terms(counted: DataFrame) -> DataFrame:
-    """``(jd_id, term)`` that would weigh down a task, found in a sample of documents.
+    """``(jd_id, term)`` that would weigh down a task, found in some documents of some files.
 
     This only decides which way a term takes below; either way is exact.
     """
-    every = max(counted.count() // SAMPLED_DOCUMENTS, 1)
-    sample = counted.where(F.pmod(F.xxhash64("pos"), F.lit(every)) == 0)
+    files = counted.inputFiles()
+    some = counted.sparkSession.read.schema(counted.schema).parquet(*files[:: max(len(files) // SAMPLED_FILES, 1)])
+    every = max(some.count() // SAMPLED_DOCUMENTS, 1)
+    sample = some.where(F.pmod(F.xxhash64("pos"), F.lit(every)) == 0)
     rows = sample.agg(F.sum(F.size("terms"))).first()[0] or 0
     counts = term_rows(sample).groupBy("jd_id", "term").agg(F.count(F.lit(1)).alias("c"))
     return materialize(counts.where(F.col("c") > max(rows * FREQUENT_SHARE, 1)).select("jd_id", "term"), "frequent-terms")
 
 
-def cosine_with_job(counted: DataFrame, small: bool) -> DataFrame:
+def cosine_with_job(members: DataFrame, jobs: DataFrame, stop_words: Sequence[str], small: bool) -> DataFrame:
     """TF-IDF cosine of every document with the job of its pool: ``(jd_id, pos, similarity)``.
 
-    The result is a light step over a stored table. ``counted`` has ``jd_id, pos, terms, counts``, the jobs' own texts included; it is read several
-    times and should be a stored table. ``small`` says that there are few jobs.
+    ``members`` is a parquet table with ``jd_id, pos, terms, counts``, read several times here;
+    ``jobs`` has ``jd_id, text`` and ``small`` says that they are few. The result is a light step over
+    a stored table.
 
     A weight needs the number of documents that share the term, and the few terms that most documents
     share cannot be brought together in one task each. So frequent terms are counted first, in every
     task on its own, and their counts are broadcast; those rows never leave their partition before
     they have become one row per document. All other rows meet by term.
     """
+    columns = ["jd_id", "pos", "terms", "counts"]
+    own = add_term_counts(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
+    counted = members.select(columns).unionByName(own.select(columns))
     sizes = corpus_sizes(counted)
     tf = term_rows(counted)
-    frequent = F.broadcast(frequent_terms(counted))
+    frequent = F.broadcast(frequent_terms(members.select(columns)))
     common = document_frequencies(tf.join(frequent, ["jd_id", "term"], "left_semi"))
     near = tf.join(F.broadcast(_with_idf(common, sizes, "term", small)), ["jd_id", "term"])
 
@@ -143,9 +150,9 @@ def tfidf_similarity(candidates: DataFrame, jobs: DataFrame, stop_words: Sequenc
     nothing with the job, or is empty, scores 0.
     """
     stop_words = default_stop_words() if stop_words is None else stop_words
-    corpus = spread(with_job_texts(candidates, jobs), "pos")
-    counted = materialize(add_term_counts(corpus, stop_words).drop("text"), "term-counts")
-    return cosine_with_job(counted, is_small(jobs))
+    texts = spread(candidates.select("jd_id", F.col("pos").cast("bigint").alias("pos"), "text"), "pos")
+    members = materialize(add_term_counts(texts, stop_words).drop("text"), "term-counts")
+    return cosine_with_job(members, jobs, stop_words, is_small(jobs))
 
 
 def dot_product(a: Column, b: Column) -> Column:

@@ -13,7 +13,7 @@ from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary
 from ..operators import scoring
 from ..operators.jobs import parse_job_descriptions
 from ..operators.ordering import rank_rows
-from ..operators.similarity import JOB_POS, cosine_with_job, minmax, semantic_similarity
+from ..operators.similarity import cosine_with_job, minmax, semantic_similarity
 from ..runtime import attach, is_small, materialize, spread
 
 RANKING_COLUMNS = [
@@ -52,9 +52,7 @@ def score_candidates(
     small = is_small(jobs)
     profiles = parse_job_descriptions(jobs, vocab)
     read = materialize(read_documents(candidates, current_year, stop_words, vocab), "read-documents")
-    terms = ["jd_id", "pos", "terms", "counts"]
-    own = add_term_counts(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
-    similar = cosine_with_job(read.select(terms).unionByName(own.select(terms)), small)
+    similar = cosine_with_job(read, jobs, stop_words, small)
 
     rows = read.drop("terms", "counts").join(_scaled(similar, "tfidf_score", small), ["jd_id", "pos"])
     if vectors is not None and job_vectors is not None:
