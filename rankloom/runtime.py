@@ -43,7 +43,8 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new place for a table. All of one application lie together, to be deleted when its results are written."""
+    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
