@@ -34,22 +34,27 @@ def sql_url(x: str) -> str:
     return f"regexp_replace({x}, '(?:https?://|www\\.)[^{S}]+', ' ', 'g')"
 
 
-def sql_phone(x: str, again: int = 1) -> str:
+def sql_phone(x: str) -> str:
     """Bracket every run with control characters, cut there and judge each run.
 
-    RE2 cannot look ahead, so a run takes the character behind it along. What follows a run is
-    therefore searched once more, for a run that starts right behind that character.
+    RE2 cannot look around, and a boundary taken by one run is missing for the next. So every
+    character that may stand in front of a run is followed by a mark first; a run starts behind a
+    mark, takes the character behind it along, and leaves that character's own mark to the next.
     """
-    run = rf"(^|[^{W}/])(\+?\(?\p{{Nd}}[\p{{Nd}}{S}().-]{{8,}}\p{{Nd}})($|[^{W}/])"
-    bracketed = f"regexp_replace({x}, '{run}', '\\1' || chr(1) || '\\2' || chr(2) || '\\3', 'g')"
-    p = f"p{again}"
-    number, rest = f"split_part({p}, chr(2), 1)", f"split_part({p}, chr(2), 2)"
+    mark = r"\x03"
+    run = (
+        rf"(^|{mark})((?:\+{mark})?(?:\({mark})?\p{{Nd}}(?:\p{{Nd}}|[{S}().-]{mark}){{8,}}\p{{Nd}})($|[^{W}/{mark}])"
+    )
+    marked = f"regexp_replace({x}, '([^{W}/])', '\\1' || chr(3), 'g')"
+    bracketed = f"regexp_replace({marked}, '{run}', '\\1' || chr(1) || '\\2' || chr(2) || '\\3', 'g')"
+    number = "split_part(p, chr(2), 1)"
     count = f"length(regexp_replace({number}, '[^\\p{{Nd}}]', '', 'g'))"
     judged = (
-        f"CASE WHEN contains({p}, chr(2)) THEN (CASE WHEN {count} BETWEEN 10 AND 15 THEN ' ' ELSE {number} END) "
-        f"|| {sql_phone(rest, again - 1) if again else rest} ELSE {p} END"
+        f"CASE WHEN contains(p, chr(2)) THEN (CASE WHEN {count} BETWEEN 10 AND 15 THEN ' ' ELSE {number} END) "
+        f"|| split_part(p, chr(2), 2) ELSE p END"
     )
-    return f"array_to_string(list_transform(string_split({bracketed}, chr(1)), lambda {p}: {judged}), '')"
+    joined = f"array_to_string(list_transform(string_split({bracketed}, chr(1)), lambda p: {judged}), '')"
+    return f"replace({joined}, chr(3), '')"
 
 
 def sql_pii(x: str) -> str:
