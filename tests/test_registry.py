@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as registered
 from catalog.check import compare
+from catalog.registry import QUERIES
 from tests.conftest import SF, plan_of
 
 # One of every kind; `python -m catalog.check` runs all.
@@ -18,8 +19,9 @@ def test_query_equals_its_sql(spark, name):
     assert verdict == "ok" and rows > 0
 
 
-def test_every_query_has_sql():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+def test_every_query_of_the_catalog_has_sql():
+    assert QUERIES.keys() <= registered.oracle_sql().keys()
+    assert QUERIES.keys() <= registered.queries().keys()
 
 
 def test_entry(spark):
