@@ -1,8 +1,12 @@
 """The queries of this folder by name, each with its SQL or None."""
 
-from rankloom.llm import exact_dedup, sharding
+from rankloom.llm import chat, exact_dedup, mixing, packing, secrets, sharding
 
 QUERIES = {
+    **packing.QUERIES,
+    **chat.QUERIES,
+    **secrets.QUERIES,
     **sharding.QUERIES,
     **exact_dedup.QUERIES,
+    **mixing.QUERIES,
 }
