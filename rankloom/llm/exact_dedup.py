@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,13 +118,12 @@ class CuckooIndex:
             yield from bucket.items()
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fold groups of equal digest through an index; one row per digest comes out."""
     index = CuckooIndex()
     for batch in batches:
-        ids = batch.keep_id.fillna(NO_ID).astype("int64") if batch.keep_id.hasnans else batch.keep_id
-        for digest, chars, keep, size in zip(batch.digest, batch.n_chars, ids, batch.group_size):
-            digest = bytes(digest)
+        for digest, chars, keep, size in zip(*(c.to_pylist() for c in batch.columns)):
+            keep = NO_ID if keep is None else keep
             entry = index.find(digest)
             if entry is None:
                 index.insert(digest, [-chars, keep, size])
@@ -132,10 +131,11 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if (-chars, keep) < (entry[0], entry[1]):
                     entry[0], entry[1] = -chars, keep
                 entry[2] += size
+    kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int64()]
     rows = [(digest, -e[0], None if e[1] == NO_ID else e[1], e[2]) for digest, e in index.entries()]
     for at in range(0, len(rows), 10_000):
-        out = pd.DataFrame(rows[at : at + 10_000], columns=["digest", "n_chars", "keep_id", "group_size"])
-        yield out.astype({"n_chars": "int32", "keep_id": "Int64", "group_size": "int64"})
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows[at : at + 10_000]), kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["digest", "n_chars", "keep_id", "group_size"])
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -155,8 +155,8 @@ def groups(rows: DataFrame, parts: int) -> DataFrame:
     many copies there are.
     """
     ones = rows.select("digest", "n_chars", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    partial = ones.mapInPandas(_fold, GROUP)
-    return partial.repartition(parts, F.substring("digest", 1, 4)).mapInPandas(_fold, GROUP)
+    partial = ones.mapInArrow(_fold, GROUP)
+    return partial.repartition(parts, F.substring("digest", 1, 4)).mapInArrow(_fold, GROUP)
 
 
 def _ordered(docs: DataFrame) -> DataFrame:
