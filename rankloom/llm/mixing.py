@@ -98,31 +98,27 @@ def _hypergeometric(population: Column, marked: Column, draws: Column, u: Column
     def walk(v: Column) -> Column:
         n, k, m, mode, up = (v[c] for c in ("n", "k", "m", "mode", "up"))
 
-        def step(w: Column, t: Column) -> tuple[Column, Column]:
-            """The value at step t and its weight, the mode's being 1."""
-            x = F.when(t <= up, mode + t).otherwise(mode - (t - up))
-            risen = w * (k - x + 1) * (m - x + 1) / (x * (n - k - m + x))
-            fallen = F.when(t == up + 1, F.lit(1.0)).otherwise(w) * (x + 1) * (n - k - m + x + 1) / ((k - x) * (m - x))
-            return x, F.when(t == 0, F.lit(1.0)).when(t <= up, risen).otherwise(fallen)
+        def following(w: Column, t: Column) -> Column:
+            """The weight after that of step t, the mode's being 1: up to the top, then down from the mode."""
+            high, low = mode + t, mode - (t - up)
+            risen = w * (k - high) * (m - high) / ((high + 1) * (n - k - m + high + 1))
+            fallen = F.when(t == up, F.lit(1.0)).otherwise(w) * low * (n - k - m + low) / ((k - low + 1) * (m - low + 1))
+            return F.when(t < up, risen).otherwise(fallen)
 
         def add(s: Column, t: Column) -> Column:
-            return _let(lambda y: F.struct(y["w"].alias("w"), (y["sum"] + y["w"]).alias("sum")), w=step(s["w"], t)[1], sum=s["sum"])
+            return F.struct(following(s["w"], t).alias("w"), (s["sum"] + s["w"]).alias("sum"))
 
         def pick(s: Column, t: Column) -> Column:
-            x, w = step(s["w"], t)
+            here = F.when(t <= up, mode + t).otherwise(mode - (t - up))
+            hit = s["x"].isNull() & (s["rest"] <= s["w"])
+            return F.struct(
+                following(s["w"], t).alias("w"), (s["rest"] - s["w"]).alias("rest"), F.when(hit, here).otherwise(s["x"]).alias("x")
+            )
 
-            def take(y: Column) -> Column:
-                hit = ~y["found"] & (y["rest"] <= y["w"])
-                return F.struct(
-                    y["w"].alias("w"), (y["rest"] - y["w"]).alias("rest"),
-                    F.when(hit, y["here"]).otherwise(y["x"]).alias("x"), (y["found"] | hit).alias("found"),
-                )
-
-            return _let(take, w=w, here=x, rest=s["rest"], x=s["x"], found=s["found"])
-
-        total = F.aggregate(v["steps"], F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("sum")), add, lambda s: s["sum"])
-        begin = F.struct(F.lit(0.0).alias("w"), (v["u"] * total).alias("rest"), mode.alias("x"), F.lit(False).alias("found"))
-        return F.aggregate(v["steps"], begin, pick, lambda s: s["x"])
+        total = F.aggregate(v["steps"], F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum")), add, lambda s: s["sum"])
+        begin = F.struct(F.lit(1.0).alias("w"), (v["u"] * total).alias("rest"), F.lit(None).cast("double").alias("x"))
+        # Rounding can leave a rest beyond the last weight; the mode is then as good a value as any.
+        return F.coalesce(F.aggregate(v["steps"], begin, pick, lambda s: s["x"]), mode)
 
     n, k, m = (c.cast("double") for c in (population, marked, draws))
     drawn = _let(bounds, n=n, k=k, m=m, u=u)
@@ -151,7 +147,7 @@ def split_quotas(quotas: DataFrame, levels: int = LEVELS, seed: int = SEED) -> D
 
             return _let(after, x=_hypergeometric(s["n"], c, s["m"], u))
 
-        halves = nodes.select("node", "keys", "counts", F.aggregate("counts", start, child, lambda s: s["left"]).alias("left"))
+        halves = nodes.repartition(1 << level, "node").select("node", "keys", "counts", F.aggregate("counts", start, child, lambda s: s["left"]).alias("left"))
         right = F.zip_with("counts", "left", lambda c, x: c - x)
         nodes = materialize(
             halves.select(
