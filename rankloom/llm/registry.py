@@ -1,12 +1,16 @@
 """The queries of this folder by name, each with its SQL or None."""
 
-from rankloom.llm import chat, exact_dedup, mixing, packing, secrets, sharding
+from rankloom.llm import chat, exact_dedup, graph_search, mixing, near_dedup, packing, secrets, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     **packing.QUERIES,
     **chat.QUERIES,
+    **near_dedup.QUERIES,
+    **graph_search.QUERIES,
     **secrets.QUERIES,
     **sharding.QUERIES,
     **exact_dedup.QUERIES,
     **mixing.QUERIES,
+    **suffix_dedup.QUERIES,
+    **toxicity.QUERIES,
 }
