@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 from rankloom.llm.common import table, text_or_empty
 
 WINDOW, STRIDE = 32, 24
-PER_CLASS, WINDOWS_PER_DOC = 1500, 16
+PER_CLASS, WINDOWS_PER_DOC = 3000, 16
 WORD_DIMS, CHAR_DIMS, STATES, ATTENTION = 8, 8, 8, 8
 GRAM_BINS = 1 << 14
 MOST_WORDS_KNOWN, LEAST_DOCS = 20_000, 5
-STEPS, BATCH, RATE, DECAY = 300, 256, 0.01, 0.002
+STEPS, BATCH, RATE, DECAY = 400, 256, 0.01, 0.002
 THRESHOLD = 0.3
 CACHED_WORDS = 400_000
 EDGES = ".,;:!?\"'()[]"
