@@ -33,12 +33,20 @@ PHONE_DIGITS = (10, 15)
 # An apostrophe, straight or typographic: features read texts whose quotes were not made plain.
 QUOTE = r"['\u2019\u2018]"
 
+# Job descriptions are read as they are, and there only these two count as an apostrophe after "years".
+JOB_QUOTE = r"['\u2019]"
+
 # "3+ years of experience": number, optional range, unit, at most four words, "experience".
-STATED_YEARS = (
-    rf"(?i)([0-9]{{1,2}})[{SPACE}]*\+?[{SPACE}]*(?:-[{SPACE}]*[0-9]{{1,2}}[{SPACE}]*)?"
-    rf"(?:years?|yrs?){QUOTE}?[{SPACE}]+(?:of[{SPACE}]+)?"
-    rf"(?:[{WORD}\-/&,]+[{SPACE}]+){{0,4}}?experience"
-)
+def stated_years(quote: str) -> str:
+    return (
+        rf"(?i)([0-9]{{1,2}})[{SPACE}]*\+?[{SPACE}]*(?:-[{SPACE}]*[0-9]{{1,2}}[{SPACE}]*)?"
+        rf"(?:years?|yrs?){quote}?[{SPACE}]+(?:of[{SPACE}]+)?"
+        rf"(?:[{WORD}\-/&,]+[{SPACE}]+){{0,4}}?experience"
+    )
+
+
+STATED_YEARS = stated_years(QUOTE)
+JOB_STATED_YEARS = stated_years(JOB_QUOTE)
 LONGEST_CAREER = 45
 
 MONTH = (

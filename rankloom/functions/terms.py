@@ -3,38 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import patterns as P
+from .stop_words import ENGLISH
 from .text import strip
 
 CHUNK_WORDS = 200
+MOST_STOP_WORDS = 10_000
 
 
-@lru_cache(maxsize=1)
 def default_stop_words() -> tuple[str, ...]:
-    """The English list of scikit-learn where that is installed, else the one Spark ships.
-
-    Which words count as stop words is a parameter of the similarity; pass a list, or read one
-    with :func:`read_stop_words`, to pin it.
-    """
-    try:
-        from sklearn.feature_extraction.text import ENGLISH_STOP_WORDS
-
-        return tuple(sorted(ENGLISH_STOP_WORDS))
-    except ImportError:
-        from pyspark.ml.feature import StopWordsRemover
-
-        return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+    """The 318 English words that are left out unless other stop words are given."""
+    return tuple(ENGLISH)
 
 
 def read_stop_words(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """A stop-word list from a text file, words separated by white space."""
+    """A stop-word list from a text file, words separated by white space; at most MOST_STOP_WORDS of them."""
     words = spark.read.text(path).select(F.explode(F.split(F.lower("value"), r"\s+")).alias("w"))
-    return tuple(r.w for r in words.where("w <> ''").distinct().orderBy("w").collect())
+    found = [r.w for r in words.where("w <> ''").distinct().orderBy("w").limit(MOST_STOP_WORDS + 1).collect()]
+    if len(found) > MOST_STOP_WORDS:
+        raise ValueError(f"{path} holds more than {MOST_STOP_WORDS} words: not a list of stop words")
+    return tuple(found)
 
 
 def tokens(text: Column, stop_words: Sequence[str]) -> Column:
@@ -71,7 +63,7 @@ def add_term_counts(documents: DataFrame, stop_words: Sequence[str], text: str =
     ends = F.concat(F.slice("_begins", 2, F.greatest(F.size("_begins"), F.lit(1))), F.array(F.size("_grams")))
     counted = runs.withColumns(
         {
-            "terms": F.array_distinct("_grams"),
+            "terms": F.transform("_begins", lambda i: F.get("_grams", i)),
             "counts": F.when(F.size("_grams") > 0, F.zip_with(ends, "_begins", lambda e, b: e - b)).otherwise(
                 F.array().cast("array<int>")
             ),

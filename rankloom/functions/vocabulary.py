@@ -19,70 +19,81 @@ from .patterns import WORD
 # ---- fixed values: the default dictionary, 100 skills in 8 categories and 37 aliases --------
 
 DEFAULT_SKILLS = {
-    "programming": "python, r programming, java, javascript, typescript, c++, c#, scala, matlab, bash, php",
-    "databases": "sql, mysql, postgresql, sqlite, oracle, mongodb, nosql, snowflake, bigquery, redshift",
-    "analytics_bi": (
-        "excel, power bi, tableau, looker, google sheets, dax, power query, data analysis, "
-        "data visualization, data cleaning, dashboards, reporting, statistics, hypothesis testing, "
-        "a/b testing, forecasting, regression, etl, pandas, numpy, matplotlib, seaborn, plotly"
-    ),
-    "ml_ai": (
-        "machine learning, deep learning, scikit-learn, tensorflow, pytorch, keras, xgboost, "
-        "natural language processing, computer vision, spacy, nltk, hugging face, llm, feature engineering"
-    ),
-    "data_engineering_cloud": (
-        "spark, hadoop, airflow, kafka, aws, azure, google cloud, docker, kubernetes, git, github, linux"
-    ),
-    "web": "html, css, react, angular, node.js, django, flask, fastapi, streamlit, rest api",
-    "business": (
-        "crm, salesforce, recruitment, talent acquisition, payroll, negotiation, sales, marketing, seo, "
-        "financial modeling, accounting, sap"
-    ),
-    "soft_skills": (
-        "communication, leadership, teamwork, problem solving, stakeholder management, "
-        "project management, agile, scrum"
-    ),
+    "programming": [
+        "python", "r programming", "java", "javascript", "typescript", "c++", "c#", "scala", "matlab",
+        "bash", "php",
+    ],
+    "databases": [
+        "sql", "mysql", "postgresql", "sqlite", "oracle", "mongodb", "nosql", "snowflake", "bigquery",
+        "redshift",
+    ],
+    "analytics_bi": [
+        "excel", "power bi", "tableau", "looker", "google sheets", "dax", "power query", "data analysis",
+        "data visualization", "data cleaning", "dashboards", "reporting", "statistics", "hypothesis testing",
+        "a/b testing", "forecasting", "regression", "etl", "pandas", "numpy", "matplotlib", "seaborn",
+        "plotly",
+    ],
+    "ml_ai": [
+        "machine learning", "deep learning", "scikit-learn", "tensorflow", "pytorch", "keras", "xgboost",
+        "natural language processing", "computer vision", "spacy", "nltk", "hugging face", "llm",
+        "feature engineering",
+    ],
+    "data_engineering_cloud": [
+        "spark", "hadoop", "airflow", "kafka", "aws", "azure", "google cloud", "docker", "kubernetes", "git",
+        "github", "linux",
+    ],
+    "web": [
+        "html", "css", "react", "angular", "node.js", "django", "flask", "fastapi", "streamlit", "rest api",
+    ],
+    "business": [
+        "crm", "salesforce", "recruitment", "talent acquisition", "payroll", "negotiation", "sales",
+        "marketing", "seo", "financial modeling", "accounting", "sap",
+    ],
+    "soft_skills": [
+        "communication", "leadership", "teamwork", "problem solving", "stakeholder management",
+        "project management", "agile", "scrum",
+    ],
 }
 
-DEFAULT_ALIASES = """
-powerbi = power bi
-microsoft power bi = power bi
-ms excel = excel
-microsoft excel = excel
-advanced excel = excel
-sklearn = scikit-learn
-scikit learn = scikit-learn
-postgres = postgresql
-js = javascript
-nodejs = node.js
-node js = node.js
-reactjs = react
-react.js = react
-ml = machine learning
-nlp = natural language processing
-gcp = google cloud
-amazon web services = aws
-k8s = kubernetes
-dashboard = dashboards
-data viz = data visualization
-visualization = data visualization
-visualisation = data visualization
-ab testing = a/b testing
-a-b testing = a/b testing
-problem-solving = problem solving
-team work = teamwork
-team player = teamwork
-restful api = rest api
-restful apis = rest api
-rest apis = rest api
-statistical analysis = statistics
-big query = bigquery
-huggingface = hugging face
-large language models = llm
-llms = llm
-data cleansing = data cleaning
-data wrangling = data cleaning
-"""
+DEFAULT_ALIASES = {
+    "powerbi": "power bi",
+    "microsoft power bi": "power bi",
+    "ms excel": "excel",
+    "microsoft excel": "excel",
+    "advanced excel": "excel",
+    "sklearn": "scikit-learn",
+    "scikit learn": "scikit-learn",
+    "postgres": "postgresql",
+    "js": "javascript",
+    "nodejs": "node.js",
+    "node js": "node.js",
+    "reactjs": "react",
+    "react.js": "react",
+    "ml": "machine learning",
+    "nlp": "natural language processing",
+    "gcp": "google cloud",
+    "amazon web services": "aws",
+    "k8s": "kubernetes",
+    "dashboard": "dashboards",
+    "data viz": "data visualization",
+    "visualization": "data visualization",
+    "visualisation": "data visualization",
+    "ab testing": "a/b testing",
+    "a-b testing": "a/b testing",
+    "problem-solving": "problem solving",
+    "team work": "teamwork",
+    "team player": "teamwork",
+    "restful api": "rest api",
+    "restful apis": "rest api",
+    "rest apis": "rest api",
+    "statistical analysis": "statistics",
+    "big query": "bigquery",
+    "huggingface": "hugging face",
+    "large language models": "llm",
+    "llms": "llm",
+    "data cleansing": "data cleaning",
+    "data wrangling": "data cleaning",
+}
 
 # Characters that must not touch a term: a full stop may follow it but not precede it.
 _BEFORE = rf"(?<![{WORD}+#.])"
@@ -139,15 +150,7 @@ def vocabulary(categories: Mapping[str, list[str]], aliases: Mapping[str, str] |
     return Vocabulary(category_of, skill_of)
 
 
-def default_vocabulary() -> Vocabulary:
-    pairs = (line.split(" = ") for line in DEFAULT_ALIASES.strip().splitlines())
-    return vocabulary(
-        {category: names.split(", ") for category, names in DEFAULT_SKILLS.items()},
-        {alias: skill for alias, skill in pairs},
-    )
-
-
-DEFAULT_VOCABULARY = default_vocabulary()
+DEFAULT_VOCABULARY = vocabulary(DEFAULT_SKILLS, DEFAULT_ALIASES)
 
 
 def lookup_table(entries: Mapping[str, str]) -> Column:

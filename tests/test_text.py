@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -129,3 +130,21 @@ def test_norm_quotes(column):
 def test_strip_knows_unicode_space(column):
     assert column(X.strip, ["   a b  \x1c"]) == ["a b"]
     assert column(lambda t: F.length(X.strip(t)), ["​"]) == [1]
+
+
+def test_default_stop_words():
+    from rankloom.functions.terms import default_stop_words
+
+    words = default_stop_words()
+    assert len(words) == len(set(words)) == 318 and list(words) == sorted(words)
+    assert {"the", "whereafter", "co", "bill"} <= set(words) and "python" not in words
+
+
+def test_stop_words_from_a_file_are_bounded(spark, tmp_path, monkeypatch):
+    from rankloom.functions import terms
+
+    (tmp_path / "words.txt").write_text("The of\nand")
+    assert terms.read_stop_words(spark, str(tmp_path / "words.txt")) == ("and", "of", "the")
+    monkeypatch.setattr(terms, "MOST_STOP_WORDS", 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        terms.read_stop_words(spark, str(tmp_path / "words.txt"))
