@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary, lookup_table
-from ..runtime import is_small
+from ..runtime import is_light
 from .scoring import COMPONENTS
 
 TABLE_COLUMNS = (
@@ -74,7 +74,7 @@ def split_by_category(rows: DataFrame, relevant: DataFrame, relevant_rows: bool
     """Rows whose category is, or is not, in the one-column table ``relevant``. NULL is not."""
     how = "left_semi" if relevant_rows else "left_anti"
     names = relevant.select("category").distinct()
-    return rows.join(F.broadcast(names) if is_small(names) else names, "category", how)
+    return rows.join(F.broadcast(names) if is_light(names) else names, "category", how)
 
 
 def lookup_by_id(rows: DataFrame, ids: Column | str | list[str]) -> DataFrame:
@@ -85,6 +85,6 @@ def lookup_by_id(rows: DataFrame, ids: Column | str | list[str]) -> DataFrame:
 
 def texts_of(chosen: DataFrame, documents: DataFrame) -> DataFrame:
     """Add the text to a handful of chosen ids, however many documents there are."""
-    return documents.join(F.broadcast(chosen) if is_small(chosen) else chosen, "id", "inner")
+    return documents.join(F.broadcast(chosen) if is_light(chosen) else chosen, "id", "inner")
 
 

@@ -24,7 +24,10 @@ def rank_files(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rank a collection for the job description in one file; evaluate it where labels are given."""
     jobs = load_jobs(spark, job)
-    name = jobs.first()["jd_id"]
+    found = [r.jd_id for r in jobs.select("jd_id").limit(3).collect()]
+    if len(found) != 1:
+        raise ValueError(f"{job} must be one job description, but holds {found or 'none'}{' or more' * (len(found) > 2)}")
+    name = found[0]
     ranked = rank_candidates(in_one_pool(load_documents(spark, documents), name), jobs, current_year, **options)
     if out:
         write_ranking(ranked, out)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # One row per job is broadcast only up to this many jobs; see attach().
 BROADCAST_ROWS = 5_000
+# Rows of unknown width are broadcast only if their bytes stay below this too.
+BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
 
@@ -59,14 +61,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal rows that come from few files over all shuffle partitions, ahead of costly work on each row.
+    """Deal rows that lie in few tasks over all shuffle partitions, ahead of costly work on each row.
 
-    Files that cannot be split are one task each, however many cores wait. Where there is a file or
-    more per core nothing is moved: the scan is spread already. The number of partitions is given
-    because adaptive execution would otherwise merge them by their bytes.
+    What counts is how many tasks of the scan hold rows: a file that splits is as good as many, and one that
+    cannot be split is one task, however many cores wait. Counting reads no column of the table. Where there are
+    as many such tasks as cores nothing is moved. The number of partitions is given because adaptive execution
+    would otherwise merge them by their bytes.
     """
     spark = df.sparkSession
-    if len(df.inputFiles()) >= spark.sparkContext.defaultParallelism:
+    filled = df.select(F.spark_partition_id().alias("_part")).distinct().count()
+    if filled >= spark.sparkContext.defaultParallelism:
         return df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
@@ -76,6 +80,13 @@ def is_small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return dim.limit(rows + 1).count() <= rows
 
 
+def is_light(dim: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``dim`` has at most ``rows`` rows that take at most about ``size`` bytes as text."""
+    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in dim.columns])))
+    n, total = dim.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return n <= rows and total <= size
+
+
 def attach(facts: DataFrame, dim: DataFrame, key: str, spread_by: Column, small: bool, how: str = "inner") -> DataFrame:
     """Equi-join ``facts`` with one row per ``key``.
 

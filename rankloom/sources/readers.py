@@ -1,8 +1,9 @@
 """Documents, job descriptions and labels from files or tables.
 
-Loaded documents have ``pos bigint, id string, category string, text string``; ``pos`` is unique and
-follows input order. CSV with line breaks inside fields cannot be split, so large collections should
-be loaded once and kept as parquet.
+Loaded documents have ``pos bigint, id string, category string, text string``; ``pos`` is unique and follows
+input order: files by path, rows as they stand in them. CSV with line breaks inside fields cannot be split,
+so large collections should be loaded once and kept as parquet, or be read with ``multi_line=False`` where
+no field has a line break.
 """
 
 from __future__ import annotations
@@ -21,12 +22,17 @@ TEXT_COLUMNS = ("Resume_str", "resume_str", "resume_text", "Resume", "resume", "
 ID_COLUMNS = ("ID", "id", "Id", "resume_id")
 CATEGORY_COLUMNS = ("Category", "category")
 
-TEXT_SUFFIX = r"(?i)\.txt$"
+TEXT_FILES = "*.[tT][xX][tT]"
+# Documents in these formats count as candidates too, but nothing here decodes them.
+UNREAD_FILES = "*.{[pP][dD][fF],[dD][oO][cC][xX]}"
 
+# Sources below each other: the number of the source above, the position in it below.
+_SOURCE_BITS = 48
 
-def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header, quoted fields and line breaks inside them; every column is text."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+
+def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """CSV with a header and quoted fields; every column is text. Without ``multi_line`` files are split among tasks."""
+    return spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
 
 
 def _present(columns: Sequence[str], known: Sequence[str]) -> str | None:
@@ -49,10 +55,9 @@ def resolve_columns(raw: DataFrame) -> DataFrame:
         (F.col(f"`{category}`") if category else F.lit("")).cast("string").alias("category"),
         F.col(f"`{text}`").alias("text"),
     )
-    if key is None:
-        # Counting rows exactly takes a pass over them; done only when the numbers become ids.
-        return row_ordinals(rows).select("pos", F.col("pos").cast("string").alias("id"), "category", "text")
-    return rows.select(F.monotonically_increasing_id().alias("pos"), "id", "category", "text")
+    numbered = row_ordinals(rows)
+    made_up = F.col("pos").cast("string").alias("id")
+    return numbered.select("pos", "id" if key else made_up, "category", "text")
 
 
 def prepare_text(documents: DataFrame, redact: bool = True) -> DataFrame:
@@ -65,13 +70,21 @@ def load_table(raw: DataFrame, redact: bool = True) -> DataFrame:
     return prepare_text(resolve_columns(raw), redact)
 
 
-def load_csv(spark: SparkSession, path: str | list[str], redact: bool = True) -> DataFrame:
-    return load_table(read_csv(spark, path), redact)
+def load_csv(spark: SparkSession, path: str | list[str], redact: bool = True, multi_line: bool = True) -> DataFrame:
+    return load_table(read_csv(spark, path, multi_line), redact)
+
+
+def read_files(spark: SparkSession, folder: str, names: str = TEXT_FILES) -> DataFrame:
+    """``(path, content)`` of the files directly in ``folder`` whose name matches; other files are not opened."""
+    files = spark.read.format("binaryFile").options(recursiveFileLookup="false", pathGlobFilter=names)
+    return files.load(folder).select("path", "content")
 
 
-def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``(path, content)`` of the files directly in ``folder``."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder).select("path", "content")
+def _no_unread(spark: SparkSession, folder: str) -> None:
+    unread = read_files(spark, folder, UNREAD_FILES).select("path")
+    some = [r.path for r in unread.orderBy("path").limit(3).collect()]
+    if some:
+        raise ValueError(f"{unread.count()} files in {folder} are in formats that are not decoded, such as {some}")
 
 
 def decode_utf8(content: Column) -> Column:
@@ -84,27 +97,28 @@ def file_stem(path: Column) -> Column:
 
 
 def text_files(files: DataFrame) -> DataFrame:
-    """``(id, category, text)`` of the text files among ``(path, content)``; the id is the name's stem."""
-    return files.where(F.regexp_like("path", F.lit(TEXT_SUFFIX))).select(
-        file_stem(F.col("path")).alias("id"), F.lit("").alias("category"), decode_utf8(F.col("content")).alias("text")
+    """``(id, category, text)`` and ``pos``, if there is one, of ``(path, content)``; the id is the name's stem."""
+    return files.select(
+        *(c for c in files.columns if c == "pos"),
+        file_stem(F.col("path")).alias("id"), F.lit("").alias("category"), decode_utf8(F.col("content")).alias("text"),
     )
 
 
-def load_files(files: DataFrame, redact: bool = True) -> DataFrame:
-    """Documents out of ``(path, content)``, in name order."""
-    ordered = files.repartitionByRange("path").sortWithinPartitions("path")
-    named = text_files(ordered).withColumn("pos", F.monotonically_increasing_id())
-    return prepare_text(named.select("pos", "id", "category", "text"), redact)
-
-
 def load_folder(spark: SparkSession, folder: str, redact: bool = True) -> DataFrame:
-    return load_files(read_files(spark, folder), redact)
+    """Documents out of the text files in a folder, in order of their paths. Numbering reads paths only.
+
+    Files that would be documents but cannot be decoded are an error, not left out.
+    """
+    _no_unread(spark, folder)
+    return prepare_text(text_files(row_ordinals(read_files(spark, folder))).select("pos", "id", "category", "text"), redact)
 
 
 def union_sources(sources: Sequence[DataFrame]) -> DataFrame:
-    """All sources below each other, duplicates included, with new positions in that order."""
-    rows = reduce(DataFrame.unionByName, (s.drop("pos") for s in sources))
-    return rows.select(F.monotonically_increasing_id().alias("pos"), "id", "category", "text")
+    """All sources below each other, duplicates included; positions follow that order."""
+    rows = (
+        s.select((F.lit(i << _SOURCE_BITS) + F.col("pos")).alias("pos"), "id", "category", "text") for i, s in enumerate(sources)
+    )
+    return reduce(DataFrame.unionByName, rows)
 
 
 def jobs_from_files(files: DataFrame) -> DataFrame:
@@ -117,5 +131,10 @@ def load_jobs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Labels ``(id, label)`` from CSV; ids stay text, so leading zeros survive."""
-    return spark.read.csv(path, header=True, schema="id string, label int")
+    """Labels ``(id, label, pos)`` from CSV; ids stay text, so leading zeros survive.
+
+    ``pos`` is the label's place: files by the time they were written, as labels are appended, rows as they stand.
+    """
+    rows = spark.read.csv(path, header=True, schema="id string, label int")
+    written = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
+    return rows.select("id", "label", F.struct(written, F.monotonically_increasing_id()).alias("pos"))

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rankloom.operators.ordering import first_rows, rank_rows, row_ordinals, running_total
@@ -66,6 +67,31 @@ def test_first_rows_cuts_before_the_shuffle(spark):
     assert plan_of(best).count("WindowGroupLimit") >= 2, plan_of(best)
 
 
+@pytest.mark.parametrize("n", [1_001, 5_000])
+def test_first_rows_cuts_before_the_shuffle_for_any_n(spark, n):
+    rows = spark.range(20_000, numPartitions=4).select((F.col("id") % 3 == 0).alias("g"), "id")
+    best = first_rows(rows, ["g"], [F.col("id").desc()], n)
+    plan = plan_of(best)
+    window, cut = plan.index("Window"), plan.index("(_row#")
+    assert window < plan.index("Exchange hashpartitioning(g") < cut
+    got = {}
+    for r in best.collect():
+        got.setdefault(r.g, []).append(r.id)
+    want = [i for i in range(20_000) if i % 3 == 0]
+    assert sorted(got[True]) == want[-n:] and len(got[False]) == n
+
+
+def test_offsets_do_not_move_the_rows(spark):
+    rows = spark.range(3_000, numPartitions=4).select((F.col("id") % 5).alias("g"), "id", F.lit("wide").alias("text"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(rank_rows(rows, ["g"], [F.col("id").asc()]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_nothing_to_number(spark):
     none = spark.range(0).select(F.lit(1).alias("g"), "id")
     assert rank_rows(none, ["g"], [F.col("id").asc()]).count() == 0

@@ -1,8 +1,9 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from rankloom.runtime import materialize, scratch_dir, scratch_path, spread
+from rankloom.runtime import is_light, materialize, scratch_dir, scratch_path, spread
 
 
 class FakeContext:
@@ -42,3 +43,26 @@ def test_rows_move_only_when_files_are_few(spark, tmp_path):
     spark.range(100, numPartitions=spark.sparkContext.defaultParallelism).write.parquet(many)
     plan = lambda path: spread(spark.read.parquet(path), "id")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" in plan(few) and "Exchange" not in plan(many)
+
+
+def test_one_file_of_many_splits_stays(spark, tmp_path):
+    """What counts is tasks with rows, not files."""
+    cores = spark.sparkContext.defaultParallelism
+    one = str(tmp_path / "one")
+    spark.range(40_000).selectExpr("id", "sha2(string(id), 256) AS text").coalesce(1).write.option("parquet.block.size", 65536).parquet(one)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        rows = spark.read.parquet(one)
+        assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= cores
+        assert "Exchange" not in spread(rows, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_wide_rows_are_not_light(spark):
+    assert is_light(spark.range(5).selectExpr("id", "repeat('x', 100) AS t"))
+    assert not is_light(spark.range(5).selectExpr("id", "repeat('x', 100) AS t"), size=300)
+    assert not is_light(spark.range(6), rows=5)

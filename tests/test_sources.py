@@ -6,6 +6,7 @@ from rankloom.plans.batch import labelling_pool, load_documents, rank_files
 from rankloom.runtime import scratch_dir
 from rankloom.sources import readers, sinks
 from rankloom.streaming.intake import start_intake
+from tests.conftest import plan_of
 
 CSV = 'ID,Category,Resume_str\n007,HR,"First ""line""\n\nsecond, line  x@y.example"\nR2,,\nR3,IT,"plain"\n'
 
@@ -47,6 +48,39 @@ def test_folder(spark, tmp_path):
     assert [(r.id, r.category, r.text) for r in rows] == [("a", "", "one\ntwo"), ("b.two", "", "café ok")]
 
 
+def test_positions_follow_files_not_tasks(spark, tmp_path):
+    """A small file first: Spark packs the larger one into the first task."""
+    (tmp_path / "a.csv").write_text("text\nfirst\n")
+    (tmp_path / "b.csv").write_text("text\n" + "".join(f"row {i}\n" for i in range(50)))
+    (tmp_path / "c.csv").write_text("text\nlast\n")
+    for multi_line in (True, False):
+        rows = readers.load_csv(spark, str(tmp_path / "*.csv"), multi_line=multi_line).orderBy("pos").collect()
+        assert [r.text for r in rows] == ["first", *(f"row {i}" for i in range(50)), "last"]
+        assert [r.id for r in rows] == [str(i) for i in range(52)]
+    plan = plan_of(readers.resolve_columns(readers.read_csv(spark, str(tmp_path / "*.csv"))))
+    assert "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_files_that_are_not_decoded_are_an_error(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one")
+    (tmp_path / "b.PDF").write_bytes(b"%PDF")
+    with pytest.raises(ValueError, match="1 files .* b.PDF|1 files"):
+        readers.load_folder(spark, str(tmp_path))
+    assert [r.jd_id for r in readers.load_jobs(spark, str(tmp_path)).collect()] == ["a"]
+
+
+def test_a_ranking_needs_exactly_one_job(spark, tmp_path):
+    jobs, people = tmp_path / "jobs", tmp_path / "people.csv"
+    jobs.mkdir()
+    people.write_text("id,text\n1,python\n")
+    with pytest.raises(ValueError, match="must be one job"):
+        rank_files(spark, str(jobs), str(people), 2026)
+    for name in ("x", "y"):
+        (jobs / f"{name}.txt").write_text("Python")
+    with pytest.raises(ValueError, match="'x', 'y'"):
+        rank_files(spark, str(jobs), str(people), 2026)
+
+
 def test_union_keeps_duplicates(spark):
     one = readers.resolve_columns(spark.createDataFrame([("a", "x")], "id string, text string"))
     both = readers.union_sources([one, one, one]).collect()
@@ -57,7 +91,7 @@ def test_labels_append(spark, tmp_path):
     store = str(tmp_path / "labels")
     for batch in ([("01", 1), ("2", 0)], [("3", 2)]):
         sinks.append_labels(spark.createDataFrame(batch, "id string, label int"), store)
-    assert sorted(map(tuple, readers.load_labels(spark, store).collect())) == [("01", 1), ("2", 0), ("3", 2)]
+    assert sorted(map(tuple, readers.load_labels(spark, store).select("id", "label").collect())) == [("01", 1), ("2", 0), ("3", 2)]
 
 
 def test_category_split_sends_null_to_other(spark):
