@@ -24,13 +24,18 @@ _BY = ["jd_id", "method"]
 
 
 def join_labels(ranked: DataFrame, labels: DataFrame) -> DataFrame:
-    """Ranked rows that have a label. Ids meet as text; repeated ids give one row per pair."""
-    tags = labels.select(F.col("id").cast("string").alias("id"), F.col("label"))
+    """Ranked rows that have a label. Ids meet as text; repeated ids give one row per pair.
+
+    ``label_pos`` is the place of the label in its store: the column ``pos`` of ``labels`` where there is one
+    (:func:`rankloom.sources.readers.load_labels` gives it), else the order in which they are read.
+    """
+    place = F.col("pos") if "pos" in labels.columns else F.monotonically_increasing_id()
+    tags = labels.select(F.col("id").cast("string").alias("id"), F.col("label"), place.alias("label_pos"))
     return ranked.withColumn("id", F.col("id").cast("string")).join(tags, "id", "inner")
 
 
 def scores_by_method(labelled: DataFrame, score_columns: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
-    """One row per method and labelled candidate: ``(jd_id, method, rank, label, score, scored)``.
+    """One row per method and labelled candidate: ``(jd_id, method, rank, label, label_pos, score, scored)``.
 
     A missing score counts as 0; ``scored`` remembers that it was there.
     """
@@ -41,19 +46,21 @@ def scores_by_method(labelled: DataFrame, score_columns: Sequence[str] = SCORE_C
             for c in present
         )
     )
-    return labelled.select("jd_id", "rank", F.col("label").cast("double"), F.explode(pairs).alias("m")).select(
+    columns = ["jd_id", "rank", F.col("label").cast("double"), "label_pos"]
+    return labelled.select(*columns, F.explode(pairs).alias("m")).select(
         "jd_id",
         "m.method",
         "rank",
         "label",
+        "label_pos",
         F.coalesce("m.raw", F.lit(0.0)).alias("score"),
         F.col("m.raw").isNotNull().alias("scored"),
     )
 
 
 def precision_at_k(scores: DataFrame, ks: Sequence[int] = KS, relevant: float = RELEVANT) -> DataFrame:
-    """Share of relevant rows among the first k, ties in ranked order."""
-    top = first_rows(scores, _BY, [F.col("score").desc(), F.col("rank").asc()], max(ks))
+    """Share of relevant rows among the first k, ties in ranked order; labels of one id in the order of their store."""
+    top = first_rows(scores, _BY, [F.col("score").desc(), F.col("rank").asc(), F.col("label_pos").asc()], max(ks))
     hit = (F.col("label") >= relevant).cast("double")
     return top.groupBy(*_BY).agg(*(F.avg(F.when(F.col("_place") <= k, hit)).alias(f"p_at_{k}") for k in ks))
 
@@ -131,9 +138,11 @@ def evaluate_rankings(
     """``(jd_id, method, p_at_*, ndcg_at_*, spearman)``; methods without any score are left out."""
     needed = ["jd_id", "id", "rank", *(c for c in score_columns if c in ranked.columns)]
     scores = materialize(scores_by_method(join_labels(ranked.select(*needed), labels), score_columns), "labelled-scores")
-    n, lowest = scores.agg(F.count(F.lit(1)), F.min("label")).first()
+    n, labelled, lowest = scores.agg(F.count(F.lit(1)), F.count("label"), F.min("label")).first()
     if not n:
         raise ValueError("no ranked id has a label")
+    if labelled < n:
+        raise ValueError("labels must not be missing")
     if lowest is not None and lowest < 0:
         raise ValueError("labels must not be negative")
 

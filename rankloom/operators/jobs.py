@@ -28,7 +28,7 @@ def split_optional(jobs: DataFrame, text: str = "text") -> DataFrame:
 
 def min_years(text: Column) -> Column:
     """The first stated number of years anywhere in the text, however large."""
-    return F.nullif(F.regexp_extract(text, P.STATED_YEARS, 1), F.lit("")).cast("double")
+    return F.nullif(F.regexp_extract(text, P.JOB_STATED_YEARS, 1), F.lit("")).cast("double")
 
 
 def min_education(text: Column) -> Column:

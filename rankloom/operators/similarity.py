@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.terms import add_term_counts, default_stop_words
@@ -47,6 +47,14 @@ def with_job_texts(candidates: DataFrame, jobs: DataFrame) -> DataFrame:
     return members.unionByName(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"))
 
 
+def check_pools(candidates: DataFrame, jobs: DataFrame) -> None:
+    """Every pool needs a job: its candidates would otherwise vanish from the ranking."""
+    lost = candidates.select("jd_id").distinct().join(jobs.select("jd_id"), "jd_id", "left_anti").limit(4).collect()
+    if lost:
+        names = ", ".join(str(r.jd_id) for r in lost[:3]) + (" and others" if len(lost) > 3 else "")
+        raise ValueError(f"pools without a job: {names}")
+
+
 def corpus_sizes(corpus: DataFrame) -> DataFrame:
     return corpus.groupBy("jd_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -95,8 +103,10 @@ def frequent_terms(counted: DataFrame) -> DataFrame:
 
     This only decides which way a term takes below; either way is exact.
     """
-    files = counted.inputFiles()
-    some = counted.sparkSession.read.schema(counted.schema).parquet(*files[:: max(len(files) // SAMPLED_FILES, 1)])
+    # Only the number of files comes to Python; the scan leaves out the files that the filter rejects.
+    files = len(counted._jdf.inputFiles())
+    of_file = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(max(files // SAMPLED_FILES, 1)))
+    some = counted.where(of_file == 0) if files > SAMPLED_FILES else counted
     every = max(some.count() // SAMPLED_DOCUMENTS, 1)
     sample = some.where(F.pmod(F.xxhash64("pos"), F.lit(every)) == 0)
     rows = sample.agg(F.sum(F.size("terms"))).first()[0] or 0
@@ -108,27 +118,29 @@ def cosine_with_job(members: DataFrame, jobs: DataFrame, stop_words: Sequence[st
     """TF-IDF cosine of every document with the job of its pool: ``(jd_id, pos, similarity)``.
 
     ``members`` is a parquet table with ``jd_id, pos, terms, counts``, read several times here;
-    ``jobs`` has ``jd_id, text`` and ``small`` says that they are few. The result is a light step over
-    a stored table.
+    ``jobs`` has ``jd_id, text``, one for every pool (:func:`check_pools`), and ``small`` says that they are few.
+    The result is a light step over a stored table.
 
     A weight needs the number of documents that share the term, and the few terms that most documents
     share cannot be brought together in one task each. So frequent terms are counted first, in every
     task on its own, and their counts are broadcast; those rows never leave their partition before
-    they have become one row per document. All other rows meet by term.
+    they have become one row per document. All other terms are counted with partial sums in every task,
+    and rows meet their term's count in a join, whose large partitions can be split. Terms that one
+    document alone has, most of them, are left out of it: their count is known.
     """
     columns = ["jd_id", "pos", "terms", "counts"]
     own = add_term_counts(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
-    counted = members.select(columns).unionByName(own.select(columns))
+    own = materialize(own.select(columns), "job-terms")
+    counted = members.select(columns).unionByName(own)
     sizes = corpus_sizes(counted)
     tf = term_rows(counted)
     frequent = F.broadcast(frequent_terms(members.select(columns)))
     common = document_frequencies(tf.join(frequent, ["jd_id", "term"], "left_semi"))
     near = tf.join(F.broadcast(_with_idf(common, sizes, "term", small)), ["jd_id", "term"])
 
-    same_term = Window.partitionBy("jd_id", "term")
-    far = tf.join(frequent, ["jd_id", "term"], "left_anti").withColumns(
-        {"df": F.count(F.lit(1)).over(same_term), "job_tf": F.max(_job_tf()).over(same_term)}
-    )
+    rare = tf.join(frequent, ["jd_id", "term"], "left_anti")
+    shared = document_frequencies(rare).where((F.col("df") > 1) | F.col("job_tf").isNotNull())
+    far = rare.join(shared, ["jd_id", "term"], "left").withColumn("df", F.coalesce("df", F.lit(1)))
     nothing = counted.select("jd_id", "pos", F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2"))
     far = _with_idf(far, sizes, "pos", small)
     parts = nothing.unionByName(_products(near)).unionByName(_products(far))
@@ -149,6 +161,7 @@ def tfidf_similarity(candidates: DataFrame, jobs: DataFrame, stop_words: Sequenc
     ``candidates`` has ``jd_id, pos, text`` and ``jobs`` has ``jd_id, text``. A text that shares
     nothing with the job, or is empty, scores 0.
     """
+    check_pools(candidates, jobs)
     stop_words = default_stop_words() if stop_words is None else stop_words
     texts = spread(candidates.select("jd_id", F.col("pos").cast("bigint").alias("pos"), "text"), "pos")
     members = materialize(add_term_counts(texts, stop_words).drop("text"), "term-counts")
@@ -176,7 +189,8 @@ def semantic_similarity(chunks: DataFrame, queries: DataFrame) -> DataFrame:
 def minmax(scores: DataFrame, column: str, name: str, small: bool) -> DataFrame:
     """Scale ``column`` to 0..1 within every pool; a pool without spread is clipped instead.
 
-    Reads ``scores`` twice, for the bounds and for the rows, so they should be cheap to read.
+    Reads ``scores`` twice, for the bounds and for the rows, so they should be cheap to read. Similarities come cut
+    to STABLE_DIGITS digits, so a pool whose spread is below that counts as one without spread.
     """
     bounds = scores.groupBy("jd_id").agg(
         F.min(column).alias("_low"), F.max(column).alias("_high"), F.count(F.lit(1)).alias("_n")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from ..functions.terms import add_term_counts, default_stop_words
 from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary
 from ..operators import scoring
 from ..operators.jobs import parse_job_descriptions
-from ..operators.ordering import rank_rows
-from ..operators.similarity import cosine_with_job, minmax, semantic_similarity
+from ..operators.ordering import first_rows, rank_rows
+from ..operators.similarity import check_pools, cosine_with_job, minmax, semantic_similarity
 from ..runtime import attach, is_small, materialize, spread
 
 RANKING_COLUMNS = [
@@ -24,6 +25,10 @@ RANKING_COLUMNS = [
 ]
 
 
+# Jobs that one call ranks a collection for.
+MOST_JOBS = 20
+
+
 def in_one_pool(documents: DataFrame, jd_id: str | int) -> DataFrame:
     """All documents as candidates for a single job.
 
@@ -33,25 +38,37 @@ def in_one_pool(documents: DataFrame, jd_id: str | int) -> DataFrame:
     return documents.withColumn("jd_id", F.when(F.col("pos").isNotNull(), F.lit(jd_id)))
 
 
-def score_candidates(
-    candidates: DataFrame,
+def score_candidates(candidates: DataFrame, jobs: DataFrame, current_year: int, **options) -> DataFrame:
+    """Candidates ``(jd_id, pos, id, category, text)`` with all scores and their explanation, in no order.
+
+    The texts are read once, which is by far the dearest step, in one pass without a shuffle. What
+    was read is stored: features and term counts. Options are those of :func:`score_read`.
+    """
+    return explained(_scored(candidates, jobs, current_year, **options))
+
+
+def _scored(
+    candidates: DataFrame, jobs: DataFrame, current_year: int, stop_words: Sequence[str] | None = None,
+    vocab: Vocabulary = DEFAULT_VOCABULARY, **options,
+) -> DataFrame:
+    check_pools(candidates, jobs)
+    stop_words = default_stop_words() if stop_words is None else stop_words
+    read = materialize(read_documents(candidates, current_year, stop_words, vocab), "read-documents")
+    return score_read(read, jobs, stop_words, vocab, **options)
+
+
+def score_read(
+    read: DataFrame,
     jobs: DataFrame,
-    current_year: int,
+    stop_words: Sequence[str],
+    vocab: Vocabulary = DEFAULT_VOCABULARY,
     weights: Mapping[str, float] | None = None,
     vectors: DataFrame | None = None,
     job_vectors: DataFrame | None = None,
-    stop_words: Sequence[str] | None = None,
-    vocab: Vocabulary = DEFAULT_VOCABULARY,
 ) -> DataFrame:
-    """Candidates ``(jd_id, pos, id, category, text)`` with all scores, in no order.
-
-    The texts are read once, which is by far the dearest step, in one pass without a shuffle. What
-    was read is stored: features and term counts.
-    """
-    stop_words = default_stop_words() if stop_words is None else stop_words
+    """Scores of documents that :func:`read_documents` has read and stored; every pool has its job in ``jobs``."""
     small = is_small(jobs)
     profiles = parse_job_descriptions(jobs, vocab)
-    read = materialize(read_documents(candidates, current_year, stop_words, vocab), "read-documents")
     similar = cosine_with_job(read, jobs, stop_words, small)
 
     rows = read.drop("terms", "counts").join(_scaled(similar, "tfidf_score", small), ["jd_id", "pos"])
@@ -63,7 +80,11 @@ def score_candidates(
         rows = rows.withColumn("semantic_score", F.lit(None).cast("double"))
 
     profiled = attach(rows, profiles.drop("text"), "jd_id", F.col("pos"), small)
-    scored = scoring.with_final_score(scoring.with_weights(scoring.with_feature_scores(profiled), weights))
+    return scoring.with_final_score(scoring.with_weights(scoring.with_feature_scores(profiled), weights))
+
+
+def explained(scored: DataFrame) -> DataFrame:
+    """Scored rows with their matches, education in words and explanation."""
     return scoring.with_matches(scored).withColumns(
         {"education": education_label(F.col("education_level")), "explanation": scoring.explanation()}
     )
@@ -82,14 +103,48 @@ def _scaled(similarity: DataFrame, name: str, small: bool) -> DataFrame:
     return minmax(similarity, "similarity", name, small).select("jd_id", "pos", name)
 
 
+def _ranked(scored: DataFrame) -> DataFrame:
+    # Stored before the ranges are drawn, which takes a pass of its own.
+    narrow = materialize(explained(scored).select("pos", *(c for c in RANKING_COLUMNS if c != "rank")), "scored")
+    return rank_rows(narrow, ["jd_id"], scoring.rank_order()).select(*RANKING_COLUMNS)
+
+
 def rank_candidates(candidates: DataFrame, jobs: DataFrame, current_year: int, **options) -> DataFrame:
     """The full ranking, one row per candidate with ``rank`` from 1 within its job.
 
-    Options are those of :func:`score_candidates`.
+    Options are those of :func:`score_read`, ``stop_words`` and ``vocab``.
     """
-    scored = score_candidates(candidates, jobs, current_year, **options)
-    narrow = scored.select("pos", *(c for c in RANKING_COLUMNS if c != "rank"))
-    return rank_rows(narrow, ["jd_id"], scoring.rank_order()).select(*RANKING_COLUMNS)
+    return _ranked(_scored(candidates, jobs, current_year, **options))
+
+
+def top_candidates(candidates: DataFrame, jobs: DataFrame, current_year: int, n: int, **options) -> DataFrame:
+    """The first ``n`` rows of every job's ranking.
+
+    Every task cuts its scored rows down before they move, and only the rows that are left are explained; the
+    ranking itself is never sorted or stored.
+    """
+    best = first_rows(_scored(candidates, jobs, current_year, **options), ["jd_id"], scoring.rank_order(), n, "rank")
+    return explained(best).select(*RANKING_COLUMNS)
+
+
+def rank_for_jobs(
+    documents: DataFrame, jobs: DataFrame, current_year: int, stop_words: Sequence[str] | None = None,
+    vocab: Vocabulary = DEFAULT_VOCABULARY, weights: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """One collection ranked for each of a handful of jobs, its texts read once.
+
+    ``documents`` has ``pos, id, category, text`` and ``jobs`` has ``jd_id, text``, at most MOST_JOBS of them, as every
+    job ranks the whole collection.
+    """
+    names = [r.jd_id for r in jobs.select("jd_id").distinct().orderBy("jd_id").limit(MOST_JOBS + 1).collect()]
+    if not 0 < len(names) <= MOST_JOBS:
+        raise ValueError(f"a collection is ranked for 1 to {MOST_JOBS} jobs at once")
+    stop_words = default_stop_words() if stop_words is None else stop_words
+    read = materialize(read_documents(in_one_pool(documents, names[0]), current_year, stop_words, vocab), "read-documents")
+    scored = (
+        score_read(in_one_pool(read, name), jobs.where(F.col("jd_id") == name), stop_words, vocab, weights) for name in names
+    )
+    return _ranked(reduce(DataFrame.unionByName, scored))
 
 
 def weights_used(jobs: DataFrame, weights: Mapping[str, float] | None = None, semantic: bool = False) -> DataFrame:

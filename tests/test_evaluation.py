@@ -3,6 +3,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankloom.operators import evaluation as E
 
@@ -101,3 +102,28 @@ def test_rounding(spark):
     labels = spark.createDataFrame([("1", 2), ("2", 0), ("3", 0)], "id string, label int")
     (row,) = E.evaluate_rankings(ranked, labels).collect()
     assert row.p_at_3 == 0.333
+
+
+def test_labels_of_one_id_count_in_the_order_of_their_store(spark):
+    ranked = spark.createDataFrame([("j", 1, "a", 5.0), ("j", 2, "b", 4.0)], "jd_id string, rank int, id string, final_score double")
+    for labels, want in (([("a", 0), ("a", 2), ("b", 0)], 0.0), ([("a", 2), ("a", 0), ("b", 0)], 1.0)):
+        tags = spark.createDataFrame(labels, "id string, label int")
+        result = E.evaluate_rankings(ranked, tags, ks=(1, 3)).first()
+        assert result.p_at_1 == want
+        with_pos = tags.withColumn("pos", -F.monotonically_increasing_id())
+        assert E.evaluate_rankings(ranked, with_pos, ks=(1, 3)).first().p_at_1 == 1.0 - want
+
+
+def test_missing_labels_are_an_error(spark):
+    ranked = spark.createDataFrame([("j", 1, "a", 5.0)], "jd_id string, rank int, id string, final_score double")
+    with pytest.raises(ValueError, match="missing"):
+        E.evaluate_rankings(ranked, spark.createDataFrame([("a", None)], "id string, label int"))
+
+
+def test_three_digits_unless_told_otherwise(spark):
+    rows = [("j", i, str(i), 1.0 / i) for i in range(1, 8)]
+    ranked = spark.createDataFrame(rows, "jd_id string, rank int, id string, final_score double")
+    labels = spark.createDataFrame([(str(i), i % 3) for i in range(1, 8)], "id string, label int")
+    figures = E.evaluate_rankings(ranked, labels).first()
+    exact = E.evaluate_rankings(ranked, labels, digits=9).first()
+    assert figures.ndcg_at_5 == round(exact.ndcg_at_5, 3) != exact.ndcg_at_5

@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from rankloom.operators import insights, pools
 from rankloom.operators.scoring import DEFAULT_WEIGHTS
-from rankloom.plans.screening import in_one_pool, rank_candidates, weights_used
+from rankloom.plans.screening import in_one_pool, rank_candidates, rank_for_jobs, top_candidates, weights_used
 from rankloom.operators.jobs import parse_job_descriptions
 
 JOB = "Requirements:\n- Python, SQL and Excel\n- 2+ years of experience\n- Bachelor's degree\nNice to have: Tableau"
@@ -176,3 +177,28 @@ def test_unlabelled(spark):
     pool = spark.createDataFrame([("1",), ("2",)], "id string")
     labels = spark.createDataFrame([(1, 0)], "id long, label int")
     assert [r.id for r in pools.unlabelled(pool, labels).collect()] == ["2"]
+
+
+def test_several_jobs_on_one_read_equal_single_rankings(spark):
+    people = spark.createDataFrame(
+        [(i, str(i), "A", f"python {'sql' * (i % 2)} word{i} 3 years of experience") for i in range(12)],
+        "pos long, id string, category string, text string",
+    )
+    jobs = spark.createDataFrame([("x", "Python and SQL\n2 years of experience"), ("y", "word3 python"), ("z", "excel")], "jd_id string, text string")
+    together = rank_for_jobs(people, jobs, 2026)
+    got = {}
+    for r in together.collect():
+        got.setdefault(r.jd_id, []).append(r)
+    for name, rows in got.items():
+        alone = rank_candidates(in_one_pool(people, name), jobs.where(F.col("jd_id") == name), 2026).collect()
+        assert sorted(rows, key=lambda r: r["rank"]) == sorted(alone, key=lambda r: r["rank"])
+        best = top_candidates(in_one_pool(people, name), jobs.where(F.col("jd_id") == name), 2026, 4).collect()
+        assert sorted(best, key=lambda r: r["rank"]) == sorted(alone, key=lambda r: r["rank"])[:4]
+    with pytest.raises(ValueError, match="1 to"):
+        rank_for_jobs(people, jobs.limit(0), 2026)
+
+
+def test_the_best_are_cut_before_the_shuffle(spark):
+    people = spark.createDataFrame([(i, str(i), "A", f"python word{i}") for i in range(30)], "pos long, id string, category string, text string")
+    jobs = spark.createDataFrame([("x", "python sql")], "jd_id string, text string")
+    assert plan_of(top_candidates(in_one_pool(people, "x"), jobs, 2026, 3)).count("WindowGroupLimit") >= 2

@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from rankloom import runtime
 from rankloom.operators import similarity as S
 
@@ -122,3 +123,15 @@ def test_minmax(spark):
     df = spark.createDataFrame(rows, "jd_id long, pos long, x double")
     got = {(r.jd_id, r.pos): r.y for r in S.minmax(df, "x", "y", True).collect()}
     assert got == {(1, 1): 0.0, (1, 2): 1.0, (1, 3): 0.5, (2, 1): 1.0, (3, 1): 0.0, (3, 2): 0.0, (4, 1): 0.4}
+
+
+def test_pools_without_a_job_are_an_error(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("jd_id"), F.col("id").alias("pos"), F.lit("python").alias("text"))
+    with pytest.raises(ValueError, match="pools without a job: .* and others"):
+        S.tfidf_similarity(rows, spark.createDataFrame([(1, "python")], "jd_id long, text string"))
+
+
+def test_no_window_by_term(spark):
+    rows = spark.createDataFrame([(1, 1, "python and sql"), (1, 2, "sql only")], "jd_id long, pos long, text string")
+    jobs = spark.createDataFrame([(1, "sql wanted")], "jd_id long, text string")
+    assert "Window" not in plan_of(S.tfidf_similarity(rows, jobs))
