@@ -1,50 +1,103 @@
 """Candidates and job descriptions derived from the given tables, in Spark and in SQL.
 
-The prose of the tables holds no skills, years or degrees. Every document becomes a candidate by
-putting a few lines in front of its text, every benchmark item a job description likewise. What those
-lines say follows from the row's number, so the SQL side can state the expected features from the
-number alone, without matching any pattern.
+The prose of the tables holds no skills, years or degrees. Every document becomes a candidate by putting a few lines in
+front of its text, every benchmark item a job description likewise. The lines come from lists of cases, one for each rule
+that the operators follow (spans that overlap, leave gaps, stay open, run backwards, ...), dealt by the row's number with
+different moduli, so that all combinations occur. Next to every case stands what is expected of it, as a template over the
+same numbers; the SQL side states that, without matching any pattern.
 """
 
 from __future__ import annotations
 
+import re
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankloom.functions.stop_words import ENGLISH
 from rankloom.functions.vocabulary import DEFAULT_VOCABULARY
 from rankloom.runtime import spread
 
 YEAR = 2026
+# The year that span_validity_filter judges by.
+EARLIER_YEAR = YEAR - 2
 
 # The job that whole-table rankings use; every benchmark has it.
 SINGLE_JOB = 2
+# The jobs that one collection is ranked for at once.
+SEVERAL_JOBS = [1, 4, 6]
 
-STOP_WORDS = (
-    "a about all an and are as at be been but by can de der die do en for from had has have he her his how i if in "
-    "is it its la le les may more my no not of on or our out she so some such than that the their them then there "
-    "these they this to und under up was we were what when which who will with would you your"
-).split()
+STOP_WORDS = ENGLISH
 
 CATEGORIES = ["QUALITY", "FIELD-SUPPORT", "SHOP-FLOOR", "FRONT-DESK", "BACK-OFFICE", "NIGHT-SHIFT", "TRANSPORT"]
 RELEVANT_CATEGORIES = ["QUALITY", "BACK-OFFICE", "TRANSPORT"]
 
-DEGREES = [
-    ("B.Tech in Drawing", 2),
-    ("B.Sc in Weaving", 2),
-    ("Bachelor of Commerce", 2),
-    ("MBA", 3),
-    ("M.Tech in Design", 3),
-    ("Diploma in Joinery", 1),
-    ("B.E. in Metals", 2),
+# Numbers in templates: {name+n} is start + document number % modulus + n; the one without a name is a year.
+NUMBERS = {"": (2005, 7), "open": (2020, 6), "school": (1995, 4), "k": (1, 9)}
+_NUMBER = re.compile(r"\{([a-z]*)\+?(\d*)\}")
+
+
+class Spans(NamedTuple):
+    """Lines about past work, and what is expected: spans found, those that are work, those valid in the earlier year,
+    years covered."""
+
+    lines: str | None = None
+    found: str | None = None
+    work: str | None = None
+    earlier: str | None = None
+    years: str = "0"
+
+
+_FAR = "on the roads " * 5
+SPAN_CASES = [
+    Spans(),
+    Spans("Dockhand {0} to {4}\nCrane crew {2} - {7}", "{0}-{4},{2}-{7}", "{0}-{4},{2}-{7}", "{0}-{4},{2}-{7}", "7"),
+    Spans("Ledger room {0} \u2013 Sep {2}\nStock count {5}-{9}", "{0}-{2},{5}-{9}", "{0}-{2},{5}-{9}", "{0}-{2},{5}-{9}", "6"),
+    # Of the open starts the last lies after the earlier year; OPEN_EARLIER says so in SQL.
+    Spans("Night porter {open} to present", f"{{open}}-{YEAR}", f"{{open}}-{YEAR}", f"{{open}}-{EARLIER_YEAR}", f"({YEAR} - (2020 + doc_id % 6))"),
+    Spans("Kiln {0} - {8}\nKiln hand {1} - {3}\nKiln {0} - {8}", *["{0}-{8},{1}-{3},{0}-{8}"] * 3, "8"),
+    Spans(
+        "Forge {3} - {0}\nLoom {0} till 2025\nBookings 2027 - 2029", "{3}-{0},{0}-2025,2027-2029", "{3}-{0},{0}-2025,2027-2029",
+        None, "(2025 - (2005 + doc_id % 7))",
+    ),
+    Spans("Farm 1970 to 2020\nMill 1980 - 2025", "1970-2020,1980-2025", "1970-2020,1980-2025", None, "45"),
+    Spans(
+        f"Helper at a college {{0}} - {{3}}\nMasonry academy, {_FAR}{{1}} - {{5}}", "{0}-{3},{1}-{5}", "{1}-{5}", "{1}-{5}", "4"
+    ),
+]
+# Every other document has a span that is schooling.
+SCHOOL = ("Institute of joinery ({school} - {school+3})", "{school}-{school+3}")
+
+# A statement of years and the years that count.
+STATED_CASES = [
+    (None, None),
+    ("{k} years of site experience", "{k}"),
+    ("{k}-{k+2} yrs\u2019 hands-on yard experience", "{k}"),
+    ("50 years of proud house experience, {k}+ years in quiet trade experience", "{k}"),
+    ("{k} years of deck experience and {k+3} yrs galley experience", "{k+3}"),
+]
+
+# Wordings of every education pattern, and the levels they name.
+EDUCATION_CASES = [
+    (None, []),
+    ("Holds a doctorate", [4]),
+    ("Ph.D, earlier M.Sc", [3, 4]),
+    ("Master of Arts, Bachelors in Music", [2, 3]),
+    ("PGDM and B.Com", [2, 3]),
+    ("Postgraduate, diploma", [1, 3]),
+    ("BCA", [2]),
+    ("B. E with diploma", [1, 2]),
+    ("To be an under-graduate", [2]),
 ]
 
 HEADINGS = ["Nice to have:", "PREFERRED QUALIFICATIONS", "Bonus points:", "Good-to-have", "  Desirable:"]
 
-# Odd documents write the last alias of a skill, where it has one.
+# The last alias of a skill, where it has one, is its second spelling.
 _ALIAS = {skill: alias for alias, skill in DEFAULT_VOCABULARY.skill_of.items() if alias != skill}
-# (number, skill, category, spelling in even documents, in odd documents)
+# (number, skill, category, spelling, second spelling)
 SKILLS = [
-    (k, skill, category, skill, _ALIAS.get(skill, skill).title())
+    (k, skill, category, skill, _ALIAS.get(skill, skill).upper())
     for k, (skill, category) in enumerate(DEFAULT_VOCABULARY.category_of.items())
 ]
 
@@ -57,13 +110,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
-def _listed(number: Column, a: int, b: int, modulus: int, below: int, odd_spelling: bool) -> Column:
-    """Skills k with (number*a + k*b) % modulus < below, as a comma-separated list."""
-    even, odd = (F.split(F.lit("|".join(row[i] for row in SKILLS)), r"\|") for i in (3, 4))
+def _listed(number: Column, a: int, b: int, modulus: int, below: int, second: bool) -> Column:
+    """Skills k with (number*a + k*b) % modulus < below, separated by commas; every third in its second spelling."""
+    one, two = (F.split(F.lit("|".join(row[i] for row in SKILLS)), r"\|") for i in (3, 4))
     held = F.filter(F.sequence(F.lit(0), F.lit(len(SKILLS) - 1)), lambda k: (number * a + k * b) % modulus < below)
     spelling = lambda k: F.when(
-        (number % 2 == 1) & F.lit(odd_spelling), F.element_at(odd, k + 1)
-    ).otherwise(F.element_at(even, k + 1))
+        ((number + k) % 3 == 0) & F.lit(second), F.element_at(two, k + 1)
+    ).otherwise(F.element_at(one, k + 1))
     return F.array_join(F.transform(held, spelling), ", ")
 
 
@@ -71,45 +124,42 @@ def _pick(options: list, number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, options)), (number % len(options) + 1).cast("int"))
 
 
+def _filled(template: str | None, d: Column) -> Column:
+    """A template with its numbers."""
+    if template is None:
+        return F.lit(None).cast("string")
+    parts, at = [], 0
+    for m in _NUMBER.finditer(template):
+        start, modulus = NUMBERS[m[1]]
+        parts += [F.lit(template[at : m.start()]), (d % modulus + start + int(m[2] or 0)).cast("string")]
+        at = m.end()
+    return F.concat(*parts, F.lit(template[at:]))
+
+
+def _case(templates: list, d: Column) -> Column:
+    found = F
+    for i, template in enumerate(templates):
+        found = found.when(d % len(templates) == i, _filled(template, d))
+    return found
+
+
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(pos, id, category, text, jd_id)``; ``jd_id`` is the number of the document's source."""
     d = F.col("doc_id")
-    y = d % 10
-    mid = YEAR - F.floor(y / 2)
-    say = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
-    summary = (
-        F.when(y == 0, F.lit("Summary: fresher looking for a first post."))
-        .when(d % 3 == 0, F.lit("Summary: steady worker."))
-        .when(d % 4 == 0, say("Summary: ", y, " years of experience."))
-        .when(d % 4 == 1, say("Summary: ", y, "+ yrs hands-on shop experience."))
-        .when(d % 4 == 2, say("Summary: ", y, "-", y + 2, " years’ of varied experience."))
-        .otherwise(say("Summary: firm with 60 years of experience; ", y, " years of night shift experience."))
-    )
-    work = (
-        F.when(y == 0, F.lit("Helper, Northside (3 months)"))
-        .when(
-            d % 3 == 0,
-            say("Clerk, Northside (", YEAR - y, " - ", mid, ")\nClerk, Southside (", mid, " – Present)"),
-        )
-        .otherwise(F.lit("Clerk, Northside (2001 to 2003)"))
-    )
-    graduated = YEAR - y - d % 2
     text = F.concat_ws(
         "\n",
-        say("Candidate ", d),
-        say("Email: person", d, "@mail.example | Phone: +91 98765 4", F.lpad((d % 10000).cast("string"), 4, "0")),
-        summary,
-        say("Skills: ", _listed(d, 31, 17, 23, 4, odd_spelling=True)),
-        F.lit("Work:"),
-        work,
-        F.lit("Education:"),
-        say(_pick([name for name, _ in DEGREES], d), ", City University (", graduated - 4, " - ", graduated, ")"),
+        F.concat(F.lit("Entry "), d),
+        _case([e[0] for e in EDUCATION_CASES], d),
+        F.when(d % 2 == 0, _filled(SCHOOL[0], d)),
+        F.concat(F.lit("Tools and trades: "), _listed(d, 7, 11, 29, 5, second=True)),
+        _case([c.lines for c in SPAN_CASES], d),
+        _case([s[0] for s in STATED_CASES], d),
         F.col("text"),
     )
     return documents(spark, sf_dir).select(
         d.alias("pos"),
         d.cast("string").alias("id"),
-        F.when(d % 11 != 0, _pick(CATEGORIES, F.floor(d / 7))).alias("category"),
+        F.when(d % 11 != 0, _pick(CATEGORIES, d * 5 + F.floor(d / 13))).alias("category"),
         text.alias("text"),
         F.substring("source", 4, 9).cast("bigint").alias("jd_id"),
     )
@@ -118,7 +168,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(jd_id, text)``, one job description per benchmark item."""
     j = F.col("item_id")
-    required = _listed(j, 13, 7, 19, 2, odd_spelling=False)
+    required = _listed(j, 13, 7, 19, 2, second=False)
     education = (
         F.when(j % 8 == 4, F.lit("- Master's degree"))
         .when(j % 4 == 1, F.lit("- Bachelor’s degree"))
@@ -128,7 +178,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     optional = F.concat_ws(
         "\n",
         _pick(HEADINGS, j),
-        F.concat(F.lit("- "), _listed(j, 5, 3, 17, 1, odd_spelling=False)),
+        F.concat(F.lit("- "), _listed(j, 5, 3, 17, 1, second=False)),
         F.lit("- Diploma welcome"),
     )
     text = F.concat_ws(
@@ -159,62 +209,75 @@ def sql_list(options: list) -> str:
     return "[" + ", ".join(quoted(o) if isinstance(o, str) else str(o) for o in options) + "]"
 
 
+def sql_filled(template: str | None) -> str:
+    if template is None:
+        return "NULL"
+    parts, at = [], 0
+    for m in _NUMBER.finditer(template):
+        start, modulus = NUMBERS[m[1]]
+        parts += [quoted(template[at : m.start()]), f"CAST(doc_id % {modulus} + {start + int(m[2] or 0)} AS VARCHAR)"]
+        at = m.end()
+    return " || ".join([*parts, quoted(template[at:])])
+
+
+def sql_case(values: list[str]) -> str:
+    return f"CASE doc_id % {len(values)} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
+
+
 _VOCAB = ",\n    ".join(
-    f"({k}, {quoted(skill)}, {quoted(category)}, {quoted(even)}, {quoted(odd)})" for k, skill, category, even, odd in SKILLS
+    f"({k}, {quoted(skill)}, {quoted(category)}, {quoted(one)}, {quoted(two)})" for k, skill, category, one, two in SKILLS
 )
+_EARLIER = [sql_filled(c.earlier) for c in SPAN_CASES]
+_EARLIER[3] = f"CASE WHEN 2020 + doc_id % 6 <= {EARLIER_YEAR} THEN {_EARLIER[3]} END"
 
 # cand: the candidates with their expected features; skill_of: the expected skills of each.
 CANDIDATE_SQL = f"""
-vocab(k, skill, category, even, odd) AS (VALUES
+vocab(k, skill, category, one, two) AS (VALUES
     {_VOCAB}),
 held AS (
-    SELECT doc_id AS pos, k, skill, CASE WHEN doc_id % 2 = 1 THEN odd ELSE even END AS spelling
-    FROM documents, vocab WHERE (doc_id * 31 + k * 17) % 23 < 4),
+    SELECT doc_id AS pos, k, skill, CASE WHEN (doc_id + k) % 3 = 0 THEN two ELSE one END AS spelling
+    FROM documents, vocab WHERE (doc_id * 7 + k * 11) % 29 < 5),
 written AS (SELECT pos, string_agg(spelling, ', ' ORDER BY k) AS listed FROM held GROUP BY pos),
 skill_of AS (
     SELECT pos, skill FROM held
-    UNION SELECT pos, 'javascript' FROM held WHERE spelling = 'Node Js'),
+    UNION SELECT pos, 'javascript' FROM held WHERE spelling = 'NODE JS'),
 skill_list AS (SELECT pos, list(skill ORDER BY skill) AS skills FROM skill_of GROUP BY pos),
 numbered AS (
-    SELECT *, doc_id % 10 AS y, {YEAR} - (doc_id % 10) // 2 AS mid, {YEAR} - doc_id % 10 - doc_id % 2 AS graduated
+    SELECT *,
+        {sql_case([sql_filled(e[0]) for e in EDUCATION_CASES])} AS studies,
+        {sql_case([f"CAST({sql_list(e[1])} AS INTEGER[])" for e in EDUCATION_CASES])} AS levels,
+        CASE WHEN doc_id % 2 = 0 THEN {sql_filled(SCHOOL[0])} END AS school,
+        CASE WHEN doc_id % 2 = 0 THEN {sql_filled(SCHOOL[1])} END AS school_spans,
+        {sql_case([sql_filled(c.lines) for c in SPAN_CASES])} AS work,
+        {sql_case([sql_filled(c.found) for c in SPAN_CASES])} AS spans,
+        {sql_case([sql_filled(c.work) for c in SPAN_CASES])} AS work_spans,
+        {sql_case(_EARLIER)} AS earlier_spans,
+        {sql_case([c.years for c in SPAN_CASES])} AS covered,
+        {sql_case([sql_filled(s[0]) for s in STATED_CASES])} AS statement,
+        CAST({sql_case([sql_filled(s[1]) for s in STATED_CASES])} AS INTEGER) AS stated_years
     FROM documents),
 cand AS (
     SELECT n.doc_id AS pos, CAST(n.doc_id AS VARCHAR) AS id,
-        CASE WHEN n.doc_id % 11 <> 0 THEN {sql_list(CATEGORIES)}[(n.doc_id // 7) % {len(CATEGORIES)} + 1] END AS category,
+        CASE WHEN n.doc_id % 11 <> 0 THEN {sql_list(CATEGORIES)}[(n.doc_id * 5 + n.doc_id // 13) % {len(CATEGORIES)} + 1] END AS category,
         CAST(substr(n.source, 4) AS BIGINT) AS source_no,
-        concat_ws(chr(10),
-            'Candidate ' || n.doc_id,
-            'Email: person' || n.doc_id || '@mail.example | Phone: +91 98765 4' || lpad(CAST(n.doc_id % 10000 AS VARCHAR), 4, '0'),
-            CASE WHEN y = 0 THEN 'Summary: fresher looking for a first post.'
-                 WHEN n.doc_id % 3 = 0 THEN 'Summary: steady worker.'
-                 WHEN n.doc_id % 4 = 0 THEN 'Summary: ' || y || ' years of experience.'
-                 WHEN n.doc_id % 4 = 1 THEN 'Summary: ' || y || '+ yrs hands-on shop experience.'
-                 WHEN n.doc_id % 4 = 2 THEN 'Summary: ' || y || '-' || (y + 2) || ' years' || chr(8217) || ' of varied experience.'
-                 ELSE 'Summary: firm with 60 years of experience; ' || y || ' years of night shift experience.' END,
-            'Skills: ' || coalesce(w.listed, ''),
-            'Work:',
-            CASE WHEN y = 0 THEN 'Helper, Northside (3 months)'
-                 WHEN n.doc_id % 3 = 0 THEN 'Clerk, Northside (' || ({YEAR} - y) || ' - ' || mid || ')' || chr(10)
-                     || 'Clerk, Southside (' || mid || ' ' || chr(8211) || ' Present)'
-                 ELSE 'Clerk, Northside (2001 to 2003)' END,
-            'Education:',
-            {sql_list([n for n, _ in DEGREES])}[n.doc_id % 7 + 1] || ', City University (' || (graduated - 4) || ' - ' || graduated || ')',
+        concat_ws(chr(10), 'Entry ' || n.doc_id, studies, school, 'Tools and trades: ' || coalesce(w.listed, ''), work, statement,
             n.text) AS text,
         coalesce(s.skills, []) AS skills,
-        CAST(y AS DOUBLE) AS experience_years,
-        CASE WHEN y = 0 OR n.doc_id % 3 = 0 THEN NULL ELSE CAST(y AS INTEGER) END AS stated_years,
-        CAST({sql_list([lv for _, lv in DEGREES])}[n.doc_id % 7 + 1] AS INTEGER) AS education_level
+        CAST(coalesce(stated_years, covered) AS DOUBLE) AS experience_years,
+        stated_years,
+        levels,
+        coalesce(list_max(levels), 0) AS education_level
     FROM numbered n LEFT JOIN written w ON w.pos = n.doc_id LEFT JOIN skill_list s ON s.pos = n.doc_id)"""
 
 # prof: the expected profile of every job.
 JOB_SQL = f"""
 wanted AS (
-    SELECT item_id AS jd_id, k, skill, even FROM benchmark, vocab
+    SELECT item_id AS jd_id, k, skill, one FROM benchmark, vocab
     WHERE (item_id * 13 + k * 7) % 19 < 2 AND item_id % 8 <> 7),
-extra AS (SELECT item_id AS jd_id, k, skill, even FROM benchmark, vocab WHERE (item_id * 5 + k * 3) % 17 < 1),
+extra AS (SELECT item_id AS jd_id, k, skill, one FROM benchmark, vocab WHERE (item_id * 5 + k * 3) % 17 < 1),
 wanted_list AS (
-    SELECT jd_id, string_agg(even, ', ' ORDER BY k) AS listed, list(skill ORDER BY skill) AS skills FROM wanted GROUP BY jd_id),
-extra_list AS (SELECT jd_id, string_agg(even, ', ' ORDER BY k) AS listed FROM extra GROUP BY jd_id),
+    SELECT jd_id, string_agg(one, ', ' ORDER BY k) AS listed, list(skill ORDER BY skill) AS skills FROM wanted GROUP BY jd_id),
+extra_list AS (SELECT jd_id, string_agg(one, ', ' ORDER BY k) AS listed FROM extra GROUP BY jd_id),
 nice_list AS (
     SELECT jd_id, list(skill ORDER BY skill) AS skills
     FROM (SELECT jd_id, skill FROM extra WHERE jd_id % 3 <> 2 EXCEPT SELECT jd_id, skill FROM wanted) GROUP BY jd_id),

@@ -45,8 +45,12 @@ def _single(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 
 def _vectors(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Embeddings as chunks of 100 owners; vector 0 is the query and no candidate."""
-    rows = table(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 100).alias("pos"), F.col("embedding").alias("vector"))
+    """Embeddings as chunks, four or more to an owner, the owners spread over all candidates; vector 0 is the query."""
+    vectors = table(spark, sf, "embeddings")
+    owners = F.lit(max(vectors.count() // 4, 1))
+    apart = F.lit(max(table(spark, sf, "documents").count() // max(vectors.count() // 4, 1), 1))
+    owner = (F.col("vec_id") % owners * apart).alias("pos")
+    rows = vectors.select("vec_id", owner, F.col("embedding").alias("vector"))
     in_pool = screening.in_one_pool(rows, SINGLE_JOB)
     return in_pool.where("vec_id <> 0").drop("vec_id"), in_pool.where("vec_id = 0").select("jd_id", "vector")
 
@@ -102,7 +106,8 @@ def plain(select: str, *ctes: str) -> str:
 
 SEMANTIC_SQL = """
 sims AS (
-    SELECT e.vec_id % 100 AS pos, list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS sim
+    SELECT e.vec_id % (SELECT greatest(count(*) // 4, 1) FROM embeddings)
+        * (SELECT greatest((SELECT count(*) FROM documents) // greatest(count(*) // 4, 1), 1) FROM embeddings) AS pos, list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS sim
     FROM embeddings e JOIN embeddings q ON q.vec_id = 0 WHERE e.vec_id <> 0),
 best AS (
     SELECT pos, round(avg(sim), 10) AS similarity
@@ -111,11 +116,13 @@ best AS (
 COMPONENTS = scoring.COMPONENTS
 
 
-def ranked_ctes(single: bool, weights: dict | None = None, semantic: bool = False) -> list[str]:
+def ranked_ctes(single: bool | list[int], weights: dict | None = None, semantic: bool = False) -> list[str]:
     """CTEs up to ``ranked`` with all columns of a ranking, out of the expected features."""
     weights = scoring.merge_weights(weights)
-    jd = str(SINGLE_JOB) if single else "source_no"
-    pool = f"pool AS (SELECT {jd} AS jd_id, * FROM cand)"
+    jobs = [SINGLE_JOB] if single is True else single or []
+    pool = "pool AS (SELECT {0} AS jd_id, * FROM cand{1})".format(
+        *(("asked", f", (SELECT unnest({jobs}) AS asked)") if jobs else ("source_no", ""))
+    )
     documents = "SELECT jd_id, pos, text FROM pool"
     queries = "SELECT jd_id, text FROM prof WHERE jd_id IN (SELECT jd_id FROM pool)"
     met = "SELECT p.jd_id, p.pos, coalesce(b.similarity, 0) AS similarity FROM pool p LEFT JOIN best b USING (pos)"
@@ -166,7 +173,7 @@ def ranked_ctes(single: bool, weights: dict | None = None, semantic: bool = Fals
     ]
 
 
-def ranked_sql(select: str, *ctes: str, single: bool = False, weights: dict | None = None, semantic: bool = False) -> str:
+def ranked_sql(select: str, *ctes: str, single: bool | list[int] = False, weights: dict | None = None, semantic: bool = False) -> str:
     return with_fixtures(select, *ranked_ctes(single, weights, semantic), *ctes)
 
 
@@ -228,7 +235,7 @@ SMOOTH_IDF = plain("SELECT jd_id, df, round(max(idf), 6) AS idf, count(*) AS ter
 
 
 def _cosines(spark, sf):
-    return similarity.tfidf_similarity(*_plain(spark, sf), fx.STOP_WORDS)
+    return similarity.tfidf_similarity(*_plain(spark, sf))
 
 
 def tfidf_cosine(spark, sf):
@@ -243,7 +250,8 @@ def semantic_top3_mean(spark, sf):
 
 
 def minmax(spark, sf):
-    scaled = similarity.minmax(_cosines(spark, sf), "similarity", "score", small=True)
+    cosines = materialize(_cosines(spark, sf), "cosines")
+    scaled = similarity.minmax(cosines, "similarity", "score", is_small(cosines.select("jd_id").distinct()))
     return scaled.select("jd_id", "pos", F.round("score", 6).alias("score"))
 
 
@@ -338,7 +346,7 @@ DOC_JOB = with_fixtures(
 
 
 def _rank(spark, sf, pools_of=_by_source, **options) -> DataFrame:
-    return screening.rank_candidates(*pools_of(spark, sf), YEAR, stop_words=fx.STOP_WORDS, **options)
+    return screening.rank_candidates(*pools_of(spark, sf), YEAR, **options)
 
 
 def rank_candidates(spark, sf):
@@ -357,7 +365,7 @@ def rank_candidates_weighted(spark, sf):
 
 
 def rank_candidates_semantic(spark, sf):
-    """With vectors for the first hundred candidates; those without any count as 0."""
+    """With vectors for candidates all over the table; those without any count as 0."""
     chunks, asked = _vectors(spark, sf)
     return _shown(_rank(spark, sf, _single, vectors=chunks, job_vectors=asked))
 
@@ -371,7 +379,7 @@ def contributions(spark, sf):
 
 
 def _scored_only(spark, sf):
-    return screening.score_candidates(*_by_source(spark, sf), YEAR, stop_words=fx.STOP_WORDS)
+    return screening.score_candidates(*_by_source(spark, sf), YEAR)
 
 
 def rank(spark, sf):
@@ -379,25 +387,49 @@ def rank(spark, sf):
 
 
 def top_n(spark, sf):
-    return _shown(insights.top_n(_rank(spark, sf, _single), TOP))
+    return _shown(screening.top_candidates(*_single(spark, sf), YEAR, TOP))
+
+
+def rank_for_jobs(spark, sf):
+    """The whole table against several jobs, its texts read once."""
+    openings = fx.jobs(spark, sf).where(F.col("jd_id").isin(fx.SEVERAL_JOBS))
+    return _shown(screening.rank_for_jobs(fx.candidates(spark, sf).drop("jd_id"), openings, YEAR))
 
 
 def ranking_sink(spark, sf):
-    """Written without contributions and read back."""
-    path = scratch_path(spark, "ranking")
-    sinks.write_ranking(_rank(spark, sf), path, "parquet")
-    back = spark.read.parquet(path)
-    return back.select(
-        "rank", "jd_id", "id", "category", *_rounded([c for c in back.columns if c.endswith("_score")]), "experience_years", *TEXTUAL
+    """Written without contributions, once as parquet and once as CSV, and read back from both."""
+    ranked = materialize(_rank(spark, sf), "ranking")
+    paths = {fmt: scratch_path(spark, f"ranking-{fmt}") for fmt in ("parquet", "csv")}
+    for fmt, path in paths.items():
+        sinks.write_ranking(ranked, path, fmt)
+    back = spark.read.parquet(paths["parquet"])
+    csv = spark.read.schema(back.schema).csv(paths["csv"], header=True, quote='"', escape='"', multiLine=True)
+    texts = ["category", *TEXTUAL]
+    # CSV has one notation for an empty text and none for a missing one.
+    both = back.withColumn("written_as", F.lit("parquet")).unionByName(csv.withColumn("written_as", F.lit("csv")))
+    return both.select(
+        "written_as", "rank", "jd_id", "id", *_rounded([c for c in back.columns if c.endswith("_score")]), "experience_years",
+        *(F.coalesce(c, F.lit("")).alias(c) for c in texts),
     )
 
 
-RANKING_SINK = ranked_sql(f"SELECT rank, jd_id, id, category, {sql_rounded(SCORES)}, experience_years, {', '.join(TEXTUAL)} FROM ranked")
+RANKING_SINK = ranked_sql(
+    f"SELECT written_as, rank, jd_id, id, {sql_rounded(SCORES)}, experience_years, "
+    + ", ".join(f"coalesce({c}, '') AS {c}" for c in ["category", *TEXTUAL])
+    + " FROM ranked, (VALUES ('parquet'), ('csv')) formats(written_as)"
+)
 
 
 # ---- evaluation -----------------------------------------------------------------------------
 
 
+def _relabelled(spark, sf):
+    """A label store to which every third label was appended again, with another value."""
+    first = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id"), F.col("quality").alias("label"))
+    again = first.where("cast(id as bigint) % 3 = 0").withColumn("label", 1 - F.col("label"))
+    return first.withColumn("pos", F.lit(0)).unionByName(again.withColumn("pos", F.lit(1)))
+
+
 def _labels(spark, sf):
     return table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id"), F.col("quality").alias("label"))
 
@@ -410,14 +442,14 @@ def join_labels(spark, sf):
 JOIN_LABELS = ranked_sql("SELECT jd_id, rank, id, quality AS label FROM ranked JOIN labels ON pos = doc_id")
 
 
-def _method_scores(spark, sf, pools_of=_by_source):
-    joined = evaluation.join_labels(_rank(spark, sf, pools_of), _labels(spark, sf))
+def _method_scores(spark, sf, pools_of=_by_source, labels=None):
+    joined = evaluation.join_labels(_rank(spark, sf, pools_of), (labels or _labels)(spark, sf))
     return materialize(evaluation.scores_by_method(joined.drop("semantic_score")), "method-scores")
 
 
-def _metric(metric, columns, pools_of=_by_source, **options):
+def _metric(metric, columns, pools_of=_by_source, labels=None, **options):
     def query(spark, sf):
-        return metric(_method_scores(spark, sf, pools_of), **options).select("jd_id", "method", *_rounded(columns))
+        return metric(_method_scores(spark, sf, pools_of, labels), **options).select("jd_id", "method", *_rounded(columns))
 
     return query
 
@@ -427,17 +459,21 @@ P_COLUMNS = [f"p_at_{k}" for k in KS]
 N_COLUMNS = [f"ndcg_at_{k}" for k in KS]
 
 
-def _metric_ctes(methods: list[str]) -> list[str]:
+STORED = "(SELECT doc_id, quality, 0 AS nth FROM labels)"
+RELABELLED = "(SELECT doc_id, quality, 0 AS nth FROM labels UNION ALL SELECT doc_id, 1 - quality, 1 FROM labels WHERE doc_id % 3 = 0)"
+
+
+def _metric_ctes(methods: list[str], labels: str = STORED) -> list[str]:
     """P@K, NDCG@K with averaged ties and Spearman over average ranks, straight from their definitions."""
     unpivoted = " UNION ALL ".join(
-        f"SELECT jd_id, '{m}' AS method, rank, CAST(quality AS DOUBLE) AS label, coalesce({m}_score, 0) AS score "
-        f"FROM ranked JOIN labels ON pos = doc_id" for m in methods
+        f"SELECT jd_id, '{m}' AS method, rank, CAST(quality AS DOUBLE) AS label, nth, coalesce({m}_score, 0) AS score "
+        f"FROM ranked JOIN {labels} ON pos = doc_id" for m in methods
     )
     discount = "CASE WHEN {0} <= {1} THEN 1 / log2({0} + 1) ELSE 0 END"
     return [
         f"long AS ({unpivoted})",
         """placed AS (
-    SELECT *, row_number() OVER (PARTITION BY jd_id, method ORDER BY score DESC, rank) AS place,
+    SELECT *, row_number() OVER (PARTITION BY jd_id, method ORDER BY score DESC, rank, nth) AS place,
         row_number() OVER (PARTITION BY jd_id, method ORDER BY label DESC) AS ideal,
         avg(label) OVER (PARTITION BY jd_id, method, score) AS shared,
         rank() OVER (PARTITION BY jd_id, method ORDER BY score) + (count(*) OVER (PARTITION BY jd_id, method, score) - 1) / 2 AS rs,
@@ -458,12 +494,12 @@ def _metric_ctes(methods: list[str]) -> list[str]:
 METHODS = ["final", "skills", "tfidf"]
 
 
-def metric_sql(columns: list[str], single: bool = False, semantic: bool = False) -> str:
+def metric_sql(columns: list[str], single: bool = False, semantic: bool = False, labels: str = STORED) -> str:
     methods = METHODS + ["semantic"] * semantic
     keep = "" if semantic else "WHERE method <> 'skills' OR jd_id IN (SELECT jd_id FROM prof WHERE len(required) + len(nice) > 0)"
     return ranked_sql(
         f"SELECT CAST(jd_id AS BIGINT) AS jd_id, method, {', '.join(columns)} FROM metrics {keep if not single else ''}",
-        *_metric_ctes(methods), single=single, semantic=semantic,
+        *_metric_ctes(methods, labels), single=single, semantic=semantic,
     )
 
 
@@ -629,6 +665,7 @@ QUERIES = {
     "rank_candidates_by_source": (rank_candidates_by_source, ranked_sql(SQL_SHOWN)),
     "rank_candidates_weighted": (rank_candidates_weighted, ranked_sql(SQL_SHOWN, single=True, weights=WEIGHTS)),
     "rank_candidates_semantic": (rank_candidates_semantic, ranked_sql(SQL_SHOWN, single=True, semantic=True)),
+    "rank_for_jobs": (rank_for_jobs, ranked_sql(SQL_SHOWN, single=fx.SEVERAL_JOBS)),
     "top_n": (top_n, ranked_sql(SQL_SHOWN + f" WHERE rank <= {TOP}", single=True)),
     "ranking_sink": (ranking_sink, RANKING_SINK),
     "join_labels": (join_labels, JOIN_LABELS),
@@ -645,7 +682,9 @@ QUERIES = {
     "ranked_table": (ranked_table, RANKED_TABLE),
     "topk_pool": (topk_pool, TOPK_POOL),
     "stratified_pool": (stratified_pool, STRATIFIED_POOL),
-    "precision_at_k": (_metric(evaluation.precision_at_k, P_COLUMNS, relevant=1), metric_sql(P_COLUMNS)),
+    "precision_at_k": (
+        _metric(evaluation.precision_at_k, P_COLUMNS, labels=_relabelled, relevant=1), metric_sql(P_COLUMNS, labels=RELABELLED)
+    ),
     "ndcg_at_k": (_metric(evaluation.ndcg_at_k, N_COLUMNS), metric_sql(N_COLUMNS)),
     "spearman": (_metric(evaluation.spearman, ["spearman"]), metric_sql(["spearman"])),
     "evaluate_rankings": (evaluate_rankings, metric_sql([*P_COLUMNS, *N_COLUMNS, "spearman"])),

@@ -72,70 +72,113 @@ def sql_grams(x: str) -> str:
 # ---- sources --------------------------------------------------------------------------------
 
 
+def _in_files(rows: DataFrame, number: str, label: str, fmt: str = "csv", **options) -> list[str]:
+    """``rows`` in three files of unequal size, in order of ``number``; a small one comes first."""
+    folder, n = scratch_path(rows.sparkSession, label), F.col(number)
+    parts = {"a": n % 7 == 0, "b": n % 7 > 1, "c": n % 7 == 1}
+    for name, held in parts.items():
+        rows.where(held).coalesce(1).sortWithinPartitions(number).drop(number).write.format(fmt).options(**options).save(f"{folder}/{name}")
+    return [f"{folder}/{name}" for name in parts]
+
+
+# The place of a document in those files.
+FILE_PLACE = "row_number() OVER (ORDER BY CASE doc_id % 7 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END, doc_id) - 1"
+CSV = {
+    "header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents through a CSV file with quotes and line breaks, then cleaned and redacted."""
-    path = scratch_path(spark, "documents-csv")
+    """All documents through CSV files with quotes and line breaks, then cleaned and redacted."""
     raw = table(spark, sf, "documents").select(
-        F.col("doc_id").alias("ID"), F.col("source").alias("Category"), F.col("text").alias("Resume_str")
+        "doc_id", F.col("doc_id").alias("ID"), F.col("source").alias("Category"), F.col("text").alias("Resume_str")
     )
-    raw.write.csv(path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return readers.load_csv(spark, path).select("id", "category", "text")
+    return readers.load_csv(spark, _in_files(raw.withColumnRenamed("doc_id", "_number"), "_number", "documents-csv", **CSV))
 
 
-CSV_SCAN = f"SELECT CAST(doc_id AS VARCHAR) AS id, source AS category, {sql_pii(sql_clean('text'))} AS text FROM documents"
+CSV_SCAN = (
+    f"SELECT {FILE_PLACE} AS pos, CAST(doc_id AS VARCHAR) AS id, source AS category, {sql_pii(sql_clean('text'))} AS text FROM documents"
+)
 
 
 def resolve_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """A table without id and category: row numbers become ids."""
-    raw = table(spark, sf, "documents").select("lang", F.col("text").alias("Resume"), F.col("n_chars"))
-    return readers.resolve_columns(raw).select("id", "category", F.md5("text").alias("digest"))
+    """A table without id and category: row numbers over all files become ids."""
+    raw = table(spark, sf, "documents").select("doc_id", "lang", F.col("text").alias("Resume"), F.col("n_chars"))
+    files = _in_files(raw, "doc_id", "documents-parquet", "parquet")
+    return readers.resolve_columns(spark.read.parquet(*files)).select("pos", "id", "category", F.md5("text").alias("digest"))
 
 
-# The row number of a parquet row is its place in the file.
-RESOLVE_COLUMNS = (
-    "SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS VARCHAR) AS id, '' AS category, md5(text) AS digest FROM documents"
-)
+RESOLVE_COLUMNS = f"""
+SELECT pos, CAST(pos AS VARCHAR) AS id, '' AS category, digest
+FROM (SELECT {FILE_PLACE} AS pos, md5(text) AS digest FROM documents)"""
 
 
-def _as_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as text files, with suffixes in either case and a byte that is not UTF-8 in each."""
-    suffix = F.when(F.col("doc_id") % 2 == 0, F.lit(".txt")).otherwise(F.lit(".TXT"))
-    return table(spark, sf, "documents").select(
-        F.concat(F.lit("inbox/doc."), F.col("doc_id"), suffix).alias("path"),
-        F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF"))).alias("content"),
-    )
+def _write_files(rows: DataFrame, label: str) -> str:
+    """One file for each ``(name, content)``, in a new folder."""
+    folder = scratch_path(rows.sparkSession, label)
+
+    def put(some) -> None:
+        from pyarrow import fs
+
+        plain = folder.removeprefix("file://") if folder.startswith("file://") else folder.removeprefix("file:")
+        store, base = (fs.LocalFileSystem(), plain) if plain.startswith("/") else fs.FileSystem.from_uri(folder)
+        store.create_dir(base)
+        for row in some:
+            with store.open_output_stream(f"{base}/{row.name}") as out:
+                out.write(bytes(row.content))
+
+    rows.select("name", "content").foreachPartition(put)
+    return folder
 
 
 def folder_scan_txt(spark: SparkSession, sf: str) -> DataFrame:
-    return readers.load_files(_as_files(spark, sf), redact=False).select("id", "category", "text")
+    """Documents as text files, with suffixes in either case and a byte that is not UTF-8 in each, among other files."""
+    suffix = F.when(F.col("doc_id") % 2 == 0, F.lit(".txt")).otherwise(F.when(F.col("doc_id") % 5 == 0, F.lit(".md")).otherwise(F.lit(".TXT")))
+    files = table(spark, sf, "documents").select(
+        F.concat(F.lit("doc."), F.col("doc_id"), suffix).alias("name"),
+        F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF"))).alias("content"),
+    )
+    return readers.load_folder(spark, _write_files(files, "inbox"), redact=False)
 
 
-FOLDER_SCAN = f"SELECT 'doc.' || doc_id AS id, '' AS category, {sql_clean('text')} AS text FROM documents"
+FOLDER_SCAN = f"""
+SELECT row_number() OVER (ORDER BY 'doc.' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.txt' ELSE '.TXT' END) - 1 AS pos,
+    'doc.' || doc_id AS id, '' AS category, {sql_clean('text')} AS text
+FROM documents WHERE doc_id % 2 = 0 OR doc_id % 5 <> 0"""
 
 
 def union_sources(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("category"), "text")
+    """Sources of several files each below each other; ``pos`` in order of sources, files and rows."""
+    documents = table(spark, sf, "documents").select("doc_id", F.col("doc_id").alias("id"), F.col("lang").alias("category"), "text")
+    files = _in_files(documents.withColumnRenamed("doc_id", "_number"), "_number", "documents-parquet", "parquet")
     turns = table(spark, sf, "conversations").select(
-        F.concat_ws("-", "conv_id", "turn").alias("ID"), F.col("role").alias("Category"), F.col("text").alias("Text")
+        F.concat_ws("-", "conv_id", "turn").alias("ID"), F.col("role").alias("Category"), F.col("text").alias("Text"),
+        F.col("conv_id").alias("_number"),
     )
+    talks = _in_files(turns, "_number", "turns-csv", **CSV)
     items = table(spark, sf, "benchmark").select(F.col("item_id").alias("resume_id"), F.col("text").alias("resume_text"))
-    loaded = [readers.load_table(t, redact=False) for t in (documents, turns, items, items)]
-    return readers.union_sources(loaded).select("id", "category", "text")
+    sources = [readers.load_table(t, redact=False) for t in (spark.read.parquet(*files), items, items)]
+    sources.insert(1, readers.load_csv(spark, talks, redact=False))
+    return readers.union_sources(sources).select(
+        F.shiftright("pos", 48).cast("int").alias("source"), (F.col("pos") % (1 << 48)).alias("place"), "id", "category", "text"
+    ).withColumn("place", F.when(F.col("source") != 1, F.col("place")))
 
 
+# Turns of one conversation can come in any order within their file, so only the others' places are checked.
 UNION_SOURCES = f"""
-SELECT id, category, {sql_clean('text')} AS text FROM (
-    SELECT CAST(doc_id AS VARCHAR) AS id, lang AS category, text FROM documents
-    UNION ALL SELECT conv_id || '-' || turn, role, text FROM conversations
-    UNION ALL SELECT CAST(item_id AS VARCHAR), '', text FROM benchmark
-    UNION ALL SELECT CAST(item_id AS VARCHAR), '', text FROM benchmark)"""
+SELECT source, place, id, category, {sql_clean('text')} AS text FROM (
+    SELECT 0 AS source, {FILE_PLACE} AS place, CAST(doc_id AS VARCHAR) AS id, lang AS category, text FROM documents
+    UNION ALL SELECT 1, NULL, conv_id || '-' || turn, role, text FROM conversations
+    UNION ALL SELECT 2, row_number() OVER (ORDER BY item_id) - 1, CAST(item_id AS VARCHAR), '', text FROM benchmark
+    UNION ALL SELECT 3, row_number() OVER (ORDER BY item_id) - 1, CAST(item_id AS VARCHAR), '', text FROM benchmark)"""
 
 
 def jd_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Job descriptions read from files, one each."""
     files = fx.jobs(spark, sf).select(
-        F.concat(F.lit("/jobs/opening_"), "jd_id", F.lit(".txt")).alias("path"), F.col("text").cast("binary").alias("content")
+        F.concat(F.lit("opening_"), "jd_id", F.lit(".txt")).alias("name"), F.col("text").cast("binary").alias("content")
     )
-    return readers.jobs_from_files(files)
+    return readers.load_jobs(spark, _write_files(files, "openings"))
 
 
 JD_SCAN = with_fixtures("SELECT 'opening_' || jd_id AS jd_id, text FROM prof")
@@ -144,7 +187,7 @@ JD_SCAN = with_fixtures("SELECT 'opening_' || jd_id AS jd_id, text FROM prof")
 def labels_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "labels-csv")
     table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label")).write.csv(path, header=True)
-    return readers.load_labels(spark, path)
+    return readers.load_labels(spark, path).select("id", "label")
 
 
 LABELS_SCAN = "SELECT CAST(doc_id AS VARCHAR) AS id, quality AS label FROM labels"
@@ -156,7 +199,7 @@ def labels_append(spark: SparkSession, sf: str) -> DataFrame:
     stored = table(spark, sf, "labels")
     sinks.append_labels(stored.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")), path)
     sinks.append_labels(stored.select(F.concat(F.lit("t"), "doc_id").alias("id"), F.col("toxic").alias("label")), path)
-    return readers.load_labels(spark, path)
+    return readers.load_labels(spark, path).select("id", "label")
 
 
 LABELS_APPEND = """
@@ -262,14 +305,7 @@ def year_spans(spark, sf):
     return _candidates_with(spark, sf, spans=_span_text(features.year_spans(F.col("text"), YEAR)))
 
 
-SPAN_SQL = f"""
-CASE WHEN y = 0 THEN NULL
-     WHEN doc_id % 3 = 0 THEN ({YEAR} - y) || '-' || mid || ',' || mid || '-{YEAR}'
-     ELSE '2001-2003' END"""
-SCHOOL_SQL = "(graduated - 4) || '-' || graduated"
-YEAR_SPANS = with_fixtures(
-    f"SELECT CAST(doc_id AS VARCHAR) AS id, concat_ws(',', {SPAN_SQL}, {SCHOOL_SQL}) AS spans FROM numbered"
-)
+YEAR_SPANS = with_fixtures("SELECT CAST(doc_id AS VARCHAR) AS id, concat_ws(',', school_spans, spans) AS spans FROM numbered")
 
 
 def education_context_filter(spark, sf):
@@ -277,20 +313,15 @@ def education_context_filter(spark, sf):
     return _candidates_with(spark, sf, spans=_span_text(kept))
 
 
-EDUCATION_CONTEXT = with_fixtures(f"SELECT CAST(doc_id AS VARCHAR) AS id, coalesce({SPAN_SQL}, '') AS spans FROM numbered")
+EDUCATION_CONTEXT = with_fixtures("SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(work_spans, '') AS spans FROM numbered")
 
 
 def span_validity_filter(spark, sf):
     """Each candidate once more against an earlier year, which turns later spans into future ones."""
-    return _candidates_with(spark, sf, spans=_span_text(features.work_spans(F.col("text"), YEAR - 2)))
+    return _candidates_with(spark, sf, spans=_span_text(features.work_spans(F.col("text"), fx.EARLIER_YEAR)))
 
 
-SPAN_VALIDITY = with_fixtures(f"""
-SELECT CAST(doc_id AS VARCHAR) AS id, CASE
-    WHEN y = 0 THEN '' WHEN doc_id % 3 <> 0 THEN '2001-2003'
-    ELSE concat_ws(',', CASE WHEN mid <= {YEAR - 2} THEN ({YEAR} - y) || '-' || mid END,
-        CASE WHEN mid <= {YEAR - 2} THEN mid || '-{YEAR - 2}' END) END AS spans
-FROM numbered""")
+SPAN_VALIDITY = with_fixtures("SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(earlier_spans, '') AS spans FROM numbered")
 
 
 def merge_intervals(spark, sf):
@@ -299,9 +330,7 @@ def merge_intervals(spark, sf):
     )
 
 
-MERGE_INTERVALS = with_fixtures("""
-SELECT CAST(doc_id AS VARCHAR) AS id, CAST(CASE WHEN y = 0 THEN 0 WHEN doc_id % 3 = 0 THEN y ELSE 2 END AS DOUBLE) AS years
-FROM numbered""")
+MERGE_INTERVALS = with_fixtures("SELECT CAST(doc_id AS VARCHAR) AS id, CAST(covered AS DOUBLE) AS years FROM numbered")
 
 
 def experience_years(spark, sf):
@@ -372,7 +401,7 @@ def parse_job_description(spark, sf):
 
 
 def tokenize_ngrams(spark, sf):
-    grams = terms.add_ngrams(fx.documents(spark, sf), fx.STOP_WORDS)
+    grams = terms.add_ngrams(fx.documents(spark, sf), terms.default_stop_words())
     return grams.select("doc_id", F.size("grams").cast("bigint").alias("n_grams"), F.md5(F.array_join("grams", "|")).alias("digest"))
 
 
@@ -419,7 +448,7 @@ QUERIES = {
     "span_validity_filter": (span_validity_filter, SPAN_VALIDITY),
     "merge_intervals": (merge_intervals, MERGE_INTERVALS),
     "experience_years": (experience_years, _expected("experience_years AS years")),
-    "education_levels": (education_levels, _expected("CAST(education_level AS VARCHAR) AS levels")),
+    "education_levels": (education_levels, _expected("array_to_string(levels, ',') AS levels")),
     "education_level": (education_level, _expected("education_level AS level")),
     "education_label": (
         education_label,
