@@ -39,9 +39,9 @@ OTHER_CUT = 64
 OTHER_EVERY = 64
 PER_SEQUENCE = 1
 BLOCK_IDS = 1 << 19
-MOST_WORDS = 300_000
-FENCE = "<|startoftext|>"
-FENCE_ID = 49406
+MOST_WORDS = 800_000
+# A character that the vocabulary keeps apart and gives one id.
+FENCE = "\x01"
 
 KINDS = {
     **{c: pa.int64() for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")},
@@ -52,51 +52,108 @@ KINDS = {
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, range int, local_sequence long, offset long, ids binary"
 
 
+class _Lists:
+    """Lists of small ids, one after the other, added in bulk."""
+
+    def __init__(self):
+        self.flat, self.begin, self.count = np.zeros(1 << 16, np.uint16), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+        self.n = self.used = 0
+
+    def add(self, ids: np.ndarray, count: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(count) > len(self.begin):
+            self.begin, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count))
+        new = slice(self.n, self.n + len(count))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.begin[new] = self.used + np.cumsum(count) - count
+        self.count[new] = count
+        self.n, self.used = self.n + len(count), self.used + len(ids)
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the chosen lists in a row, and the place behind each."""
+        n = self.count[which].astype(np.int64)
+        behind = np.cumsum(n)
+        return self.flat[np.repeat(self.begin[which] - behind + n, n) + np.arange(behind[-1] if len(behind) else 0)], behind
+
+
 class WordIds:
     """Ids of texts, word by word: the vocabulary drops white space, so a text's ids are those of its words in turn.
 
-    Words are cut at blanks and line feeds only. Their ids are kept until there are too many, then collected anew.
+    Words are cut at blanks and line feeds only. A word of letters and one mark behind them is the letters' ids and the
+    mark's, as the vocabulary splits letters from other characters; capital ASCII letters are lower-cased first, as it does.
+    Ids are kept until there are too many words, then collected anew.
     """
 
+    MARKS = ".,;:!?"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
+        (self.fence,) = self._encode(FENCE)
         self._clear()
 
-    def _clear(self) -> None:
-        self.code: dict = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint16), 0
-        self.begin: list[int] = []
-        self.count: list[int] = []
-        self.ends: list[bool] = []
-        self._add(None, np.array([END_ID], np.uint16))
-
-    def _add(self, word: str | None, ids: np.ndarray) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint16)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.code[word] = len(self.begin)
-        self.begin.append(self.used)
-        self.count.append(len(ids))
-        self.ends.append(bool(word) and word[-1] in ".!?")
-        self.used += len(ids)
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "<|" not in w]
+    def _clear(self) -> None:
+        self.code: dict = {None: 0}
+        self.stem: dict = {}
+        self.words, self.stems = _Lists(), _Lists()
+        self.ends = np.zeros(1 << 14, bool)
+        self.words.add(np.array([END_ID], np.uint16), np.array([1]))
+        self._learn_stems(["", *self.MARKS])
+
+    def _learn_stems(self, stems: list[str]) -> None:
+        # Lower-case ASCII letters come to the merges as they are; the rest of the tokenizer has nothing to do.
+        letters = [s for s in stems if s.isascii() and s.isalpha() and s.islower()]
+        if letters:
+            merged = [[t.id for t in self.merges.tokenize(s)] for s in letters]
+            self.stem.update(zip(letters, range(self.stems.n, self.stems.n + len(letters))))
+            self.stems.add(np.array([i for ids in merged for i in ids], np.uint16), np.array([len(ids) for ids in merged]))
+        stems = [s for s in stems if s not in self.stem]
+        plain = [s for s in stems if "<|" not in s and FENCE not in s]
         for at in range(0, len(plain), 20_000):
             some = plain[at : at + 20_000]
-            # Special ids are cut out first, so words between fences are tokenized each on their own.
-            ids = np.array(self.tokenizer.encode(FENCE.join(some), add_special_tokens=False).ids, np.uint16)
-            ends = np.append(np.flatnonzero(ids == FENCE_ID), len(ids))
-            begin = 0
-            for word, end in zip(some, ends):
-                self._add(word, ids[begin:end])
-                begin = end + 1
-        for word in words:
-            if "<|" in word:
-                self._add(word, np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint16))
+            ids = np.array(self._encode(f" {FENCE} ".join(some)), np.uint16)
+            fences = ids == self.fence
+            count = np.diff(np.concatenate([[-1], np.flatnonzero(fences), [len(ids)]])) - 1
+            self.stem.update(zip(some, range(self.stems.n, self.stems.n + len(some))))
+            self.stems.add(ids[~fences], count)
+        for s in stems:
+            if "<|" in s or FENCE in s:
+                ids = np.array(self._encode(s), np.uint16)
+                self.stem[s] = self.stems.n
+                self.stems.add(ids, np.array([len(ids)]))
+
+    def _learn(self, words: list[str]) -> None:
+        stems, marks = [], []
+        for w in words:
+            w = w.lower() if w.isascii() else w
+            s = w[:-1]
+            # Beyond these letters, tables of what a letter is can differ.
+            if s and w[-1] in self.MARKS and s.isalpha() and (s.isascii() or max(s) < "\u0250"):
+                stems.append(s)
+                marks.append(w[-1])
+            else:
+                stems.append(w)
+                marks.append("")
+        new = set(stems).difference(self.stem)
+        if new:
+            self._learn_stems(sorted(new))
+        parts = np.empty(2 * len(words), np.int64)
+        parts[::2] = np.fromiter(map(self.stem.__getitem__, stems), np.int64, len(stems))
+        parts[1::2] = np.fromiter(map(self.stem.__getitem__, marks), np.int64, len(marks))
+        ids, _ = self.stems.take(parts)
+        first = self.words.n
+        self.code.update(zip(words, range(first, first + len(words))))
+        self.words.add(ids, self.stems.count[parts].reshape(-1, 2).sum(1))
+        while self.words.n > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ends[first : self.words.n] = np.fromiter((w[-1:] in (".", "!", "?") for w in words), bool, len(words))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids in a row, the place behind each text's end id, and the places behind ends of sentences."""
@@ -110,11 +167,8 @@ class WordIds:
         if new:
             self._learn(sorted(new))
         code = np.fromiter(map(self.code.__getitem__, words), np.int32, len(words))
-        begin, count, ends = np.array(self.begin), np.array(self.count), np.array(self.ends)
-        n = count[code]
-        behind = np.cumsum(n)
-        ids = self.flat[np.repeat(begin[code] - behind + n, n) + np.arange(behind[-1] if len(behind) else 0)]
-        return ids, behind[code == 0], behind[ends[code]]
+        ids, behind = self.words.take(code)
+        return ids, behind[code == 0], behind[self.ends[code]]
 
 
 def choose_cuts(ends: np.ndarray, sentences: np.ndarray, total: int, length: int = LENGTH) -> tuple[np.ndarray, int]:
