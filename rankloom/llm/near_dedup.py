@@ -43,6 +43,7 @@ VALUES, CHUNKS, DISTANCE = 56, 12, 23
 PERCENT = 80
 WORDS = 5
 BLOCK = 512
+MAP_BITS = 26
 SPLIT = 400
 
 _rng = np.random.default_rng(1234)
@@ -170,11 +171,27 @@ def features(docs: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, place long, n_shingles long, node long, entries array<long>")
 
 
+def _may_be_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows whose hash in ``column`` may be in ``wanted``, found without moving them.
+
+    The hashes wanted mark bits in a map of 2**MAP_BITS bits, 8 MB however many there are, which is broadcast. Other
+    hashes can hit a marked bit, so a join must follow; it then moves a small part of the rows.
+    """
+    place = F.pmod(F.col(column), F.lit(1 << MAP_BITS))
+    bucket, bit = F.shiftright(place, 15), place.bitwiseAND(F.lit(32767))
+    marks = wanted.select(bucket.alias("_bucket"), bit.alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_marks"))
+    byte = F.conv(F.hex(F.substring(F.col("_marks"), F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.floor(byte / F.pow(F.lit(2), bit % 8)) % 2 == 1
+    met = rows.withColumn("_bucket", bucket).join(F.broadcast(materialize(marks.coalesce(1), "near-marks")), "_bucket")
+    return met.where(hit).drop("_bucket", "_marks")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The packed sets of the nodes in ``wanted`` (node, place of one of its texts, further columns that are kept)."""
     text = text_or_empty()
     more = [c for c in wanted.columns if c != "place"]
-    texts = docs.select(F.xxhash64(text).alias("place"), text.alias("text")).join(wanted, "place").dropDuplicates(["place"])
+    placed = _may_be_in(docs.select(F.xxhash64(text).alias("place"), text.alias("text")), wanted, "place")
+    texts = placed.join(wanted, "place").dropDuplicates(["place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,7 +306,8 @@ def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
     held = materialize(entered.join(shared.select("entry", "first"), "entry"), "near-entries")
     first = held.groupBy("node").agg(F.min("first").alias("first"))
     place = found.where("node is not null").groupBy("node").agg(F.min("place").alias("place"))
-    sets = materialize(_sets(docs, first.join(place, "node"), words), "near-sets")
+    wanted = materialize(first.join(place, "node"), "near-wanted")
+    sets = materialize(_sets(docs, wanted, words), "near-sets")
     stars = materialize(_stars(sets), "near-stars")
     comps = connected(stars)
     # A node without a confirmed link is a component of its own.
