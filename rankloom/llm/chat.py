@@ -90,15 +90,14 @@ def format_chat(turns: DataFrame) -> DataFrame:
     role = F.coalesce(F.col("role").cast("string"), F.lit(""))
     out = role == "assistant"
     body = flatten(F.col("parts"))
-    listed = F.filter(
-        F.transform(
-            "parts",
-            lambda p, i: F.struct(
-                F.col("turn").cast("long").alias("turn"), i.alias("part"), p["kind"].alias("kind"), p["ref"].alias("ref"), part_tokens(p).alias("tokens")
-            ),
-        ),
-        lambda a: ~a["kind"].eqNullSafe("text"),
-    )
+    def attachment(p: Column, i: Column) -> Column:
+        row = F.struct(
+            F.col("turn").cast("long").alias("turn"), i.alias("part"), p["kind"].alias("kind"), p["ref"].alias("ref"),
+            part_tokens(p).alias("tokens"),
+        )
+        return F.when(p.isNotNull() & ~p["kind"].eqNullSafe("text"), row)
+
+    listed = F.array_compact(F.transform("parts", attachment))
     written = turns.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), out.alias("out"), body.alias("body"),
         F.coalesce(listed, F.expr("cast(array() as array<struct<turn:bigint,part:int,kind:string,ref:string,tokens:bigint>>)")).alias("files"),
