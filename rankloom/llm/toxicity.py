@@ -20,8 +20,7 @@ Repeated rows are scored each on their own. An empty table gives an empty result
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +37,8 @@ GRAM_BINS = 1 << 14
 MOST_WORDS_KNOWN, LEAST_DOCS = 20_000, 5
 STEPS, BATCH, RATE, DECAY = 400, 256, 0.01, 0.002
 THRESHOLD = 0.3
+# Documents whose grams are counted at a time, which bounds the driver's memory.
+SLICE_DOCS = 250
 CACHED_WORDS = 400_000
 EDGES = ".,;:!?\"'()[]"
 
@@ -190,6 +191,12 @@ def _sums(values: np.ndarray, at: np.ndarray, rows: int) -> np.ndarray:
     return np.stack([np.bincount(at, values[:, k], rows) for k in range(values.shape[1])], axis=1).astype(np.float32)
 
 
+def _in_docs(item: np.ndarray, doc: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of item and document."""
+    pairs = np.unique(doc.astype(np.int64) * items + item)
+    return pairs % items, pairs // items
+
+
 def _telling(codes: np.ndarray, toxic: np.ndarray, owner: np.ndarray, bins: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """For each window how far its most telling word or gram is over-represented among toxic documents, in standard errors."""
     size = np.diff(np.append(begin, len(bins)))
@@ -198,19 +205,24 @@ def _telling(codes: np.ndarray, toxic: np.ndarray, owner: np.ndarray, bins: np.n
     label[doc] = toxic
     n1, n0 = max(1, label.sum()), max(1, (label == 0).sum())
 
-    def standard_errors(item: np.ndarray, of_doc: np.ndarray, items: int) -> np.ndarray:
-        pairs = np.unique(item.astype(np.int64) * len(label) + of_doc)
-        item, of_doc = pairs // len(label), pairs % len(label)
-        with_ = [np.bincount(item[label[of_doc] == y], minlength=items) for y in (0, 1)]
-        p = (with_[0] + with_[1]) / (n0 + n1)
-        return (with_[1] / n1 - with_[0] / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
+    def standard_errors(held: np.ndarray) -> np.ndarray:
+        p = held.sum(0) / (n0 + n1)
+        return (held[1] / n1 - held[0] / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
 
     at, _ = np.nonzero(codes)
-    word = codes[codes > 0] - 1
-    z = standard_errors(word, doc[at], len(begin))
-    gram_of = bins[np.repeat(begin[word] - np.cumsum(size[word]) + size[word], size[word]) + np.arange(size[word].sum())]
-    z_gram = standard_errors(gram_of, np.repeat(doc[at], size[word]), GRAM_BINS)
-    best = np.maximum(z, np.maximum.reduceat(z_gram[bins], begin))
+    word, of_doc = _in_docs(codes[codes > 0] - 1, doc[at], len(begin))
+    held = np.stack([np.bincount(word[label[of_doc] == y], minlength=len(begin)) for y in (0, 1)])
+    held_grams = np.zeros((2, GRAM_BINS), np.int64)
+    # Pairs come document by document, so grams can be counted for some documents at a time.
+    edges = np.searchsorted(of_doc, np.arange(0, len(label) + SLICE_DOCS, SLICE_DOCS))
+    for first, last in zip(edges[:-1], edges[1:]):
+        w = word[first:last]
+        n = size[w]
+        gram = bins[np.repeat(begin[w] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        gram, gram_doc = _in_docs(gram, np.repeat(of_doc[first:last], n), GRAM_BINS)
+        for y in (0, 1):
+            held_grams[y] += np.bincount(gram[label[gram_doc] == y], minlength=GRAM_BINS)
+    best = np.maximum(standard_errors(held), np.maximum.reduceat(standard_errors(held_grams)[bins], begin))
     return np.where(codes > 0, best[np.maximum(codes - 1, 0)], -np.inf).max(1)
 
 
@@ -218,19 +230,22 @@ def _best_per(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return pd.Series(values).groupby(owner).transform("max").to_numpy()
 
 
-def train(windows: list[list[str]], toxic: np.ndarray, owner: np.ndarray, steps: int = STEPS, seed: int = 7) -> Network | None:
-    """Fit the network to windows with the labels of their documents; None without both labels."""
-    if not len(windows) or toxic.min() == toxic.max():
+def train(windows: Iterable[str], toxic: np.ndarray, owner: np.ndarray, steps: int = STEPS, seed: int = 7) -> Network | None:
+    """Fit the network to windows (words separated by blanks) with the labels of their documents; None without both labels."""
+    if not len(toxic) or toxic.min() == toxic.max():
         return None
-    in_docs = Counter(w for _, ws in pd.Series(windows).groupby(owner) for w in {w for x in ws for w in x})
-    listed = sorted((w for w, c in in_docs.items() if c >= LEAST_DOCS), key=lambda w: (-in_docs[w], w))[:MOST_WORDS_KNOWN]
+    code: dict[str, int] = {}
+    codes = np.zeros((len(toxic), WINDOW), np.int32)
+    for i, words in enumerate(windows):
+        row = [code.setdefault(w, len(code) + 1) for w in words.split(" ")]
+        codes[i, : len(row)] = row
+    everything = list(code)
+    at, _ = np.nonzero(codes)
+    in_docs = np.bincount(_in_docs(codes[codes > 0] - 1, np.unique(owner, return_inverse=True)[1][at], len(code))[0], minlength=len(code))
+    common = sorted(np.flatnonzero(in_docs >= LEAST_DOCS).tolist(), key=lambda i: (-in_docs[i], everything[i]))
+    listed = [everything[i] for i in common[:MOST_WORDS_KNOWN]]
     net = Network(listed, seed)
     rng = np.random.default_rng(seed)
-    everything = sorted(in_docs)
-    code = {w: i + 1 for i, w in enumerate(everything)}
-    codes = np.zeros((len(windows), WINDOW), np.int64)
-    for i, ws in enumerate(windows):
-        codes[i, : len(ws)] = [code[w] for w in ws]
     rows, bins, begin = net.inputs(everything)
     size = np.diff(np.append(begin, len(bins)))
     adam = Adam(net.p)
@@ -245,7 +260,11 @@ def train(windows: list[list[str]], toxic: np.ndarray, owner: np.ndarray, steps:
     hard = no
 
     def scored(which: np.ndarray) -> np.ndarray:
-        gates = np.concatenate([np.zeros((1, 2, 3 * STATES), np.float32), net.project(net.vectors(rows, bins, begin))])
+        gates = np.zeros((len(rows) + 1, 2, 3 * STATES), np.float32)
+        for i in range(0, len(rows), 20_000):
+            part = slice(i, min(i + 20_000, len(rows)))
+            first, last = begin[i], begin[part.stop] if part.stop < len(begin) else len(bins)
+            gates[i + 1 : part.stop + 1] = net.project(net.vectors(rows[part], bins[first:last], begin[part] - first))
         return np.concatenate([net.forward(gates, codes[which[i : i + 2048]]) for i in range(0, len(which), 2048)])
 
     for step in range(steps):
@@ -383,7 +402,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, steps: i
     # At most 2 * per_class ids are broadcast, and at most that many times WINDOWS_PER_DOC windows collected.
     sample = texts.join(F.broadcast(drawn), "doc_id").mapInPandas(cut, "doc_id long, toxic int, words string").toPandas()
     sample = sample.drop_duplicates().sort_values(["doc_id", "words"], kind="stable")
-    return train([w.split(" ") for w in sample.words], sample.toxic.to_numpy(), sample.doc_id.to_numpy(), steps)
+    return train(sample.words, sample.toxic.to_numpy(), sample.doc_id.to_numpy(), steps)
 
 
 def score(docs: DataFrame, net: Network | None, *columns: str) -> DataFrame:

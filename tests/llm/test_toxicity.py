@@ -102,7 +102,7 @@ def test_awkward_rows_and_no_labels(spark, documents, nothing):
 
 
 def test_training_is_the_same_each_time():
-    windows = [["you", "idiot", str(i)] for i in range(30)] + [["nice", "day", str(i)] for i in range(60)]
+    windows = [f"you idiot {i}" for i in range(30)] + [f"nice day {i}" for i in range(60)]
     toxic, owner = np.array([1] * 30 + [0] * 60), np.arange(90)
     one, two = (train(windows, toxic, owner, steps=60) for _ in range(2))
     assert all((one.p[k] == two.p[k]).all() for k in one.p)
