@@ -81,7 +81,7 @@ class Network:
         # Word vectors begin at 0: what has not been learnt says nothing. The last row is that of unknown words.
         self.p = {
             "word": np.zeros((len(words) + 1, WORD_DIMS), np.float32),
-            "gram": init(GRAM_BINS, CHAR_DIMS, scale=0.1),
+            "gram": init(GRAM_BINS, CHAR_DIMS, scale=0.02),
             "in": init(2, d, 3 * h, scale=d**-0.5),
             "bias": np.zeros((2, 3 * h), np.float32),
             "state": init(2, h, 3 * h, scale=h**-0.5),
@@ -275,7 +275,13 @@ def train(windows: Iterable[str], toxic: np.ndarray, owner: np.ndarray, steps: i
             hard = no[np.argsort(-scored(no), kind="stable")[: max(BATCH, len(no) // 20)]]
         half = BATCH // 2
         pick = np.concatenate([rng.choice(yes, half), rng.choice(no, half // 2), rng.choice(hard, half // 2)])
-        here, local = np.unique(codes[pick], return_inverse=True)
+        drawn = codes[pick]
+        # Pages of one word or a few, over and over, are rare in a sample and look like nothing else in it: some clean
+        # windows are turned into such.
+        junk = np.arange(half, half + half // 8)
+        width = rng.integers(1, 5, len(junk))
+        drawn[junk] = np.take_along_axis(drawn[junk], np.arange(WINDOW) * width[:, None] // WINDOW, 1)
+        here, local = np.unique(drawn, return_inverse=True)
         local = local.reshape(len(pick), WINDOW)
         if here[0] != 0:
             here, local = np.append(0, here), local + 1
