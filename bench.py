@@ -1,5 +1,7 @@
 """Time the headline queries: one JSON line on standard output.
 
+One query runs first to warm up the JVM; short queries are timed twice and the better time counts.
+
 BENCH_SF_DIR names the tables (default /root/testdata/sf0.1), BENCH_CPUS the local cores.
 """
 
@@ -27,10 +29,14 @@ HEADLINE = [
     "tfidf_cosine",
     "semantic_top3_mean",
     "rank_candidates",
+    "rank_for_jobs",
+    "top_n",
     "rank_candidates_by_source",
     "stratified_pool",
     "evaluate_rankings",
 ]
+WARM_UP = "build_features"
+SHORT = 15
 
 
 def main() -> None:
@@ -47,13 +53,18 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{sf_dir}/documents.parquet").count()
 
-    seconds = {}
-    for name in sys.argv[1:] or HEADLINE:
+    def run(name: str) -> float:
         began = time.perf_counter()
         QUERIES[name][0](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - began, 3)
+        return round(time.perf_counter() - began, 3)
+
+    run(WARM_UP)
+    seconds = {}
+    for name in sys.argv[1:] or HEADLINE:
+        seconds[name] = run(name)
+        if seconds[name] < SHORT:
+            seconds[name] = min(seconds[name], run(name))
         print(name, seconds[name], file=sys.stderr, flush=True)
     scale = os.path.basename(os.path.normpath(sf_dir))
     print(
