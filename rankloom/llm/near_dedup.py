@@ -12,6 +12,7 @@ How many links a group has grows with its square, so they are never listed:
 1. Documents with the same set are one node.
 2. Of every entry the smallest node is taken (a combinable minimum); each node is compared with the smallest of those.
    Confirmed links join nodes into components. A group of near copies comes together here, in stars.
+   Pairs that meet in entries of their own are first compared by four bits of each value.
 3. Entries that still hold several components are the open cases. Components that share an open entry form a cluster;
    in a cluster all pairs of nodes of different components within the distance are compared, in blocks of bounded size.
    Nodes of one component are not compared again, so a large group costs one pass for each block of open nodes.
@@ -43,7 +44,6 @@ VALUES, CHUNKS, DISTANCE = 56, 12, 23
 PERCENT = 80
 WORDS = 5
 BLOCK = 512
-MAP_BITS = 26
 SPLIT = 400
 
 _rng = np.random.default_rng(1234)
@@ -141,7 +141,10 @@ def _in_slices(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, in
 
 def features(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, place (hash of the text), n_shingles, node (null for an empty set), entries."""
-    kinds = {"doc_id": pa.int64(), "place": pa.int64(), "n_shingles": pa.int64(), "node": pa.int64(), "entries": pa.list_(pa.int64())}
+    kinds = {
+        "doc_id": pa.int64(), "place": pa.int64(), "n_shingles": pa.int64(), "node": pa.int64(),
+        "entries": pa.list_(pa.int64()), "sketch": pa.binary(),
+    }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,9 +155,11 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                 # Sets of three or fewer can only be similar to equal ones, which are the same node.
                 some = [i for i in full if 100 * (len(sets[i]) - 1) >= PERCENT * len(sets[i])]
                 keys: list = [[]] * len(sets)
+                sketches: list = [None] * len(sets)
                 if some:
-                    for i, row in zip(some, entries(signatures([sets[i] for i in some]))):
-                        keys[i] = row
+                    signed = signatures([sets[i] for i in some])
+                    for i, row, sketch in zip(some, entries(signed), _sketches(signed)):
+                        keys[i], sketches[i] = row, sketch.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(begin, end - begin),
@@ -162,36 +167,45 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array(keys, kinds["entries"]),
+                        pa.array(sketches, kinds["sketch"]),
                     ],
                     names=list(kinds),
                 )
 
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, place long, n_shingles long, node long, entries array<long>")
+    return rows.mapInArrow(run, "doc_id long, place long, n_shingles long, node long, entries array<long>, sketch binary")
 
 
-def _may_be_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
-    """The rows whose hash in ``column`` may be in ``wanted``, found without moving them.
+def _sketches(signature: np.ndarray) -> np.ndarray:
+    """Four bits of each value, two values to a byte."""
+    low = (signature & 15).astype(np.uint8)
+    return low[:, ::2] << 4 | low[:, 1::2]
 
-    The hashes wanted mark bits in a map of 2**MAP_BITS bits, 8 MB however many there are, which is broadcast. Other
-    hashes can hit a marked bit, so a join must follow; it then moves a small part of the rows.
-    """
-    place = F.pmod(F.col(column), F.lit(1 << MAP_BITS))
-    bucket, bit = F.shiftright(place, 15), place.bitwiseAND(F.lit(32767))
-    marks = wanted.select(bucket.alias("_bucket"), bit.alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_marks"))
-    byte = F.conv(F.hex(F.substring(F.col("_marks"), F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.floor(byte / F.pow(F.lit(2), bit % 8)) % 2 == 1
-    met = rows.withColumn("_bucket", bucket).join(F.broadcast(materialize(marks.coalesce(1), "near-marks")), "_bucket")
-    return met.where(hit).drop("_bucket", "_marks")
+
+def _plausible(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (first, last) of nodes whose sketches differ in at most DISTANCE values. Signatures within the distance
+    always do, so no candidate is lost."""
+    sketches = found.where("sketch is not null").groupBy("node").agg(F.min("sketch").alias("sketch"))
+    both = pairs.join(sketches.select(F.col("node").alias("first"), F.col("sketch").alias("one")), "first").join(
+        sketches.select(F.col("node").alias("last"), F.col("sketch").alias("two")), "last"
+    )
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, VALUES // 2) for c in ("one", "two"))
+            differ = one ^ two
+            apart = ((differ & 15) > 0).sum(1) + (differ > 15).sum(1)
+            yield batch.select(["first", "last"]).filter(pa.array(apart <= DISTANCE))
+
+    return both.select("first", "last", "one", "two").mapInArrow(keep, "first long, last long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The packed sets of the nodes in ``wanted`` (node, place of one of its texts, further columns that are kept)."""
     text = text_or_empty()
     more = [c for c in wanted.columns if c != "place"]
-    placed = _may_be_in(docs.select(F.xxhash64(text).alias("place"), text.alias("text")), wanted, "place")
-    texts = placed.join(wanted, "place").dropDuplicates(["place"])
+    texts = docs.select(F.xxhash64(text).alias("place"), text.alias("text")).join(wanted, "place").dropDuplicates(["place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,7 +317,17 @@ def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
     found = materialize(features(docs, words), "near-features")
     entered = found.where("node is not null").select("node", F.explode("entries").alias("entry"))
     shared = entered.groupBy("entry").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    held = materialize(entered.join(shared.select("entry", "first"), "entry"), "near-entries")
+    met = materialize(entered.join(shared, "entry"), "near-met")
+    # Most entries that two nodes alone share are chance: such pairs are looked at once, in a short form of the signatures.
+    many = met.where("node <> first and node <> last").select("entry").distinct()
+    two = met.where("node = first").select("entry", "first", "last").join(many, "entry", "left_anti")
+    pairs = two.join(_plausible(two.select("first", "last").distinct(), found), ["first", "last"])
+    held = materialize(
+        met.join(many, "entry", "left_semi").select("entry", "node", "first").unionByName(
+            pairs.select("entry", F.explode(F.array("first", "last")).alias("node"), "first")
+        ),
+        "near-entries",
+    )
     first = held.groupBy("node").agg(F.min("first").alias("first"))
     place = found.where("node is not null").groupBy("node").agg(F.min("place").alias("place"))
     wanted = materialize(first.join(place, "node"), "near-wanted")
