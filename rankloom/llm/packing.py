@@ -93,6 +93,9 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
+        # Byte-level vocabularies write bytes that are no visible characters as those from 256 on, in order.
+        hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+        self.alphabet = {b: 256 + i for i, b in enumerate(hidden)}
         (self.fence,) = self._encode(FENCE)
         self._clear()
 
@@ -108,10 +111,14 @@ class WordIds:
         self._learn_stems(["", *self.MARKS])
 
     def _learn_stems(self, stems: list[str]) -> None:
-        # Lower-case ASCII letters come to the merges as they are; the rest of the tokenizer has nothing to do.
-        letters = [s for s in stems if s.isascii() and s.isalpha() and s.islower()]
+        # Lower-case letters come to the merges as they are but for the alphabet that stands for their bytes; the rest of
+        # the tokenizer has nothing to do.
+        letters = [s for s in stems if s.isalpha() and s.islower() and (s.isascii() or max(s) < "\u0250")]
         if letters:
-            merged = [[t.id for t in self.merges.tokenize(s)] for s in letters]
+            tokenize, alphabet = self.merges.tokenize, self.alphabet
+            merged = [
+                [t.id for t in tokenize(s if s.isascii() else s.encode().decode("latin-1").translate(alphabet))] for s in letters
+            ]
             self.stem.update(zip(letters, range(self.stems.n, self.stems.n + len(letters))))
             self.stems.add(np.array([i for ids in merged for i in ids], np.uint16), np.array([len(ids) for ids in merged]))
         stems = [s for s in stems if s not in self.stem]
@@ -143,7 +150,7 @@ class WordIds:
                 marks.append("")
         new = set(stems).difference(self.stem)
         if new:
-            self._learn_stems(sorted(new))
+            self._learn_stems(list(new))
         parts = np.empty(2 * len(words), np.int64)
         parts[::2] = np.fromiter(map(self.stem.__getitem__, stems), np.int64, len(stems))
         parts[1::2] = np.fromiter(map(self.stem.__getitem__, marks), np.int64, len(marks))
@@ -165,7 +172,7 @@ class WordIds:
             self._clear()
         new = set(words).difference(self.code)
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         code = np.fromiter(map(self.code.__getitem__, words), np.int32, len(words))
         ids, behind = self.words.take(code)
         return ids, behind[code == 0], behind[self.ends[code]]
