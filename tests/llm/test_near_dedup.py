@@ -100,3 +100,12 @@ def test_components_of_chains_stars_and_nothing(spark):
     got = {r.node: r.label for r in connected(df).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 140)}}
     assert connected(df.limit(0)).count() == 0
+
+
+def test_sketches_never_differ_more_than_signatures():
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 1 << 16, (300, nd.VALUES)).astype(np.uint16)
+    b = np.where(rng.random(a.shape) < 0.4, rng.integers(0, 1 << 16, a.shape), a).astype(np.uint16)
+    differ = nd._sketches(a) ^ nd._sketches(b)
+    apart = ((differ & 15) > 0).sum(1) + (differ > 15).sum(1)
+    assert (apart <= (a != b).sum(1)).all() and apart.mean() > 0.9 * (a != b).sum(1).mean()
