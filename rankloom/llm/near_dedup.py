@@ -44,6 +44,7 @@ VALUES, CHUNKS, DISTANCE = 56, 12, 23
 PERCENT = 80
 WORDS = 5
 BLOCK = 512
+MAP_BITS = 26
 SPLIT = 400
 
 _rng = np.random.default_rng(1234)
@@ -201,11 +202,27 @@ def _plausible(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.select("first", "last", "one", "two").mapInArrow(keep, "first long, last long")
 
 
+def _may_be_in(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows whose hash in ``column`` may be in ``wanted``, found without moving them.
+
+    The hashes wanted mark bits in a map of 2**MAP_BITS bits, kept as at most 2**(MAP_BITS - 6) words of 64, which are
+    broadcast: some 20 MB however many hashes there are. Other hashes can hit a marked bit, so a join must follow; it
+    then moves a small part of the rows.
+    """
+    place = F.pmod(F.col(column), F.lit(1 << MAP_BITS))
+    word, bit = F.shiftright(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+    marked = wanted.select(word.alias("_word"), F.expr("1L").alias("_one"), bit.alias("_bit"))
+    marks = marked.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(_one, _bit)")).alias("_marks"))
+    met = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(materialize(marks, "near-marks")), "_word")
+    return met.where(F.expr("shiftright(_marks, _bit) & 1L = 1L")).drop("_word", "_bit", "_marks")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The packed sets of the nodes in ``wanted`` (node, place of one of its texts, further columns that are kept)."""
     text = text_or_empty()
     more = [c for c in wanted.columns if c != "place"]
-    texts = docs.select(F.xxhash64(text).alias("place"), text.alias("text")).join(wanted, "place").dropDuplicates(["place"])
+    placed = _may_be_in(docs.select(F.xxhash64(text).alias("place"), text.alias("text")), wanted, "place")
+    texts = placed.join(wanted, "place").dropDuplicates(["place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
