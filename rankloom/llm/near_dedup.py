@@ -153,8 +153,9 @@ def features(docs: DataFrame, words: int) -> DataFrame:
             for begin, end in _in_slices(texts):
                 sets = [shingle_set(t, words) for t in texts[begin:end]]
                 full = [i for i, s in enumerate(sets) if len(s)]
-                # Sets of three or fewer can only be similar to equal ones, which are the same node.
-                some = [i for i in full if 100 * (len(sets[i]) - 1) >= PERCENT * len(sets[i])]
+                # Sets of three or fewer can only be similar to equal ones, which are the same node: the nearest other set
+                # has one more shingle, or one less.
+                some = [i for i in full if 100 * len(sets[i]) >= PERCENT * (len(sets[i]) + 1)]
                 keys: list = [[]] * len(sets)
                 sketches: list = [None] * len(sets)
                 if some:

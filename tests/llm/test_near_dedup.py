@@ -54,6 +54,22 @@ def test_awkward_rows(documents, nothing, k):
     assert nd.near_groups(nothing, k).count() == 0
 
 
+@pytest.mark.parametrize("k", [2, 5])
+def test_sets_of_three_to_six_shingles(spark, k):
+    """A set of four in a set of five is a link, and can be the middle of a chain; three in four is none."""
+    rows = []
+    for case in range(6):
+        # Texts of n shingles have n + k - 1 words.
+        w = [f"c{case}.{i}" for i in range(6 + k)]
+        cuts = [w[1 : k + 5], w[1 : k + 4], w[: k + 4], w[: k + 5], w[1 : k + 3]]
+        rows += [(100 * case + i, " ".join(c)) for i, c in enumerate(cuts[: 3 + case % 3])]
+    got = sorted(map(tuple, nd.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k).collect()), key=repr)
+    assert {n for _, n, _, _ in got} == {3, 4, 5, 6}
+    assert got == brute(rows, k)
+    # The texts of five shingles share four of six: only the one of four joins them.
+    assert {(doc, name) for doc, _, name, _ in got if doc < 3} == {(0, 0), (1, 0), (2, 0)}
+
+
 def test_a_large_group_of_near_copies(spark, monkeypatch):
     """One text with edits: stars and blocks are both split, and most links do not lead to the first document."""
     monkeypatch.setattr(nd, "SPLIT", 20)
