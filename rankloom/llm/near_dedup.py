@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import table, text_or_empty
+from rankloom.llm.common import free_name, table, text_or_empty
 from rankloom.llm.components import connected
 from rankloom.runtime import materialize
 
@@ -330,8 +330,8 @@ def _blocks(members: DataFrame) -> DataFrame:
     return dealt.groupBy("cluster", "one", "two").applyInArrow(compare, "a long, b long")
 
 
-def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept."""
+def _components(docs: DataFrame, words: int) -> DataFrame:
+    """Per document: doc_id, place (hash of the text), n_shingles, comp (null for an empty set)."""
     found = materialize(features(docs, words), "near-features")
     entered = found.where("node is not null").select("node", F.explode("entries").alias("entry"))
     shared = entered.groupBy("entry").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
@@ -362,9 +362,12 @@ def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
     with_comp = sets.join(comps, "node", "left").select("node", "members", F.coalesce("label", "node").alias("comp"))
     more = materialize(_blocks(with_comp.join(clusters, "comp")), "near-links")
     labels = connected(stars.unionByName(more))
-    rows = found.join(labels, "node", "left").select(
-        "doc_id", "n_shingles", "node", F.coalesce("label", "node").alias("comp")
-    )
+    return found.join(labels, "node", "left").select("doc_id", "place", "n_shingles", F.coalesce("label", "node").alias("comp"))
+
+
+def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept."""
+    rows = _components(docs, words)
     names = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("name"))
     named_rows = rows.join(names, "comp", "left")
     component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("name"))
@@ -374,9 +377,15 @@ def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """One document of each group, with all its columns."""
-    gone = near_groups(docs, words).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """One document of each group, with all its columns: that of the smallest doc_id, one without an id only if there is
+    no other, and of several texts with that id one. Rows that agree in doc_id and text stay or go together."""
+    rows = _components(docs, words).where("comp is not null")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
+    best = rows.groupBy("comp").agg(F.min(key).alias("best"))
+    doc, place = free_name(docs, "_gone"), free_name(docs, "_gone_place")
+    gone = rows.join(best, "comp").where(key != F.col("best")).select(F.col("doc_id").alias(doc), F.col("place").alias(place)).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(gone[doc]) & (F.xxhash64(text_or_empty()) == gone[place])
+    return docs.join(gone, same, "left_anti")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

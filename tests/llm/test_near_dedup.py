@@ -109,6 +109,19 @@ def test_drop_keeps_columns_and_one_of_each_group(documents, nothing):
     assert nd.drop_near_copies(nothing, 5).count() == 0
 
 
+def test_drop_decides_by_row(spark):
+    """One id with two texts, near copies without an id, near copies with one id, and groups without any id."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (2, a + " z"), (2, b), (None, a + " y"), (3, c), (3, c + " z"), (None, d), (None, d + " z"), (None, "alone"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {}
+    for r in nd.drop_near_copies(df, 5).collect():
+        left.setdefault(r.doc_id, []).append(r.text)
+    assert left[1] == [a] and left[2] == [b]
+    assert len(left[3]) == 1 and left[3][0] in (c, c + " z")
+    assert sorted((t or "-")[:2] for t in left[None]) == ["-", "al", "d0"]
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     chain = [(i, i + 1) for i in range(50)]
     star = [(100, i) for i in range(101, 140)]
