@@ -77,6 +77,11 @@ class _Lists:
         return self.flat[np.repeat(self.begin[which] - behind + n, n) + np.arange(behind[-1] if len(behind) else 0)], behind
 
 
+def _lowered(text: str) -> str:
+    """ASCII texts lower-cased, as the vocabulary does with all but its markers: those it finds in the text as it is."""
+    return text.lower() if text.isascii() and "<|" not in text else text
+
+
 class WordIds:
     """Ids of texts, word by word: the vocabulary drops white space, so a text's ids are those of its words in turn.
 
@@ -139,7 +144,7 @@ class WordIds:
     def _learn(self, words: list[str]) -> None:
         stems, marks = [], []
         for w in words:
-            w = w.lower() if w.isascii() else w
+            w = _lowered(w)
             s = w[:-1]
             # Beyond these letters, tables of what a letter is can differ.
             if s and w[-1] in self.MARKS and s.isalpha() and (s.isascii() or max(s) < "\u0250"):
@@ -166,7 +171,7 @@ class WordIds:
         """All ids in a row, the place behind each text's end id, and the places behind ends of sentences."""
         words: list = []
         for text in texts:
-            words += (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+            words += _lowered(text).replace("\n", " ").split(" ")
             words.append(None)
         if len(self.code) > MOST_WORDS:
             self._clear()

@@ -23,6 +23,13 @@ def test_word_by_word_ids_are_the_tokenizers(spark):
     assert set(sentences) <= set(range(1, len(ids) + 1))
 
 
+def test_markers_are_matched_as_they_are_written():
+    texts = ["<|ENDOFTEXT|>", "<|endoftext|>", "A <|EndOfText|>. B<|STARTOFTEXT|>C <|endoftext|>D", "É <|ENDOFTEXT|> <|endoftext|>", "<|NO Marker|>"]
+    ids, _, _ = WordIds(word_vocabulary())(texts)
+    want = [e.ids + [2] for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
+    assert want[0] != want[1] and ids.tolist() == sum(want, [])
+
+
 def padded(n: int, length: int) -> int:
     return 0 if n & (n - 1) == 0 else length - n
 
