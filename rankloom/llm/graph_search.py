@@ -31,7 +31,7 @@ from rankloom.llm.common import table
 from rankloom.runtime import materialize
 
 K = 20
-DEGREE, BUILD_BEAM, BEAM = 32, 64, 112
+DEGREE, BUILD_BEAM, BEAM = 32, 64, 448
 RELAX = 1.2
 LEAST_SHARDS, SHARD_POINTS = 8, 100_000
 QUERY_BLOCK = 50_000
@@ -114,8 +114,11 @@ def grow(x: np.ndarray, seed: int = 3) -> tuple[np.ndarray, int]:
         batch = order[at : at + min(at, 1024, max(1, MOST_CELLS // n))]
         at += len(batch)
         proposed, _ = beam_search(x, graph, entry, x[batch], BUILD_BEAM)
-        # Points of one batch do not meet in the graph yet: some of them are proposed to each other.
-        graph[batch] = robust_prune(x, batch, proposed)
+        # Points of one batch do not meet in the graph yet: the nearest of them are proposed to each other.
+        near = -(x[batch] @ x[batch].T)
+        np.fill_diagonal(near, np.inf)
+        mates = batch[np.argpartition(near, min(DEGREE, len(batch)) - 1, axis=1)[:, :DEGREE]]
+        graph[batch] = robust_prune(x, batch, np.concatenate([proposed, mates], axis=1))
         source = np.repeat(batch, DEGREE)
         target = graph[batch].ravel()
         source, target = source[target >= 0], target[target >= 0]

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.llm.graph_search import BEAM, beam_search, build_index, grow, level, nearest, op4_graph_search, robust_prune, usable
+from rankloom.llm import graph_search as gs
 from tests.conftest import SF
 
 
@@ -84,3 +85,23 @@ def test_every_point_is_met_from_the_entry():
     assert len(seen) > 0.99 * len(x)
     ids, _ = beam_search(x, graph, entry, x[:50], BEAM)
     assert (ids[:, 0] == np.arange(50)).mean() > 0.95
+
+
+def test_recall_in_one_shard_of_many_points():
+    """Clustered vectors of skewed norms, many more of them than the beam is wide."""
+    n, asked = 5000, 300
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(200, 64))
+    points = centres[rng.integers(0, 200, n)] + 0.5 * rng.normal(size=(n, 64))
+    points *= rng.lognormal(0, 0.5, n)[:, None]
+    x = gs.level(points)
+    graph, entry = gs.grow(x)
+    wanted = points[rng.choice(n, asked, replace=False)]
+    truth = np.argsort(-(wanted @ points.T), axis=1, kind="stable")[:, : gs.K]
+    q = np.concatenate([wanted, np.zeros((asked, 1))], axis=1).astype(np.float32)
+    met, _ = gs.beam_search(x, graph, entry, q, gs.BEAM)
+    hits = 0
+    for m, w, t in zip(met, wanted, truth):
+        m = m[m >= 0]
+        hits += len(set(m[np.argsort(-(points[m] @ w), kind="stable")[: gs.K]].tolist()) & set(t.tolist()))
+    assert hits >= 0.88 * asked * gs.K
