@@ -1,6 +1,8 @@
 """The queries of this folder by name, each with its SQL or None."""
 
-from rankloom.llm import chat, exact_dedup, graph_search, mixing, near_dedup, packing, secrets, sharding, suffix_dedup, toxicity
+from rankloom.llm import (
+    chat, exact_dedup, graph_search, line_dedup, mixing, near_dedup, packing, secrets, sharding, suffix_dedup, toxicity,
+)
 
 QUERIES = {
     **packing.QUERIES,
@@ -13,4 +15,5 @@ QUERIES = {
     **mixing.QUERIES,
     **suffix_dedup.QUERIES,
     **toxicity.QUERIES,
+    **line_dedup.QUERIES,
 }
