@@ -1,7 +1,7 @@
 """The queries of this folder by name, each with its SQL or None."""
 
 from rankloom.llm import (
-    chat, exact_dedup, graph_search, line_dedup, mixing, near_dedup, packing, secrets, sharding, suffix_dedup, toxicity,
+    chat, exact_dedup, graph_search, line_dedup, merkle, mixing, near_dedup, packing, secrets, sharding, suffix_dedup, toxicity,
 )
 
 QUERIES = {
@@ -16,4 +16,5 @@ QUERIES = {
     **suffix_dedup.QUERIES,
     **toxicity.QUERIES,
     **line_dedup.QUERIES,
+    **merkle.QUERIES,
 }
