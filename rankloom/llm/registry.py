@@ -1,7 +1,8 @@
 """The queries of this folder by name, each with its SQL or None."""
 
 from rankloom.llm import (
-    chat, exact_dedup, graph_search, line_dedup, merkle, mixing, near_dedup, packing, secrets, sharding, suffix_dedup, toxicity,
+    chat, exact_dedup, graph_search, line_dedup, merkle, mixing, near_dedup, packing, secrets, sharding, spelling_variants,
+    suffix_dedup, toxicity,
 )
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     **mixing.QUERIES,
     **suffix_dedup.QUERIES,
     **toxicity.QUERIES,
+    **spelling_variants.QUERIES,
     **line_dedup.QUERIES,
     **merkle.QUERIES,
 }
