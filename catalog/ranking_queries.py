@@ -249,6 +249,23 @@ def semantic_top3_mean(spark, sf):
     return similarity.semantic_similarity(*_vectors(spark, sf)).select("pos", F.round("similarity", 6).alias("similarity"))
 
 
+def semantic_for_jobs(spark, sf):
+    """The chunks of every owner against three jobs at once: the vectors 0, 1 and 2."""
+    chunks, _ = _vectors(spark, sf)
+    queries = table(spark, sf, "embeddings").where("vec_id < 3").select(F.col("vec_id").alias("jd_id"), F.col("embedding").alias("vector"))
+    return similarity.semantic_for_jobs(chunks, queries).select("jd_id", "pos", F.round("similarity", 6).alias("similarity"))
+
+
+SEMANTIC_JOBS = """
+WITH sims AS (
+    SELECT q.vec_id AS jd_id, e.vec_id % (SELECT greatest(count(*) // 4, 1) FROM embeddings)
+        * (SELECT greatest((SELECT count(*) FROM documents) // greatest(count(*) // 4, 1), 1) FROM embeddings) AS pos,
+        list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS sim
+    FROM embeddings e JOIN embeddings q ON q.vec_id < 3 WHERE e.vec_id <> 0)
+SELECT jd_id, pos, round(avg(sim), 6) AS similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY jd_id, pos ORDER BY sim DESC) AS r FROM sims) WHERE r <= 3 GROUP BY jd_id, pos"""
+
+
 def minmax(spark, sf):
     cosines = materialize(_cosines(spark, sf), "cosines")
     scaled = similarity.minmax(cosines, "similarity", "score", is_small(cosines.select("jd_id").distinct()))
@@ -651,6 +668,7 @@ QUERIES = {
     "semantic_top3_mean": (
         semantic_top3_mean, f"WITH {SEMANTIC_SQL} SELECT pos, round(similarity, 6) AS similarity FROM best"
     ),
+    "semantic_for_jobs": (semantic_for_jobs, SEMANTIC_JOBS),
     "minmax": (minmax, MINMAX),
     "skill_score": (_one_score("skills_score"), SKILL_SCORE),
     "experience_score": (_one_score("experience_score"), EXPERIENCE_SCORE),

@@ -8,18 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.terms import add_term_counts, default_stop_words
-from ..runtime import attach, is_small, materialize, spread
+from ..runtime import attach, is_light, is_small, materialize, spread
 from .ordering import first_rows
 
 # A term is frequent if it takes more than this share of all (document, term) rows. Shares add up to
 # one, so there are fewer than 1/share frequent terms: a table of them is safe to broadcast.
 FREQUENT_SHARE = 1 / 20_000
 # Documents looked at to find the frequent terms, and files they are taken from.
-SAMPLED_DOCUMENTS = 2_000
+SAMPLED_DOCUMENTS = 1_000
 SAMPLED_FILES = 256
 
 # Sums over shuffled rows differ in the last bits from run to run. Equal texts must get equal
@@ -28,6 +28,9 @@ STABLE_DIGITS = 10
 
 BEST_CHUNKS = 3
 
+# Terms of all jobs together that are broadcast.
+ASKED_TERMS = 200_000
+
 # The job's own text is part of its corpus, under this position.
 JOB_POS = -1
 
@@ -61,10 +64,8 @@ def corpus_sizes(corpus: DataFrame) -> DataFrame:
 
 def term_rows(counted: DataFrame) -> DataFrame:
     """One row ``(jd_id, pos, term, tf)`` per document and term."""
-    pairs = F.explode(F.arrays_zip("terms", "counts")).alias("t")
-    return counted.select("jd_id", "pos", pairs).select(
-        "jd_id", "pos", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf")
-    )
+    each = counted.select("jd_id", "pos", "counts", F.posexplode("terms").alias("_k", "term"))
+    return each.select("jd_id", "pos", "term", F.get("counts", F.col("_k")).alias("tf"))
 
 
 def term_frequencies(documents: DataFrame, stop_words: Sequence[str]) -> DataFrame:
@@ -114,45 +115,105 @@ def frequent_terms(counted: DataFrame) -> DataFrame:
     return materialize(counts.where(F.col("c") > max(rows * FREQUENT_SHARE, 1)).select("jd_id", "term"), "frequent-terms")
 
 
+def term_products(counted: DataFrame, sizes: DataFrame, frequent: DataFrame, small: bool) -> DataFrame:
+    """A stored table of one row per document: ``(jd_id, pos, dot, norm2)``.
+
+    ``norm2`` is the squared length of its weights, ``dot`` the product with the row of the job in ``counted``, 0 where that
+    has none. ``counted`` is a parquet table with ``jd_id, pos, terms, counts``, read several times here; ``sizes`` has the
+    documents per pool, ``frequent`` the few terms to be counted without a shuffle.
+
+    A weight needs the number of documents that share the term, and the few terms that most documents share cannot be
+    brought together in one task each. So frequent terms are counted first, in every task on its own, and their counts
+    are broadcast; those rows never leave their partition before they have become one row per document. All other rows
+    are shuffled once, and counted where the rows of their term meet: a small share of all, as the term is not frequent.
+    """
+    tf = term_rows(counted)
+    few = F.broadcast(frequent)
+    common = materialize(document_frequencies(tf.join(few, ["jd_id", "term"], "left_semi")), "common-terms")
+    near = tf.join(F.broadcast(common), ["jd_id", "term"])
+    # The term comes first, as sorting looks at the first key first, and one pool may own all rows.
+    together = Window.partitionBy("term", "jd_id")
+    far = tf.join(few, ["jd_id", "term"], "left_anti").withColumns(
+        {"df": F.count(F.lit(1)).over(together), "job_tf": F.max(_job_tf()).over(together)}
+    )
+    parts = counted.select("jd_id", "pos", F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2"))
+    for rows in (near, far):
+        parts = parts.unionByName(_products(_with_idf(rows, sizes, "pos", small)))
+    return materialize(
+        parts.groupBy("jd_id", "pos").agg(F.sum("dot").alias("dot"), F.sum("norm2").alias("norm2")), "term-products"
+    )
+
+
+def _cosine() -> Column:
+    """Cut to digits that do not change from run to run."""
+    length = F.sqrt(F.col("norm2") * F.col("job_norm2"))
+    return F.round(F.when(length > 0, F.col("dot") / length).otherwise(F.lit(0.0)), STABLE_DIGITS)
+
+
 def cosine_with_job(members: DataFrame, jobs: DataFrame, stop_words: Sequence[str], small: bool) -> DataFrame:
     """TF-IDF cosine of every document with the job of its pool: ``(jd_id, pos, similarity)``.
 
     ``members`` is a parquet table with ``jd_id, pos, terms, counts``, read several times here;
     ``jobs`` has ``jd_id, text``, one for every pool (:func:`check_pools`), and ``small`` says that they are few.
     The result is a light step over a stored table.
-
-    A weight needs the number of documents that share the term, and the few terms that most documents
-    share cannot be brought together in one task each. So frequent terms are counted first, in every
-    task on its own, and their counts are broadcast; those rows never leave their partition before
-    they have become one row per document. All other terms are counted with partial sums in every task,
-    and rows meet their term's count in a join, whose large partitions can be split. Terms that one
-    document alone has, most of them, are left out of it: their count is known.
     """
     columns = ["jd_id", "pos", "terms", "counts"]
     own = add_term_counts(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
     own = materialize(own.select(columns), "job-terms")
     counted = members.select(columns).unionByName(own)
-    sizes = corpus_sizes(counted)
-    tf = term_rows(counted)
-    frequent = F.broadcast(frequent_terms(members.select(columns)))
-    common = document_frequencies(tf.join(frequent, ["jd_id", "term"], "left_semi"))
-    near = tf.join(F.broadcast(_with_idf(common, sizes, "term", small)), ["jd_id", "term"])
-
-    rare = tf.join(frequent, ["jd_id", "term"], "left_anti")
-    shared = document_frequencies(rare).where((F.col("df") > 1) | F.col("job_tf").isNotNull())
-    far = rare.join(shared, ["jd_id", "term"], "left").withColumn("df", F.coalesce("df", F.lit(1)))
-    nothing = counted.select("jd_id", "pos", F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2"))
-    far = _with_idf(far, sizes, "pos", small)
-    parts = nothing.unionByName(_products(near)).unionByName(_products(far))
-    sums = materialize(
-        parts.groupBy("jd_id", "pos").agg(F.sum("dot").alias("dot"), F.sum("norm2").alias("norm2")), "term-products"
-    )
+    sums = term_products(counted, corpus_sizes(counted), frequent_terms(members.select(columns)), small)
+    norms = sums.where(F.col("pos") == JOB_POS).select("jd_id", F.col("norm2").alias("job_norm2"))
+    together = attach(sums.where(F.col("pos") != JOB_POS), norms, "jd_id", F.col("pos"), small)
+    return together.select("jd_id", "pos", _cosine().alias("similarity"))
 
-    jobs = sums.where(F.col("pos") == JOB_POS).select("jd_id", F.col("norm2").alias("job_norm2"))
-    together = attach(sums.where(F.col("pos") != JOB_POS), jobs, "jd_id", F.col("pos"), small)
-    length = F.sqrt(F.col("norm2") * F.col("job_norm2"))
-    cosine = F.when(length > 0, F.col("dot") / length).otherwise(F.lit(0.0))
-    return together.select("jd_id", "pos", F.round(cosine, STABLE_DIGITS).alias("similarity"))
+
+def collection_norms(members: DataFrame) -> DataFrame:
+    """``(pos, norm2)`` of a collection for which some job will be added: one more document, which changes no term yet.
+
+    The dear part of TF-IDF: done once, it serves any number of jobs (:func:`cosine_with_jobs`).
+    """
+    counted = members.select(F.when(F.col("pos").isNotNull(), F.lit(0)).alias("jd_id"), "pos", "terms", "counts")
+    sizes = corpus_sizes(counted).withColumn("n", F.col("n") + 1)
+    return term_products(counted, sizes, frequent_terms(counted), True).select("pos", "norm2")
+
+
+def cosine_with_jobs(
+    members: DataFrame, jobs: DataFrame, stop_words: Sequence[str], norms: DataFrame | None = None
+) -> DataFrame:
+    """TF-IDF cosine of every document of one collection with each of several jobs: ``(jd_id, pos, similarity)``.
+
+    A job's text is part of its corpus, so it adds one to the document frequency of its own terms and leaves all others
+    alone. ``norms`` (:func:`collection_norms`) are those without any job; per job they are put right by its terms only,
+    ``tf'^2 (idf(df + 1)^2 - idf(df)^2)`` each, and the dot product needs no other terms either. The terms of all jobs are
+    found in the rows of ``members`` (``pos, terms, counts``, a parquet table) by one join, which shuffles nothing while
+    they are light enough to broadcast. A document without any of a job's terms has no row here.
+    """
+    norms = collection_norms(members) if norms is None else norms
+    own = add_term_counts(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
+    asked = materialize(term_rows(own).select("jd_id", "term", F.col("tf").alias("job_tf")), "asked-terms")
+    light = is_light(asked, ASKED_TERMS)
+    n = F.lit(members.count() + 1)
+
+    pairs = members.select("pos", F.explode(F.arrays_zip("terms", "counts")).alias("t"))
+    rows = pairs.select("pos", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
+    hits = materialize(attach(rows, asked.select("term").distinct(), "term", F.col("pos"), light), "asked-rows")
+    # One row per term of a job, at most.
+    df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    before, after = smooth_idf(F.coalesce("df", F.lit(0)), n), smooth_idf(F.coalesce("df", F.lit(0)) + 1, n)
+    weighted = asked.join(df, "term", "left").select(
+        "jd_id", "term", (sublinear_tf(F.col("job_tf")) * after).alias("job_weight"), after.alias("idf"), (after * after - before * before).alias("gain")
+    )
+    weighted = materialize(weighted, "job-weights")
+    lengths = weighted.groupBy("jd_id").agg(F.sum(F.col("job_weight") * F.col("job_weight")).alias("job_norm2"))
+    tf = sublinear_tf(F.col("tf"))
+    products = (
+        attach(hits, weighted, "term", F.col("pos"), light)
+        .groupBy("jd_id", "pos")
+        .agg(F.sum(tf * F.col("idf") * F.col("job_weight")).alias("dot"), F.sum(tf * tf * F.col("gain")).alias("gain"))
+    )
+    # One row per job, of which there are few.
+    met = products.join(norms, "pos").join(F.broadcast(lengths), "jd_id").withColumn("norm2", F.col("norm2") + F.col("gain"))
+    return materialize(met.select("jd_id", "pos", _cosine().alias("similarity")), "job-cosines")
 
 
 def tfidf_similarity(candidates: DataFrame, jobs: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
@@ -186,6 +247,23 @@ def semantic_similarity(chunks: DataFrame, queries: DataFrame) -> DataFrame:
     return best.groupBy("jd_id", "pos").agg(F.round(F.avg("similarity"), STABLE_DIGITS).alias("similarity"))
 
 
+def semantic_for_jobs(chunks: DataFrame, queries: DataFrame) -> DataFrame:
+    """:func:`semantic_similarity` of one collection with each of a handful of jobs; the chunks are read once.
+
+    ``chunks`` has ``pos, vector`` and ``queries`` has ``jd_id, vector``. The jobs' vectors go to every chunk as one array and
+    are scored inside the row; each task keeps the best three of a document and job before anything moves.
+    """
+    # One row; the caller sees to it that there are few jobs.
+    one = queries.groupBy(F.when(F.col("vector").isNotNull(), F.lit(0)).alias("_all")).agg(
+        F.collect_list(F.struct("jd_id", "vector")).alias("_asked")
+    )
+    rows = chunks.select("pos", "vector", F.when(F.col("vector").isNotNull(), F.lit(0)).alias("_all"))
+    each = F.transform("_asked", lambda q: F.struct(q["jd_id"].alias("jd_id"), dot_product(F.col("vector"), q["vector"]).alias("similarity")))
+    scored = rows.join(F.broadcast(one), "_all").select("pos", F.explode(each).alias("s")).select("s.jd_id", "pos", "s.similarity")
+    best = first_rows(scored, ["jd_id", "pos"], [F.col("similarity").desc()], BEST_CHUNKS)
+    return best.groupBy("jd_id", "pos").agg(F.round(F.avg("similarity"), STABLE_DIGITS).alias("similarity"))
+
+
 def minmax(scores: DataFrame, column: str, name: str, small: bool) -> DataFrame:
     """Scale ``column`` to 0..1 within every pool; a pool without spread is clipped instead.
 

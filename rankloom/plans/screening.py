@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,9 @@ from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary
 from ..operators import scoring
 from ..operators.jobs import parse_job_descriptions
 from ..operators.ordering import first_rows, rank_rows
-from ..operators.similarity import check_pools, cosine_with_job, minmax, semantic_similarity
+from ..operators.similarity import (
+    check_pools, cosine_with_job, cosine_with_jobs, minmax, semantic_for_jobs, semantic_similarity,
+)
 from ..runtime import attach, is_small, materialize, spread
 
 RANKING_COLUMNS = [
@@ -68,18 +69,25 @@ def score_read(
 ) -> DataFrame:
     """Scores of documents that :func:`read_documents` has read and stored; every pool has its job in ``jobs``."""
     small = is_small(jobs)
-    profiles = parse_job_descriptions(jobs, vocab)
     similar = cosine_with_job(read, jobs, stop_words, small)
+    met = semantic_similarity(vectors, job_vectors) if vectors is not None and job_vectors is not None else None
+    return _combined(read.drop("terms", "counts"), jobs, similar, met, vocab, weights, small)
+
 
-    rows = read.drop("terms", "counts").join(_scaled(similar, "tfidf_score", small), ["jd_id", "pos"])
-    if vectors is not None and job_vectors is not None:
-        met = semantic_similarity(vectors, job_vectors)
-        all_rows = read.select("jd_id", "pos").join(met, ["jd_id", "pos"], "left").fillna(0.0, ["similarity"])
-        rows = rows.join(_scaled(materialize(all_rows, "semantic"), "semantic_score", small), ["jd_id", "pos"])
+def _combined(
+    rows: DataFrame, jobs: DataFrame, similar: DataFrame, met: DataFrame | None, vocab: Vocabulary,
+    weights: Mapping[str, float] | None, small: bool,
+) -> DataFrame:
+    """Scores of feature rows from their features and the similarities to their job, ``similar`` in words and ``met`` in vectors."""
+    profiles = parse_job_descriptions(jobs, vocab)
+    scored = rows.join(_scaled(similar, "tfidf_score", small), ["jd_id", "pos"])
+    if met is not None:
+        all_rows = rows.select("jd_id", "pos").join(met, ["jd_id", "pos"], "left").fillna(0.0, ["similarity"])
+        scored = scored.join(_scaled(materialize(all_rows, "semantic"), "semantic_score", small), ["jd_id", "pos"])
     else:
-        rows = rows.withColumn("semantic_score", F.lit(None).cast("double"))
+        scored = scored.withColumn("semantic_score", F.lit(None).cast("double"))
 
-    profiled = attach(rows, profiles.drop("text"), "jd_id", F.col("pos"), small)
+    profiled = attach(scored, profiles.drop("text"), "jd_id", F.col("pos"), small)
     return scoring.with_final_score(scoring.with_weights(scoring.with_feature_scores(profiled), weights))
 
 
@@ -127,24 +135,42 @@ def top_candidates(candidates: DataFrame, jobs: DataFrame, current_year: int, n:
     return explained(best).select(*RANKING_COLUMNS)
 
 
-def rank_for_jobs(
+def score_for_jobs(
     documents: DataFrame, jobs: DataFrame, current_year: int, stop_words: Sequence[str] | None = None,
     vocab: Vocabulary = DEFAULT_VOCABULARY, weights: Mapping[str, float] | None = None,
+    vectors: DataFrame | None = None, job_vectors: DataFrame | None = None,
 ) -> DataFrame:
-    """One collection ranked for each of a handful of jobs, its texts read once.
+    """One collection scored for each of a handful of jobs; options as for :func:`rank_for_jobs`.
 
-    ``documents`` has ``pos, id, category, text`` and ``jobs`` has ``jd_id, text``, at most MOST_JOBS of them, as every
-    job ranks the whole collection.
+    The texts are read once, and so are the chunk vectors. Document frequencies and lengths of the whole collection are
+    computed once; a job only corrects those of its own terms (:func:`cosine_with_jobs`).
     """
     names = [r.jd_id for r in jobs.select("jd_id").distinct().orderBy("jd_id").limit(MOST_JOBS + 1).collect()]
     if not 0 < len(names) <= MOST_JOBS:
         raise ValueError(f"a collection is ranked for 1 to {MOST_JOBS} jobs at once")
     stop_words = default_stop_words() if stop_words is None else stop_words
     read = materialize(read_documents(in_one_pool(documents, names[0]), current_year, stop_words, vocab), "read-documents")
-    scored = (
-        score_read(in_one_pool(read, name), jobs.where(F.col("jd_id") == name), stop_words, vocab, weights) for name in names
-    )
-    return _ranked(reduce(DataFrame.unionByName, scored))
+    kind = jobs.schema["jd_id"].dataType
+    every_job = F.explode(F.array(*[F.lit(name).cast(kind) for name in names])).alias("jd_id")
+
+    def for_every_job(df: DataFrame) -> DataFrame:
+        return df.select(every_job, *(c for c in df.columns if c != "jd_id"))
+
+    cosines = cosine_with_jobs(read.select("pos", "terms", "counts"), jobs, stop_words)
+    similar = for_every_job(read.select("pos")).join(cosines, ["jd_id", "pos"], "left").fillna(0.0, ["similarity"])
+    met = semantic_for_jobs(vectors, job_vectors) if vectors is not None and job_vectors is not None else None
+    rows = for_every_job(read.drop("terms", "counts"))
+    return _combined(rows, jobs, materialize(similar, "similar"), met, vocab, weights, True)
+
+
+def rank_for_jobs(documents: DataFrame, jobs: DataFrame, current_year: int, **options) -> DataFrame:
+    """One collection ranked for each of a handful of jobs.
+
+    ``documents`` has ``pos, id, category, text`` and ``jobs`` has ``jd_id, text``, at most MOST_JOBS of them, as every
+    job ranks the whole collection. Options are ``stop_words``, ``vocab``, ``weights``, and ``vectors`` (``pos, vector``) together
+    with ``job_vectors`` (``jd_id, vector``).
+    """
+    return _ranked(score_for_jobs(documents, jobs, current_year, **options))
 
 
 def weights_used(jobs: DataFrame, weights: Mapping[str, float] | None = None, semantic: bool = False) -> DataFrame:

@@ -131,7 +131,33 @@ def test_pools_without_a_job_are_an_error(spark):
         S.tfidf_similarity(rows, spark.createDataFrame([(1, "python")], "jd_id long, text string"))
 
 
-def test_no_window_by_term(spark):
-    rows = spark.createDataFrame([(1, 1, "python and sql"), (1, 2, "sql only")], "jd_id long, pos long, text string")
-    jobs = spark.createDataFrame([(1, "sql wanted")], "jd_id long, text string")
-    assert "Window" not in plan_of(S.tfidf_similarity(rows, jobs))
+def test_several_jobs_on_one_collection(spark):
+    """Jobs that share terms with the collection, with each other, with nothing, or are empty."""
+    _, rows = skewed_corpus()
+    texts = [(pos, text) for _, pos, text in rows] + [(900, ""), (901, None)]
+    jobs = [(1, "always many1 only7 rare2 unseen"), (2, "many0 always always"), (3, "nothing shared"), (4, ""), (5, None), (6, "rare2 only7 only7")]
+    counted = runtime.materialize(
+        S.add_term_counts(spark.createDataFrame(texts, "pos long, text string"), ()).select("pos", "terms", "counts"), "counted"
+    )
+    asked = spark.createDataFrame(jobs, "jd_id long, text string")
+    want = brute_force([(j, t or "") for j, t in jobs], [(j, pos, text or "") for j, _ in jobs for pos, text in texts])
+    shared = {k: v for k, v in want.items() if v}
+    for norms in (None, S.collection_norms(counted)):
+        got = {(r.jd_id, r.pos): r.similarity for r in S.cosine_with_jobs(counted, asked, (), norms).collect()}
+        assert_close({k: v for k, v in got.items() if v}, shared)
+
+
+def test_many_terms_of_jobs_are_joined_by_salt(spark, monkeypatch):
+    monkeypatch.setattr(S, "ASKED_TERMS", 1)
+    test_several_jobs_on_one_collection(spark)
+
+
+def test_several_jobs_by_vectors_equal_one_after_the_other(spark):
+    chunks = spark.createDataFrame([(p, [p / 9, c / 7]) for p in range(9) for c in range(6)] + [(90, None)], "pos long, vector array<float>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.6, -0.8])], "jd_id long, vector array<float>")
+    together = S.semantic_for_jobs(chunks, queries)
+    for job in (1, 2):
+        alone = S.semantic_similarity(chunks.where("pos < 90").withColumn("jd_id", F.lit(job)), queries)
+        of_job = together.where(F.col("jd_id") == job)
+        assert sorted(map(tuple, of_job.select("pos", "similarity").collect())) == sorted(map(tuple, alone.select("pos", "similarity").collect()))
+    assert plan_of(together).count("parquet") <= 1 and "Cartesian" not in plan_of(together) and "NestedLoop" not in plan_of(together)
