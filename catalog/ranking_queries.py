@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions import features
 from rankloom.operators import evaluation, insights, jobs as job_ops, pools, scoring, similarity
-from rankloom.plans import screening
+from rankloom.operators.ordering import row_ordinals
+from rankloom.plans import reweighting, screening
 from rankloom.runtime import attach, is_small, materialize, scratch_path
 from rankloom.sources import sinks
 
@@ -413,25 +416,58 @@ def rank_for_jobs(spark, sf):
     return _shown(screening.rank_for_jobs(fx.candidates(spark, sf).drop("jd_id"), openings, YEAR))
 
 
+WEIGHTINGS = {"even": {"skills": 0.2, "tfidf": 0.2, "experience": 0.2, "education": 0.2}, "terms": WEIGHTS | {"skills": 0.05, "tfidf": 0.9}}
+
+
+def _component_store(spark, sf):
+    return reweighting.store_components(screening.score_candidates(*_single(spark, sf), YEAR))
+
+
+def _each_weighting(rank):
+    """Every weighting ranked from one store of components."""
+
+    def query(spark, sf):
+        store = _component_store(spark, sf)
+        parts = [_shown(rank(store, weights)).withColumn("weighting", F.lit(name)) for name, weights in WEIGHTINGS.items()]
+        return reduce(DataFrame.unionByName, parts)
+
+    return query
+
+
+top_n_reweighted = _each_weighting(lambda store, weights: reweighting.top_reweighted(store, TOP, weights))
+rank_reweighted = _each_weighting(reweighting.rank_reweighted)
+
+
+def reweighted_sql(where: str = "") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT *, '{name}' AS weighting FROM ({ranked_sql(SQL_SHOWN + where, single=True, weights=weights)})" for name, weights in WEIGHTINGS.items()
+    )
+
+
 def ranking_sink(spark, sf):
-    """Written without contributions, once as parquet and once as CSV, and read back from both."""
+    """Written without contributions, once as parquet and once as CSV, each in several files, and read back from both.
+
+    ``place`` is the row's number when the files are read in order of their names.
+    """
     ranked = materialize(_rank(spark, sf), "ranking")
     paths = {fmt: scratch_path(spark, f"ranking-{fmt}") for fmt in ("parquet", "csv")}
     for fmt, path in paths.items():
-        sinks.write_ranking(ranked, path, fmt)
+        sinks.write_ranking(ranked, path, fmt, files=5)
     back = spark.read.parquet(paths["parquet"])
     csv = spark.read.schema(back.schema).csv(paths["csv"], header=True, quote='"', escape='"', multiLine=True)
     texts = ["category", *TEXTUAL]
     # CSV has one notation for an empty text and none for a missing one.
-    both = back.withColumn("written_as", F.lit("parquet")).unionByName(csv.withColumn("written_as", F.lit("csv")))
+    parts = [row_ordinals(df, "place").withColumn("written_as", F.lit(name)) for name, df in (("parquet", back), ("csv", csv))]
+    both = reduce(DataFrame.unionByName, parts)
     return both.select(
-        "written_as", "rank", "jd_id", "id", *_rounded([c for c in back.columns if c.endswith("_score")]), "experience_years",
+        "written_as", "rank", (F.col("place") + 1).alias("place"), "jd_id", "id",
+        *_rounded([c for c in back.columns if c.endswith("_score")]), "experience_years",
         *(F.coalesce(c, F.lit("")).alias(c) for c in texts),
     )
 
 
 RANKING_SINK = ranked_sql(
-    f"SELECT written_as, rank, jd_id, id, {sql_rounded(SCORES)}, experience_years, "
+    f"SELECT written_as, rank, row_number() OVER (PARTITION BY written_as ORDER BY jd_id, rank) AS place, jd_id, id, {sql_rounded(SCORES)}, experience_years, "
     + ", ".join(f"coalesce({c}, '') AS {c}" for c in ["category", *TEXTUAL])
     + " FROM ranked, (VALUES ('parquet'), ('csv')) formats(written_as)"
 )
@@ -685,6 +721,8 @@ QUERIES = {
     "rank_candidates_semantic": (rank_candidates_semantic, ranked_sql(SQL_SHOWN, single=True, semantic=True)),
     "rank_for_jobs": (rank_for_jobs, ranked_sql(SQL_SHOWN, single=fx.SEVERAL_JOBS)),
     "top_n": (top_n, ranked_sql(SQL_SHOWN + f" WHERE rank <= {TOP}", single=True)),
+    "top_n_reweighted": (top_n_reweighted, reweighted_sql(f" WHERE rank <= {TOP}")),
+    "rank_reweighted": (rank_reweighted, reweighted_sql()),
     "ranking_sink": (ranking_sink, RANKING_SINK),
     "join_labels": (join_labels, JOIN_LABELS),
     "unlabelled_anti": (unlabelled_anti, UNLABELLED),

@@ -10,9 +10,17 @@ def without_contributions(ranked: DataFrame) -> DataFrame:
     return ranked.drop(*(c for c in ranked.columns if c.startswith("contrib_")))
 
 
-def write_ranking(ranked: DataFrame, path: str, fmt: str = "csv") -> None:
-    """The full ranking without its ``contrib_*`` columns, as CSV or any other Spark format."""
-    writer = without_contributions(ranked).write.mode("overwrite")
+def write_ranking(ranked: DataFrame, path: str, fmt: str = "csv", files: int | None = None) -> None:
+    """The full ranking without its ``contrib_*`` columns, as CSV or any other Spark format, in order of job and rank.
+
+    A stored ranking is read back in splits that are packed by size, so writing what is read loses the order. Here rows go to
+    ranges of (job, rank), each sorted and written as one file; Spark numbers files by range, so that the files, read in
+    order of their names, are the ranking. ``files`` asks for so many of them; by default the shuffle settings decide.
+    """
+    by = [F.col("jd_id"), F.col("rank")]
+    rows = without_contributions(ranked)
+    dealt = rows.repartitionByRange(files, *by) if files else rows.repartitionByRange(*by)
+    writer = dealt.sortWithinPartitions(*by).write.mode("overwrite")
     if fmt == "csv":
         # Text holds quotes and line breaks; escape as readers of plain CSV expect.
         writer.csv(path, header=True, quote='"', escape='"')

@@ -133,3 +133,18 @@ def test_stream_of_documents(spark, tmp_path):
     rows = spark.read.parquet(table).orderBy("id").collect()
     assert [(r.id, r.skills, r.experience_years) for r in rows] == [("1", ["python"], 0.0), ("2", ["sql"], 4.0)]
     assert "@" not in rows[0].text
+
+
+def test_a_ranking_is_written_in_order_of_its_files(spark, tmp_path):
+    from rankloom.sources.sinks import write_ranking
+
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "b").otherwise("a").alias("jd_id"), (F.col("id") * 7919 % 5000 + 1).alias("rank"), F.lit(1.0).alias("contrib_x")
+    )
+    for fmt, suffix in (("csv", ".csv"), ("parquet", ".parquet")):
+        path = tmp_path / fmt
+        write_ranking(rows, str(path), fmt, files=6)
+        files = sorted(p for p in path.iterdir() if p.name.endswith(suffix))
+        reader = spark.read.schema("jd_id string, rank long").option("header", True).format(fmt)
+        got = [tuple(r) for p in files for r in reader.load(str(p)).coalesce(1).collect()]
+        assert len(files) > 3 and got == sorted(got) and len(got) == 5000
