@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +42,12 @@ def free_name(df: DataFrame, stem: str) -> str:
     while stem.lower() in taken:
         stem = "_" + stem
     return stem
+
+
+def grown(x: np.ndarray, used: int, need: int) -> np.ndarray:
+    """``x`` with room for ``need`` entries. What is not used yet is never written, so it takes no memory."""
+    if need <= len(x):
+        return x
+    larger = np.zeros((max(need, 2 * len(x)), *x.shape[1:]), x.dtype)
+    larger[:used] = x[:used]
+    return larger

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import shuffle_partitions, table, text_or_empty
+from rankloom.llm.common import grown, shuffle_partitions, table, text_or_empty
 from rankloom.runtime import materialize
 
 LENGTH = 4096
@@ -39,7 +39,8 @@ OTHER_CUT = 64
 OTHER_EVERY = 64
 PER_SEQUENCE = 1
 BLOCK_IDS = 1 << 19
-MOST_WORDS = 800_000
+# Beyond MOST_WORDS, and at the end of a task, all but the KEPT_WORDS met first are forgotten: those are the common ones.
+MOST_WORDS, KEPT_WORDS = 400_000, 100_000
 # A character that the vocabulary keeps apart and gives one id.
 FENCE = "\x01"
 
@@ -60,16 +61,20 @@ class _Lists:
         self.n = self.used = 0
 
     def add(self, ids: np.ndarray, count: np.ndarray) -> None:
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.n + len(count) > len(self.begin):
-            self.begin, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count))
+        self.flat = grown(self.flat, self.used, self.used + len(ids))
+        self.begin, self.count = (grown(x, self.n, self.n + len(count)) for x in (self.begin, self.count))
         new = slice(self.n, self.n + len(count))
         self.flat[self.used : self.used + len(ids)] = ids
         self.begin[new] = self.used + np.cumsum(count) - count
         self.count[new] = count
         self.n, self.used = self.n + len(count), self.used + len(ids)
 
+    def keep(self, n: int) -> None:
+        """Forget all but the first ``n`` lists."""
+        if n < self.n:
+            self.n, self.used = n, int(self.begin[n])
+            self.flat, self.begin, self.count = self.flat[: self.used].copy(), self.begin[:n].copy(), self.count[:n].copy()
+
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the chosen lists in a row, and the place behind each."""
         n = self.count[which].astype(np.int64)
@@ -87,7 +92,7 @@ class WordIds:
 
     Words are cut at blanks and line feeds only. A word of letters and one mark behind them is the letters' ids and the
     mark's, as the vocabulary splits letters from other characters; capital ASCII letters are lower-cased first, as it does.
-    Ids are kept until there are too many words, then collected anew.
+    Ids are kept until there are too many words; then those of words met early, the common ones, stay.
     """
 
     MARKS = ".,;:!?"
@@ -141,6 +146,15 @@ class WordIds:
                 self.stem[s] = self.stems.n
                 self.stems.add(ids, np.array([len(ids)]))
 
+    def trim(self) -> None:
+        """Forget all but the words met first."""
+        if len(self.code) > KEPT_WORDS:
+            self.code = {w: i for w, i in self.code.items() if i < KEPT_WORDS}
+            self.stem = {s: i for s, i in self.stem.items() if i < KEPT_WORDS}
+            self.words.keep(KEPT_WORDS)
+            self.stems.keep(KEPT_WORDS)
+            self.ends = self.ends[:KEPT_WORDS].copy()
+
     def _learn(self, words: list[str]) -> None:
         stems, marks = [], []
         for w in words:
@@ -163,8 +177,7 @@ class WordIds:
         first = self.words.n
         self.code.update(zip(words, range(first, first + len(words))))
         self.words.add(ids, self.stems.count[parts].reshape(-1, 2).sum(1))
-        while self.words.n > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ends = grown(self.ends, first, self.words.n)
         self.ends[first : self.words.n] = np.fromiter((w[-1:] in (".", "!", "?") for w in words), bool, len(words))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,7 +187,7 @@ class WordIds:
             words += _lowered(text).replace("\n", " ").split(" ")
             words.append(None)
         if len(self.code) > MOST_WORDS:
-            self._clear()
+            self.trim()
         new = set(words).difference(self.code)
         if new:
             self._learn(list(new))
@@ -294,7 +307,9 @@ def pack_ranges(docs: DataFrame, tokenizer: str, length: int = LENGTH, with_ids:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words = _WORDS.setdefault(tokenizer, WordIds(tokenizer))
+        if tokenizer not in _WORDS:
+            _WORDS[tokenizer] = WordIds(tokenizer)
+        words = _WORDS[tokenizer]
         packer, part = Packer(length, with_ids), TaskContext.get().partitionId()
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -309,6 +324,8 @@ def pack_ranges(docs: DataFrame, tokenizer: str, length: int = LENGTH, with_ids:
                 if len(packer.ids) >= BLOCK_IDS:
                     yield out(packer.flush(last=False))
         yield out(packer.flush(last=True))
+        # The worker lives on, for tasks of other kinds too.
+        words.trim()
 
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_tie"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import table, text_or_empty
+from rankloom.llm.common import grown, table, text_or_empty
 
 WINDOW, STRIDE = 32, 24
 PER_CLASS, WINDOWS_PER_DOC = 3000, 16
@@ -39,7 +39,8 @@ STEPS, BATCH, RATE, DECAY = 400, 256, 0.01, 0.002
 THRESHOLD = 0.3
 # Documents whose grams are counted at a time, which bounds the driver's memory.
 SLICE_DOCS = 250
-CACHED_WORDS = 400_000
+# Words whose gates a task keeps, 192 bytes each; beyond that all but those met first, the common ones, are forgotten.
+CACHED_WORDS, KEPT_WORDS = 150_000, 50_000
 EDGES = ".,;:!?\"'()[]"
 
 
@@ -328,18 +329,18 @@ class Scorer:
 
     def __init__(self, net: Network):
         self.net = net
-        self._clear()
-
-    def _clear(self) -> None:
         self.code: dict[str, int] = {}
         self.gates, self.used = np.zeros((1 << 14, 2, 3 * STATES), np.float32), 1
 
+    def _trim(self) -> None:
+        self.code = {w: i for w, i in self.code.items() if i <= KEPT_WORDS}
+        self.gates, self.used = self.gates[: KEPT_WORDS + 1].copy(), KEPT_WORDS + 1
+
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 50_000):
-            some = words[at : at + 50_000]
+        for at in range(0, len(words), 20_000):
+            some = words[at : at + 20_000]
             new = self.net.project(self.net.vectors(*self.net.inputs(some)))
-            while self.used + len(new) > len(self.gates):
-                self.gates = np.concatenate([self.gates, np.zeros_like(self.gates)])
+            self.gates = grown(self.gates, self.used, self.used + len(new))
             self.gates[self.used : self.used + len(new)] = new
             self.code.update(zip(some, range(self.used, self.used + len(new))))
             self.used += len(new)
@@ -347,7 +348,7 @@ class Scorer:
     def __call__(self, texts: list[str]) -> np.ndarray:
         """The score of each text."""
         if len(self.code) > CACHED_WORDS:
-            self._clear()
+            self._trim()
         split = [words_of(t) for t in texts]
         size = np.array([len(s) for s in split], np.int64)
         flat = [w for s in split for w in s]

@@ -105,3 +105,22 @@ def test_awkward_rows(documents, nothing):
 def test_one_document(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert sum(r.length for r in pack(df, word_vocabulary(), 64).collect()) == len(tokenizer().encode(text, add_special_tokens=False).ids) + 1
+
+
+def test_forgotten_words_are_learnt_again(monkeypatch):
+    from rankloom.llm import packing
+
+    texts = [" ".join(f"Word{i * k % 977}, other-{i} thing." for i in range(300)) for k in range(1, 9)]
+    want = [x.tolist() for x in WordIds(word_vocabulary())(texts)]
+    monkeypatch.setattr(packing, "MOST_WORDS", 500)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 60)
+    words = WordIds(word_vocabulary())
+    ids, ends, sentences = [], [], []
+    for text in texts:
+        got = words([text])
+        ends += (got[1] + len(ids)).tolist()
+        sentences += (got[2] + len(ids)).tolist()
+        ids += got[0].tolist()
+        words.trim()
+        assert len(words.code) <= 61
+    assert [ids, ends, sentences] == want
