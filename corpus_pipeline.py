@@ -38,8 +38,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences: which ids of which document lie where. ``pack`` can carry the ids themselves along."""
-    return pack(docs, word_vocabulary(), with_ids=False)
+    """Pieces of training sequences: which ids of which document lie where, with the ids themselves."""
+    return pack(docs, word_vocabulary())
 
 
 STAGES = [
