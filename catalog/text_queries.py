@@ -96,6 +96,14 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return readers.load_csv(spark, _in_files(raw.withColumnRenamed("doc_id", "_number"), "_number", "documents-csv", **CSV))
 
 
+def csv_scan_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files, split among tasks wherever they can be, line breaks in fields or not."""
+    raw = table(spark, sf, "documents").select(
+        "doc_id", F.col("doc_id").alias("ID"), F.col("source").alias("Category"), F.col("text").alias("Resume_str")
+    )
+    return readers.load_large_csv(spark, _in_files(raw.withColumnRenamed("doc_id", "_number"), "_number", "documents-csv", **CSV))
+
+
 CSV_SCAN = (
     f"SELECT {FILE_PLACE} AS pos, CAST(doc_id AS VARCHAR) AS id, source AS category, {sql_pii(sql_clean('text'))} AS text FROM documents"
 )
@@ -427,6 +435,7 @@ def _expected(columns: str) -> str:
 
 QUERIES = {
     "csv_scan": (csv_scan, CSV_SCAN),
+    "csv_scan_split": (csv_scan_split, CSV_SCAN),
     "resolve_columns": (resolve_columns, RESOLVE_COLUMNS),
     "folder_scan_txt": (folder_scan_txt, FOLDER_SCAN),
     "union_sources": (union_sources, UNION_SOURCES),

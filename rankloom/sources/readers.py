@@ -1,9 +1,8 @@
 """Documents, job descriptions and labels from files or tables.
 
 Loaded documents have ``pos bigint, id string, category string, text string``; ``pos`` is unique and follows
-input order: files by path, rows as they stand in them. CSV with line breaks inside fields cannot be split,
-so large collections should be loaded once and kept as parquet, or be read with ``multi_line=False`` where
-no field has a line break.
+input order: files by path, rows as they stand in them. Spark's reader gives a CSV file with line breaks inside fields
+to one task; ``load_large_csv`` splits such files, and ``multi_line=False`` those without line breaks.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, redact_pii
 from ..operators.ordering import row_ordinals
+from .split_csv import read_split_csv
 
 # ---- fixed values: column names recognised, the first one present wins -----------------------
 TEXT_COLUMNS = ("Resume_str", "resume_str", "resume_text", "Resume", "resume", "text", "Text")
@@ -39,11 +39,11 @@ def _present(columns: Sequence[str], known: Sequence[str]) -> str | None:
     return next((name for name in known if name in columns), None)
 
 
-def resolve_columns(raw: DataFrame) -> DataFrame:
+def resolve_columns(raw: DataFrame, numbered_by: str | None = None) -> DataFrame:
     """``(pos, id, category, text)`` out of a table with any of the known column names.
 
     A missing id becomes the row number and a missing category is empty. Without a text column there
-    is nothing to load.
+    is nothing to load. Rows are numbered here unless ``numbered_by`` names the column that does.
     """
     text, key, category = (
         _present(raw.columns, known) for known in (TEXT_COLUMNS, ID_COLUMNS, CATEGORY_COLUMNS)
@@ -51,11 +51,12 @@ def resolve_columns(raw: DataFrame) -> DataFrame:
     if text is None:
         raise ValueError(f"no text column: expected one of {list(TEXT_COLUMNS)}, found {raw.columns}")
     rows = raw.select(
+        *([F.col(f"`{numbered_by}`").alias("pos")] if numbered_by else []),
         *([F.col(f"`{key}`").cast("string").alias("id")] if key else []),
         (F.col(f"`{category}`") if category else F.lit("")).cast("string").alias("category"),
         F.col(f"`{text}`").alias("text"),
     )
-    numbered = row_ordinals(rows)
+    numbered = rows if numbered_by else row_ordinals(rows)
     made_up = F.col("pos").cast("string").alias("id")
     return numbered.select("pos", "id" if key else made_up, "category", "text")
 
@@ -74,6 +75,11 @@ def load_csv(spark: SparkSession, path: str | list[str], redact: bool = True, mu
     return load_table(read_csv(spark, path, multi_line), redact)
 
 
+def load_large_csv(spark: SparkSession, path: str | list[str], redact: bool = True) -> DataFrame:
+    """:func:`load_csv` for large files whose fields may hold line breaks: they are split among tasks all the same."""
+    return prepare_text(resolve_columns(read_split_csv(spark, path), "pos"), redact)
+
+
 def read_files(spark: SparkSession, folder: str, names: str = TEXT_FILES) -> DataFrame:
     """``(path, content)`` of the files directly in ``folder`` whose name matches; other files are not opened."""
     files = spark.read.format("binaryFile").options(recursiveFileLookup="false", pathGlobFilter=names)

@@ -148,3 +148,35 @@ def test_a_ranking_is_written_in_order_of_its_files(spark, tmp_path):
         reader = spark.read.schema("jd_id string, rank long").option("header", True).format(fmt)
         got = [tuple(r) for p in files for r in reader.load(str(p)).coalesce(1).collect()]
         assert len(files) > 3 and got == sorted(got) and len(got) == 5000
+
+
+def messy_csv(n, newline="\n"):
+    """Fields with line breaks, doubled quotes, commas, blank lines inside and between records, empty and missing fields."""
+    out = ["id,Category,Resume_str"]
+    for i in range(n):
+        body = ["plain %d" % i, 'a "quoted"" word', "", "line one" + newline + newline + 'two, "' + newline, "ü" * (i % 50), newline * 3][i % 6]
+        out.append(f'{i},{["HR", "", "a,b"][i % 3] if i % 3 < 2 else chr(34) + "a,b" + chr(34)},"{body.replace(chr(34), chr(34) * 2)}"')
+        out += [""] * (i % 7 == 0)
+    return newline.join(out) + newline
+
+
+@pytest.mark.parametrize("size, newline", [(40, "\n"), (333, "\r\n"), (1 << 20, "\n")])
+def test_csv_with_line_breaks_is_split_among_tasks(spark, tmp_path, monkeypatch, size, newline):
+    for name, n in (("a.csv", 60), ("b.csv", 1), ("c.csv", 0), ("d.csv", 25)):
+        (tmp_path / name).write_text(messy_csv(n, newline), newline="")
+    whole = readers.load_csv(spark, str(tmp_path)).orderBy("pos").collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        split = readers.load_large_csv(spark, str(tmp_path))
+        assert sorted(split.collect()) == whole and len(whole) == 86
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 900 // size
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_with_a_lone_quote_is_an_error(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('id,text\n1,5" pipe\n2,plain\n')
+    with pytest.raises(ValueError, match="odd number of quotes"):
+        readers.load_large_csv(spark, str(tmp_path / "x.csv"))
