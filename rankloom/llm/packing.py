@@ -110,7 +110,8 @@ class WordIds:
         self._clear()
 
     def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        # Without the offsets into the text, which take a third of the time.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _clear(self) -> None:
         self.code: dict = {None: 0}
