@@ -97,7 +97,7 @@ def with_matches(rows: DataFrame) -> DataFrame:
 
 
 def _figure(x: Column) -> Column:
-    """Six significant digits, no trailing zeros; years are whole in practice."""
+    """Up to four decimals, no trailing zeros; years are whole in practice."""
     whole = x == F.floor(x)
     decimal = F.regexp_replace(F.format_string("%.4f", x.cast("double")), r"\.?0+$", "")
     return F.when(whole, x.cast("bigint").cast("string")).otherwise(decimal)
