@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions import features, terms, text
-from rankloom.operators import insights, jobs as job_ops
+from rankloom.functions.vocabulary import DEFAULT_VOCABULARY
+from rankloom.operators import insights, jobs as job_ops, vocabulary_join
 from rankloom.runtime import scratch_path
 from rankloom.sources import readers, sinks
 
@@ -291,6 +292,13 @@ def extract_skills(spark, sf):
     return _candidates_with(spark, sf, skills=F.array_join(features.extract_skills(F.col("text")), ","))
 
 
+def extract_skills_by_table(spark, sf):
+    """The same skills, with the vocabulary as a table of terms."""
+    terms = spark.createDataFrame(list(DEFAULT_VOCABULARY.skill_of.items()), "term string, skill string")
+    found = vocabulary_join.skills_by_table(fx.candidates(spark, sf), terms)
+    return found.select(F.col("pos").cast("string").alias("id"), F.array_join("skills", ",").alias("skills"))
+
+
 def skill_category_rollup(spark, sf):
     rows = fx.candidates(spark, sf).select(features.extract_skills(F.col("text")).alias("skills"))
     return insights.skill_category_rollup(rows)
@@ -450,6 +458,7 @@ QUERIES = {
     "norm_quotes": (norm_quotes, NORM_QUOTES),
     "text_preview": (text_preview, TEXT_PREVIEW),
     "extract_skills": (extract_skills, _expected("array_to_string(skills, ',') AS skills")),
+    "extract_skills_by_table": (extract_skills_by_table, _expected("array_to_string(skills, ',') AS skills")),
     "skill_category_rollup": (skill_category_rollup, SKILL_CATEGORY_ROLLUP),
     "explicit_years": (explicit_years, _expected("stated_years AS years")),
     "year_spans": (year_spans, YEAR_SPANS),
