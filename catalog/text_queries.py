@@ -216,6 +216,23 @@ SELECT CAST(doc_id AS VARCHAR) AS id, quality AS label FROM labels
 UNION ALL SELECT 't' || doc_id, toxic FROM labels"""
 
 
+def labels_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """All ids labelled once, every third one again and some of these a third time: what holds in the end."""
+    path = scratch_path(spark, "label-log")
+    stored = table(spark, sf, "labels")
+    numbers = [
+        sinks.append_labels(stored.where(F.col("doc_id") % every == 0).select(F.col("doc_id").alias("id"), label.alias("label")), path)
+        for every, label in ((1, F.col("quality")), (3, F.col("toxic")), (6, F.lit(7)))
+    ]
+    return readers.latest_labels(readers.load_labels(spark, path)).withColumn("batches", F.lit(numbers[-1]).cast("long"))
+
+
+LABELS_LATEST = """
+SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 6 = 0 THEN 7 WHEN doc_id % 3 = 0 THEN toxic ELSE quality END AS label,
+       3 AS batches
+FROM labels"""
+
+
 # ---- cleaning and redaction -----------------------------------------------------------------
 
 
@@ -449,6 +466,7 @@ QUERIES = {
     "union_sources": (union_sources, UNION_SOURCES),
     "jd_scan": (jd_scan, JD_SCAN),
     "labels_scan": (labels_scan, LABELS_SCAN),
+    "labels_latest": (labels_latest, LABELS_LATEST),
     "labels_append": (labels_append, LABELS_APPEND),
     "clean_text": (clean_text, f"SELECT doc_id, {sql_clean('text')} AS text FROM documents"),
     "redact_email": (redact_email, f"SELECT doc_id, {sql_email('text')} AS text FROM documents"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, redact_pii
 from ..operators.ordering import row_ordinals
+from .sinks import has_batches
 from .split_csv import read_split_csv
 
 # ---- fixed values: column names recognised, the first one present wins -----------------------
@@ -139,8 +140,19 @@ def load_jobs(spark: SparkSession, path: str) -> DataFrame:
 def load_labels(spark: SparkSession, path: str) -> DataFrame:
     """Labels ``(id, label, pos)`` from CSV; ids stay text, so leading zeros survive.
 
-    ``pos`` is the label's place: files by the time they were written, as labels are appended, rows as they stand.
+    ``pos`` is the label's place: by batches in a store that :func:`append_labels` made, by the time that files were written
+    in any other folder, and rows as they stand.
     """
-    rows = spark.read.csv(path, header=True, schema="id string, label int")
-    written = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
+    if has_batches(spark, path):
+        rows = spark.read.csv(path, header=True, schema="id string, label int, batch long")
+        first = F.col("batch")
+    else:
+        rows = spark.read.csv(path, header=True, schema="id string, label int")
+        first = F.col("_metadata.file_modification_time")
+    written = F.struct(first.alias("written"), "_metadata.file_path", "_metadata.file_block_start")
     return rows.select("id", "label", F.struct(written, F.monotonically_increasing_id()).alias("pos"))
+
+
+def latest_labels(labels: DataFrame) -> DataFrame:
+    """``(id, label)``: of the labels of an id (:func:`load_labels`) the one given last."""
+    return labels.groupBy("id").agg(F.max_by("label", "pos").alias("label"))

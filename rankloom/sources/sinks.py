@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,7 +31,56 @@ def write_ranking(ranked: DataFrame, path: str, fmt: str = "csv", files: int | N
         writer.format(fmt).save(path)
 
 
-def append_labels(labels: DataFrame, path: str) -> None:
-    """Add labels to the store. Only the new rows are written."""
+def append_labels(labels: DataFrame, path: str) -> int:
+    """Add labels to the store as a batch of their own, and return its number. Only the new rows are written.
+
+    The rows are written to a folder that readers do not see. Then the batch claims the next number, by creating a file that
+    must not be there yet, and the folder takes its place under that number in one renaming. So the order of labels is that
+    of the batches, whatever the clocks say, an append that fails half-way leaves nothing to be read, and of two
+    appends at a time each gets its own number. (A store without atomic renaming shows a batch while it is moved.)
+    """
+    spark = labels.sparkSession
+    if has_plain_labels(spark, path):
+        raise ValueError(f"{path} holds labels without batches: load them and append them to a new store")
     rows = labels.select(F.col("id").cast("string").alias("id"), F.col("label").cast("int").alias("label"))
-    rows.write.mode("append").csv(path, header=True)
+    pending = f"{path}/_pending-{uuid.uuid4().hex}"
+    rows.write.csv(pending, header=True)
+    files, place = _hadoop(spark, path)
+    files.mkdirs(place(f"{path}/{LABEL_LOG}"))
+    number = max((int(f.getPath().getName()) for f in files.listStatus(place(f"{path}/{LABEL_LOG}"))), default=0) + 1
+    while not _claimed(files, place(f"{path}/{LABEL_LOG}/{number:012d}")):
+        number += 1
+    if not files.rename(place(pending), place(f"{path}/batch={number:012d}")):
+        raise OSError(f"batch {number} of {path} could not be put in place")
+    return number
+
+
+LABEL_LOG = "_batches"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of ``path``, and what makes paths for it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _claimed(files, place) -> bool:
+    try:
+        files.create(place, False).close()
+        return True
+    except Py4JJavaError as e:
+        if files.exists(place):
+            return False
+        raise e
+
+
+def has_batches(spark: SparkSession, path: str) -> bool:
+    files, place = _hadoop(spark, path)
+    return files.exists(place(f"{path}/{LABEL_LOG}"))
+
+
+def has_plain_labels(spark: SparkSession, path: str) -> bool:
+    files, place = _hadoop(spark, path)
+    if not files.exists(place(path)):
+        return False
+    return any(f.isFile() and not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(place(path)))

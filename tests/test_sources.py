@@ -180,3 +180,33 @@ def test_csv_with_a_lone_quote_is_an_error(spark, tmp_path):
     (tmp_path / "x.csv").write_text('id,text\n1,5" pipe\n2,plain\n')
     with pytest.raises(ValueError, match="odd number of quotes"):
         readers.load_large_csv(spark, str(tmp_path / "x.csv"))
+
+
+def test_the_label_log_keeps_its_order(spark, tmp_path):
+    import os
+    import shutil
+
+    store = str(tmp_path / "log")
+    batches = [[("1", 0), ("2", 0)], [("1", 1)], [], [("1", 2), ("3", 2)]]
+    numbers = [sinks.append_labels(spark.createDataFrame(b, "id string, label int"), store) for b in batches]
+    assert numbers == [1, 2, 3, 4]
+    # A copy with all files written at the same time, an append that failed, and a number claimed by another one.
+    other = str(tmp_path / "copy")
+    shutil.copytree(store, other)
+    for folder, _, names in os.walk(other):
+        for name in names:
+            os.utime(os.path.join(folder, name), (1, 1))
+    spark.createDataFrame([("9", 9)], "id string, label int").write.csv(f"{other}/_pending-x", header=True)
+    (tmp_path / "copy" / sinks.LABEL_LOG / f"{5:012d}").touch()
+    assert sinks.append_labels(spark.createDataFrame([("2", 5)], "id string, label int"), other) == 6
+    for path, second in ((store, 0), (other, 5)):
+        latest = readers.latest_labels(readers.load_labels(spark, path))
+        assert {r.id: r.label for r in latest.collect()} == {"1": 2, "2": second, "3": 2}
+
+
+def test_labels_without_batches_are_not_appended_to(spark, tmp_path):
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "labels.csv").write_text("id,label\n1,2\n")
+    with pytest.raises(ValueError, match="without batches"):
+        sinks.append_labels(spark.createDataFrame([("2", 5)], "id string, label int"), str(tmp_path / "plain"))
+    assert [tuple(r) for r in readers.load_labels(spark, str(tmp_path / "plain")).select("id", "label").collect()] == [("1", 2)]
