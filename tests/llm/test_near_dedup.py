@@ -138,3 +138,27 @@ def test_sketches_never_differ_more_than_signatures():
     differ = nd._sketches(a) ^ nd._sketches(b)
     apart = ((differ & 15) > 0).sum(1) + (differ > 15).sum(1)
     assert (apart <= (a != b).sum(1)).all() and apart.mean() > 0.9 * (a != b).sum(1).mean()
+
+
+def test_fewer_links_keep_the_components(spark):
+    import random
+
+    from rankloom.llm.components import connected, fewer_links
+
+    rng = random.Random(4)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)] + [(1000 + i, 1000 + i % 7) for i in range(7, 200)]
+    links += [(2000 + rng.randrange(60), 2100 + rng.randrange(60)) for _ in range(2000)]
+    root = {x: x for pair in links for x in pair}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    table = spark.createDataFrame(links, "a long, b long")
+    less = fewer_links(table)
+    assert less.count() < 1000
+    for some in (table, less):
+        assert {r.node: r.label for r in connected(some).collect()} == {x: find(x) for x in root if any(x in p and p[0] != p[1] for p in links)}
