@@ -21,9 +21,11 @@ import os
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,6 +41,7 @@ OTHER_CUT = 64
 OTHER_EVERY = 64
 PER_SEQUENCE = 1
 BLOCK_IDS = 1 << 19
+RUN_BYTES = 1 << 22
 # Beyond MOST_WORDS, and at the end of a task, all but the KEPT_WORDS met first are forgotten: those are the common ones.
 MOST_WORDS, KEPT_WORDS = 400_000, 100_000
 # A character that the vocabulary keeps apart and gives one id.
@@ -82,20 +85,18 @@ class _Lists:
         return self.flat[np.repeat(self.begin[which] - behind + n, n) + np.arange(behind[-1] if len(behind) else 0)], behind
 
 
-def _lowered(text: str) -> str:
-    """ASCII texts lower-cased, as the vocabulary does with all but its markers: those it finds in the text as it is."""
-    return text.lower() if text.isascii() and "<|" not in text else text
-
-
 class WordIds:
     """Ids of texts, word by word: the vocabulary drops white space, so a text's ids are those of its words in turn.
 
-    Words are cut at blanks and line feeds only. A word of letters and one mark behind them is the letters' ids and the
-    mark's, as the vocabulary splits letters from other characters; capital ASCII letters are lower-cased first, as it does.
-    Ids are kept until there are too many words; then those of words met early, the common ones, stay.
+    Words are cut at blanks and line feeds only. A word of letters and one mark behind them is the letters' ids (its stem)
+    and the mark's, as the vocabulary splits letters from other characters; it lower-cases letters, and so does this.
+    Arrow splits texts and finds their distinct words; only distinct stems become Python strings. Ids of stems are kept
+    until there are too many; then those met early, the common ones, stay.
     """
 
     MARKS = ".,;:!?"
+    # All letters below U+0250; beyond, tables of what a letter is can differ.
+    LETTERS = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -107,94 +108,103 @@ class WordIds:
         hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
         self.alphabet = {b: 256 + i for i, b in enumerate(hidden)}
         (self.fence,) = self._encode(FENCE)
-        self._clear()
+        self.code: dict = {}
+        self.stems = _Lists()
+        # Codes of these: 0 for nothing, then the marks in turn.
+        self._learn(["", *self.MARKS])
 
     def _encode(self, text: str) -> list[int]:
         # Without the offsets into the text, which take a third of the time.
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _clear(self) -> None:
-        self.code: dict = {None: 0}
-        self.stem: dict = {}
-        self.words, self.stems = _Lists(), _Lists()
-        self.ends = np.zeros(1 << 14, bool)
-        self.words.add(np.array([END_ID], np.uint16), np.array([1]))
-        self._learn_stems(["", *self.MARKS])
+    def _add(self, stems: list[str], ids: np.ndarray, count: np.ndarray) -> None:
+        self.code.update(zip(stems, range(self.stems.n, self.stems.n + len(stems))))
+        self.stems.add(ids, count)
 
-    def _learn_stems(self, stems: list[str]) -> None:
+    def _learn(self, stems: list[str]) -> None:
         # Lower-case letters come to the merges as they are but for the alphabet that stands for their bytes; the rest of
         # the tokenizer has nothing to do.
-        letters = [s for s in stems if s.isalpha() and s.islower() and (s.isascii() or max(s) < "\u0250")]
+        tokenize, alphabet = self.merges.tokenize, self.alphabet
+        letters, merged, others = [], [], []
+        for s in stems:
+            if s.isalpha() and s.islower():
+                if s.isascii():
+                    letters.append(s)
+                    merged.append([t.id for t in tokenize(s)])
+                    continue
+                if max(s) < "\u0250":
+                    letters.append(s)
+                    merged.append([t.id for t in tokenize(s.encode().decode("latin-1").translate(alphabet))])
+                    continue
+            others.append(s)
         if letters:
-            tokenize, alphabet = self.merges.tokenize, self.alphabet
-            merged = [
-                [t.id for t in tokenize(s if s.isascii() else s.encode().decode("latin-1").translate(alphabet))] for s in letters
-            ]
-            self.stem.update(zip(letters, range(self.stems.n, self.stems.n + len(letters))))
-            self.stems.add(np.array([i for ids in merged for i in ids], np.uint16), np.array([len(ids) for ids in merged]))
-        stems = [s for s in stems if s not in self.stem]
-        plain = [s for s in stems if "<|" not in s and FENCE not in s]
+            count = np.fromiter(map(len, merged), np.int64, len(merged))
+            self._add(letters, np.fromiter(chain.from_iterable(merged), np.uint16, int(count.sum())), count)
+        plain = [s for s in others if "<|" not in s and FENCE not in s]
         for at in range(0, len(plain), 20_000):
             some = plain[at : at + 20_000]
             ids = np.array(self._encode(f" {FENCE} ".join(some)), np.uint16)
             fences = ids == self.fence
-            count = np.diff(np.concatenate([[-1], np.flatnonzero(fences), [len(ids)]])) - 1
-            self.stem.update(zip(some, range(self.stems.n, self.stems.n + len(some))))
-            self.stems.add(ids[~fences], count)
-        for s in stems:
+            self._add(some, ids[~fences], np.diff(np.concatenate([[-1], np.flatnonzero(fences), [len(ids)]])) - 1)
+        for s in others:
             if "<|" in s or FENCE in s:
                 ids = np.array(self._encode(s), np.uint16)
-                self.stem[s] = self.stems.n
-                self.stems.add(ids, np.array([len(ids)]))
+                self._add([s], ids, np.array([len(ids)]))
 
     def trim(self) -> None:
-        """Forget all but the words met first."""
+        """Forget all but the stems met first."""
         if len(self.code) > KEPT_WORDS:
-            self.code = {w: i for w, i in self.code.items() if i < KEPT_WORDS}
-            self.stem = {s: i for s, i in self.stem.items() if i < KEPT_WORDS}
-            self.words.keep(KEPT_WORDS)
+            self.code = {s: i for s, i in self.code.items() if i < KEPT_WORDS}
             self.stems.keep(KEPT_WORDS)
-            self.ends = self.ends[:KEPT_WORDS].copy()
-
-    def _learn(self, words: list[str]) -> None:
-        stems, marks = [], []
-        for w in words:
-            w = _lowered(w)
-            s = w[:-1]
-            # Beyond these letters, tables of what a letter is can differ.
-            if s and w[-1] in self.MARKS and s.isalpha() and (s.isascii() or max(s) < "\u0250"):
-                stems.append(s)
-                marks.append(w[-1])
-            else:
-                stems.append(w)
-                marks.append("")
-        new = set(stems).difference(self.stem)
-        if new:
-            self._learn_stems(list(new))
-        parts = np.empty(2 * len(words), np.int64)
-        parts[::2] = np.fromiter(map(self.stem.__getitem__, stems), np.int64, len(stems))
-        parts[1::2] = np.fromiter(map(self.stem.__getitem__, marks), np.int64, len(marks))
-        ids, _ = self.stems.take(parts)
-        first = self.words.n
-        self.code.update(zip(words, range(first, first + len(words))))
-        self.words.add(ids, self.stems.count[parts].reshape(-1, 2).sum(1))
-        self.ends = grown(self.ends, first, self.words.n)
-        self.ends[first : self.words.n] = np.fromiter((w[-1:] in (".", "!", "?") for w in words), bool, len(words))
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids in a row, the place behind each text's end id, and the places behind ends of sentences."""
-        words: list = []
-        for text in texts:
-            words += _lowered(text).replace("\n", " ").split(" ")
-            words.append(None)
+
+    def _codes(self, stems: list[str]) -> np.ndarray:
         if len(self.code) > MOST_WORDS:
             self.trim()
-        new = set(words).difference(self.code)
-        if new:
-            self._learn(list(new))
-        code = np.fromiter(map(self.code.__getitem__, words), np.int32, len(words))
-        ids, behind = self.words.take(code)
-        return ids, behind[code == 0], behind[self.ends[code]]
+        known = np.fromiter(map(self.code.get, stems, repeat(-1)), np.int64, len(stems))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            missed = [stems[i] for i in new.tolist()]
+            self._learn(missed)
+            known[new] = np.fromiter(map(self.code.__getitem__, missed), np.int64, len(missed))
+        return known
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """For distinct words the codes of their stems and of the marks behind them."""
+        last = pc.utf8_slice_codeunits(words, -1)
+        but_last = pc.utf8_slice_codeunits(words, 0, -1)
+        mark = pc.index_in(last, pa.array(list(self.MARKS))).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        marked = (mark > 0) & pc.match_substring_regex(but_last, self.LETTERS).to_numpy(zero_copy_only=False)
+        stems = pc.if_else(pa.array(marked), but_last, words)
+        # Markers are found in the text as it is, everything else in lower case.
+        lowered = pc.and_(pc.string_is_ascii(stems), pc.invert(pc.match_substring(stems, "<|")))
+        stems = pc.if_else(lowered, pc.ascii_lower(stems), stems)
+        capital = pc.and_(pc.invert(pc.string_is_ascii(stems)), pc.match_substring_regex(stems, self.LETTERS))
+        at = np.flatnonzero(capital.to_numpy(zero_copy_only=False))
+        if len(at):
+            small = [s.lower() for s in stems.take(pa.array(at)).to_numpy(zero_copy_only=False)]
+            stems = pc.replace_with_mask(stems, capital, pa.array(small, stems.type))
+        distinct = stems.dictionary_encode()
+        codes = self._codes(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
+        return codes[distinct.indices.to_numpy()], np.where(marked, mark, 0)
+
+    def __call__(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids in a row, the place behind each text's end id, and the places behind ends of sentences."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        stems, marks = self._words(coded.dictionary)
+        # The ids of each distinct word, and of the end of a text behind them.
+        parts = np.stack([stems, marks], axis=1)
+        ids, _ = self.stems.take(parts.ravel())
+        table = _Lists()
+        table.add(ids, self.stems.count[parts].sum(1))
+        table.add(np.array([END_ID], np.uint16), np.array([1]))
+        ends = np.append(pc.is_in(pc.utf8_slice_codeunits(coded.dictionary, -1), pa.array([".", "!", "?"])).to_numpy(zero_copy_only=False), False)
+        end = len(stems)
+        behind_text = split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+        code = np.insert(coded.indices.to_numpy().astype(np.int32), behind_text, end)
+        ids, behind = table.take(code)
+        return ids, behind[code == end], behind[ends[code]]
 
 
 def choose_cuts(ends: np.ndarray, sentences: np.ndarray, total: int, length: int = LENGTH) -> tuple[np.ndarray, int]:
@@ -319,9 +329,12 @@ def pack_ranges(docs: DataFrame, tokenizer: str, length: int = LENGTH, with_ids:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS.values())], names=list(KINDS))
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                packer.add(ids[at : at + 256], *words(texts[at : at + 256]))
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+            # Some megabytes of texts at a time, or one longer text.
+            begins = np.flatnonzero(np.diff(size // RUN_BYTES, prepend=-1)).tolist()
+            for at, behind in zip(begins, [*begins[1:], len(texts)]):
+                packer.add(ids[at:behind], *words(texts.slice(at, behind - at)))
                 if len(packer.ids) >= BLOCK_IDS:
                     yield out(packer.flush(last=False))
         yield out(packer.flush(last=True))
