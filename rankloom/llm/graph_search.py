@@ -5,8 +5,10 @@ greedy search on the graph so far proposes neighbours, and pruning keeps a propo
 it by the relaxation factor, so that edges stay diverse; reverse edges are added and pruned alike. Every query walks
 every shard's graph with a beam, and the shards' nearest are merged.
 
-Nearness is the largest inner product. Vectors get one more component that gives all of them the same length, which turns
-it into the smallest distance. Candidates found are scored anew in double precision on the original vectors.
+Nearness is the largest inner product. The graph is grown on directions, so that short vectors are met from long ones that
+point the same way; then every point, taken as a query, gets edges to the largest inner products found for it. Searches
+enter at the longest vectors and at the middle. Candidates found are scored anew in double precision on the original vectors.
+Points are put in order before a graph is grown: the order in which rows arrive changes nothing.
 
 Equal vectors are one point that carries its smallest ids: a query returns ``k`` rows, so ``k`` + 1 ids are enough for an
 exact result, and a vector that a third of all rows share is still one point. Queries come in blocks, so that a
@@ -20,9 +22,9 @@ gives an empty result. Further columns are ignored.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,27 +33,33 @@ from rankloom.llm.common import table
 from rankloom.runtime import materialize
 
 K = 20
-DEGREE, BUILD_BEAM, BEAM = 32, 64, 448
+DEGREE, STRONG, ENTRIES = 32, 16, 32
+BUILD_BEAM, BEAM = 64, 160
 RELAX = 1.2
 LEAST_SHARDS, SHARD_POINTS = 8, 100_000
 QUERY_BLOCK = 50_000
 MOST_CELLS = 1 << 25
 
 
-def level(x: np.ndarray) -> np.ndarray:
-    """Vectors of equal length: one more component makes up for what each lacks."""
-    x = x.astype(np.float32)
-    square = np.einsum("nd,nd->n", x, x, dtype=np.float64)
-    return np.concatenate([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None].astype(np.float32)], axis=1)
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors in single precision, all divided by their largest component: the order of inner products stays."""
+    return (x / np.abs(x).max()).astype(np.float32)
+
+
+def directions(x: np.ndarray) -> np.ndarray:
+    """Each vector at length 1, in single precision."""
+    x = x / np.abs(x).max(1, keepdims=True)
+    return (x / np.sqrt(np.einsum("nd,nd->n", x, x))[:, None]).astype(np.float32)
 
 
-def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def beam_search(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For each query the ids (-1: none) and negated inner products of the ``width`` best points met, best first."""
-    n, b = len(x), len(q)
+    n, b, e = len(x), len(q), len(entries)
+    width = max(width, e)
     ids, far = np.full((b, width), -1, np.int64), np.full((b, width), np.inf, np.float32)
     done = np.zeros((b, width), bool)
     met = np.zeros((b, n), bool)
-    ids[:, 0], far[:, 0], met[:, entry] = entry, -(q @ x[entry]), True
+    ids[:, :e], far[:, :e], met[:, entries] = entries, -(q @ x[entries].T), True
     live = np.arange(b)
     while len(live):
         open_ = np.where(done[live], np.inf, far[live])
@@ -63,7 +71,7 @@ def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, q: np.ndarray, wid
         done[live, pick] = True
         near = graph[ids[live, pick]]
         fresh = (near >= 0) & ~met[live[:, None], near]
-        met[live[:, None], np.where(fresh, near, entry)] = True
+        met[live[:, None], np.where(fresh, near, entries[0])] = True
         d = -np.einsum("brd,bd->br", x[near], q[live])
         d[~fresh] = np.inf
         all_far = np.concatenate([far[live], d], axis=1)
@@ -103,7 +111,7 @@ def robust_prune(x: np.ndarray, points: np.ndarray, proposed: np.ndarray, degree
 
 
 def grow(x: np.ndarray, seed: int = 3) -> tuple[np.ndarray, int]:
-    """The graph over levelled vectors (-1: no edge) and the point where searches enter."""
+    """The graph over vectors of one length (-1: no edge) and the point in the middle, where searches enter."""
     n = len(x)
     graph = np.full((n, DEGREE), -1, np.int64)
     order = np.random.default_rng(seed).permutation(n)
@@ -113,7 +121,7 @@ def grow(x: np.ndarray, seed: int = 3) -> tuple[np.ndarray, int]:
     while at < n:
         batch = order[at : at + min(at, 1024, max(1, MOST_CELLS // n))]
         at += len(batch)
-        proposed, _ = beam_search(x, graph, entry, x[batch], BUILD_BEAM)
+        proposed, _ = beam_search(x, graph, np.array([entry]), x[batch], BUILD_BEAM)
         # Points of one batch do not meet in the graph yet: the nearest of them are proposed to each other.
         near = -(x[batch] @ x[batch].T)
         np.fill_diagonal(near, np.inf)
@@ -142,6 +150,23 @@ def grow(x: np.ndarray, seed: int = 3) -> tuple[np.ndarray, int]:
     return graph, entry
 
 
+def product_graph(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The graph for inner products (-1: no edge) over the vectors, and the points where searches enter."""
+    x = scaled(points)
+    graph, middle = grow(directions(points))
+    longest_first = np.argsort(-np.einsum("nd,nd->n", x, x), kind="stable")
+    entries = np.unique(np.append(longest_first[:ENTRIES], middle))
+    graph = np.concatenate([graph, np.full((len(x), STRONG), -1, np.int64)], axis=1)
+    step = max(1, min(512, MOST_CELLS // len(x)))
+    for at in range(0, len(x), step):
+        batch = longest_first[at : at + step]
+        found, _ = beam_search(x, graph, entries, x[batch], BUILD_BEAM)
+        known = (found[:, :, None] == graph[batch][:, None, :DEGREE]).any(2) | (found == batch[:, None])
+        found = np.where(known, -1, found)
+        graph[batch, DEGREE:] = np.take_along_axis(found, np.argsort(found < 0, axis=1, kind="stable")[:, :STRONG], 1)
+    return graph, entries
+
+
 def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
@@ -172,11 +197,17 @@ def build_index(rows: DataFrame, k: int = K) -> tuple[DataFrame, int]:
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int"))
 
     def build(group: pa.Table) -> pa.Table:
-        graph, entry = grow(level(_matrix(group.column("embedding"), group.column("dims")[0].as_py())))
-        edges = pa.ListArray.from_arrays(np.arange(len(graph) + 1, dtype=np.int32) * DEGREE, pa.array(graph.ravel().astype(np.int32)))
+        vectors = _matrix(group.column("embedding"), group.column("dims")[0].as_py())
+        first_id = pc.list_element(group.column("ids"), 0).to_numpy()
+        order = np.lexsort([*vectors.T[::-1], first_id])
+        group = group.take(order)
+        graph, entries = product_graph(vectors[order])
+        edges = pa.ListArray.from_arrays(
+            np.arange(len(graph) + 1, dtype=np.int32) * graph.shape[1], pa.array(graph.ravel().astype(np.int32))
+        )
         place = pa.array(np.arange(len(graph), dtype=np.int32))
         return pa.table(
-            [group.column(c) for c in ("shard", "dims", "embedding", "ids")] + [place, edges, pa.array(np.arange(len(graph)) == entry)],
+            [group.column(c) for c in ("shard", "dims", "embedding", "ids")] + [place, edges, pa.array(np.isin(np.arange(len(graph)), entries))],
             names=["shard", "dims", "embedding", "ids", "place", "edges", "entry"],
         )
 
@@ -201,16 +232,17 @@ def nearest(index: DataFrame, shards: int, queries: DataFrame, k: int = K) -> Da
             return found.empty_table()
         dims = points.column("dims")[0].as_py()
         points = points.take(np.argsort(points.column("place").to_numpy(), kind="stable"))
+        asked = asked.sort_by("vec_id")
         original, wanted = _matrix(points.column("embedding"), dims), _matrix(asked.column("vector"), dims)
-        x = level(original)
+        x = scaled(original)
         graph = points.column("edges").combine_chunks().flatten().to_numpy().reshape(len(x), -1).astype(np.int64)
-        entry = int(np.flatnonzero(points.column("entry").to_numpy(zero_copy_only=False))[0])
-        q = np.concatenate([wanted, np.zeros((len(wanted), 1))], axis=1).astype(np.float32)
+        entries = np.flatnonzero(points.column("entry").to_numpy(zero_copy_only=False))
+        q = directions(wanted)
         members, own = points.column("ids").to_pylist(), asked.column("vec_id").to_pylist()
         rows: list[tuple] = []
         step = max(1, min(512, MOST_CELLS // len(x)))
         for at in range(0, len(q), step):
-            met, _ = beam_search(x, graph, entry, q[at : at + step], max(BEAM, k + 1))
+            met, _ = beam_search(x, graph, entries, q[at : at + step], max(BEAM, k + 1))
             scores = np.einsum("bcd,bd->bc", original[met], wanted[at : at + step])
             for i in range(len(met)):
                 scored = sorted(((-s, m) for s, m in zip(scores[i].tolist(), met[i].tolist()) if m >= 0))
