@@ -694,6 +694,17 @@ def lookup_by_id(spark, sf):
     return insights.texts_of(_labels(spark, sf), fx.candidates(spark, sf).select("id", "text")).select("id", "label", "text")
 
 
+def lookup_in_store(spark, sf):
+    """Some labelled documents, looked up in a store of all documents in ranges of their ids."""
+    path = scratch_path(spark, "documents")
+    sinks.write_documents(fx.candidates(spark, sf).select("id", "category", "text"), path)
+    ids = _labels(spark, sf).where("id is not null").select("id").distinct().orderBy("id").limit(LOOKED_UP).collect()
+    return insights.lookup_by_id(spark.read.parquet(path), [r.id for r in ids]).select("id", "category", "text")
+
+
+LOOKED_UP = 7
+LOOKUP_IN_STORE = with_fixtures(f"""SELECT id, category, text FROM cand WHERE id IN (
+    SELECT DISTINCT CAST(doc_id AS VARCHAR) AS l FROM labels WHERE doc_id IS NOT NULL ORDER BY l LIMIT {LOOKED_UP})""")
 LOOKUP = with_fixtures("SELECT id, quality AS label, text FROM cand JOIN labels ON pos = doc_id")
 
 
@@ -732,6 +743,7 @@ QUERIES = {
     "skill_except": (skill_algebra(F.array_except), _algebra_sql("NOT")),
     "doc_job_cross": (doc_job_cross, DOC_JOB),
     "lookup_by_id": (lookup_by_id, LOOKUP),
+    "lookup_in_store": (lookup_in_store, LOOKUP_IN_STORE),
     "skill_gap_counts": (skill_gap_counts, SKILL_GAPS),
     "screening_summary": (screening_summary, SCREENING_SUMMARY),
     "score_breakdown": (score_breakdown, SCORE_BREAKDOWN),

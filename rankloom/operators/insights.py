@@ -78,7 +78,10 @@ def split_by_category(rows: DataFrame, relevant: DataFrame, relevant_rows: bool
 
 
 def lookup_by_id(rows: DataFrame, ids: Column | str | list[str]) -> DataFrame:
-    """The rows of the chosen ids."""
+    """The rows of the chosen ids. On a store of ``sinks.write_documents`` the scan skips what cannot hold them.
+
+    A list of up to ten ids reaches the files id by id, a longer one by its least and largest id only.
+    """
     wanted = [ids] if isinstance(ids, str) else ids
     return rows.where(F.col("id").isin(wanted))
 

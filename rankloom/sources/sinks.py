@@ -1,4 +1,4 @@
-"""Writing rankings and labels."""
+"""Writing rankings, documents and labels."""
 
 from __future__ import annotations
 
@@ -31,6 +31,28 @@ def write_ranking(ranked: DataFrame, path: str, fmt: str = "csv", files: int | N
         writer.format(fmt).save(path)
 
 
+STORE_ROW_GROUP = 4 << 20
+
+
+def write_documents(documents: DataFrame, path: str, files: int | None = None, row_group: int = STORE_ROW_GROUP) -> None:
+    """A store of documents for lookups by ``id``, to be read with ``spark.read.parquet``.
+
+    Each file holds a range of ids in order, in small row groups with a Bloom filter of their ids. A lookup of some ids
+    (``insights.lookup_by_id``) leaves out files and row groups by their least and largest id and by the filters, and reads
+    texts of the few that are left. Rows of one id are dealt by a hash too, so that an id that many rows share splits.
+    """
+    hashed = [F.col(f"`{c}`") for c, kind in documents.dtypes if "map<" not in kind and kind != "variant"]
+    by = [F.col("id"), F.xxhash64(*hashed)]
+    dealt = documents.repartitionByRange(files, *by) if files else documents.repartitionByRange(*by)
+    (
+        dealt.sortWithinPartitions("id").write.mode("overwrite")
+        .option("parquet.block.size", row_group)
+        .option("parquet.bloom.filter.enabled#id", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .parquet(path)
+    )
+
+
 def append_labels(labels: DataFrame, path: str) -> int:
     """Add labels to the store as a batch of their own, and return its number. Only the new rows are written.
 

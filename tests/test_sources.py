@@ -210,3 +210,28 @@ def test_labels_without_batches_are_not_appended_to(spark, tmp_path):
     with pytest.raises(ValueError, match="without batches"):
         sinks.append_labels(spark.createDataFrame([("2", 5)], "id string, label int"), str(tmp_path / "plain"))
     assert [tuple(r) for r in readers.load_labels(spark, str(tmp_path / "plain")).select("id", "label").collect()] == [("1", 2)]
+
+
+def test_store_of_documents_reads_little_for_a_lookup(spark, tmp_path):
+    from rankloom.operators.insights import lookup_by_id
+
+    rows = spark.range(60_000).select(
+        F.format_string("%06d", "id").alias("id"), F.sha2(F.col("id").cast("string"), 512).alias("text"), F.array("id").alias("tags")
+    )
+    # An id that a third of all rows have is split among files.
+    hot = spark.range(30_000).select(F.lit("030000").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("text"), F.array("id").alias("tags"))
+    nulls = spark.createDataFrame([(None, "x", [1]), ("000007", None, None)], "id string, text string, tags array<bigint>")
+    path = str(tmp_path / "store")
+    sinks.write_documents(rows.union(hot).union(nulls).repartition(5), path, files=6, row_group=256 << 10)
+    store = spark.read.parquet(path)
+    assert store.count() == 90_002
+    sizes = [r["count"] for r in store.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 30_000
+    found = lookup_by_id(store, ["000007", "051234", "no such id"])
+    assert sorted((r.id, r.text is None) for r in found.collect()) == [("000007", False), ("000007", True), ("051234", False)]
+    assert "In(id" in plan_of(found)
+    leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert leaf.metrics().apply("numOutputRows").value() < 20_000
+    assert lookup_by_id(store, "030000").count() == 30_001
+    sinks.write_documents(store.limit(0), str(tmp_path / "empty"))
+    assert lookup_by_id(spark.read.schema(store.schema).parquet(str(tmp_path / "empty")), "1").count() == 0
