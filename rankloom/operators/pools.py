@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
-from .insights import split_by_category
 from .ordering import first_rows
 
 POOL_TOP = 40
@@ -40,44 +38,52 @@ def stratified_pool(
 ) -> DataFrame:
     """Draw ``n`` ids per job: ``(jd_id, pick, id, stratum)``, no id twice.
 
-    Strata are drawn one after the other and leave out what is already picked. At most ``n`` ids can
-    be, so each stratum needs to offer no more than its quota plus ``n`` of its own: after the first
-    cut every step works on a few rows per job, whatever the size of the ranking.
+    Strata are drawn one after the other and leave out what is already picked. At most ``n`` ids can be, so each stratum needs
+    to offer no more than its quota plus ``n``: every row of the ranking says which strata it belongs to, each task cuts
+    the offers of each, and one shuffle cuts them again. What is left, at most some ``7 n`` ids a job whatever the size of
+    the ranking, meets in one row per job, where the strata are drawn in order.
     """
-    names = ranked.sparkSession.createDataFrame([(c,) for c in relevant], "category string")
-    rows = ranked.select("jd_id", "rank", "id", "category", "skills_score", "tfidf_score")
-    strata = {
-        "top_skill": topk_pool(rows, "skills_score"),
-        "top_tfidf": topk_pool(rows, "tfidf_score"),
-        "relevant": split_by_category(rows, names),
-        "other": split_by_category(rows, names, relevant_rows=False),
-        "any": rows,
-    }
-    drawn = [draw_order(seed), F.col("rank").asc()]
     quotas = {stratum: round(n * share) for stratum, share in QUOTAS} | {"any": n}
-    offers = materialize(
-        reduce(
-            DataFrame.unionByName,
-            (
-                first_rows(strata[s].select("jd_id", "id", "rank"), ["jd_id"], drawn, quota + n)
-                .select("jd_id", "id", "rank", F.lit(s).alias("stratum"))
-                for s, quota in quotas.items()
-            ),
-        ),
-        "offers",
-    )
-    picks = offers.select("jd_id", "id", "stratum").limit(0)
-    for stratum, quota in quotas.items():
-        fresh = offers.where(F.col("stratum") == stratum).join(picks, ["jd_id", "id"], "left_anti")
-        taken = first_rows(fresh, ["jd_id"], drawn, quota)
-        if stratum == "any":
-            held = picks.groupBy("jd_id").agg(F.count(F.lit(1)).alias("held"))
-            room = n - F.coalesce("held", F.lit(0))
-            taken = taken.join(held, "jd_id", "left").where(F.col("_place") <= room)
-        picks = materialize(picks.unionByName(taken.select("jd_id", "id", "stratum")), "picks")
-
+    sizes = {s: quota + n for s, quota in quotas.items()} | {"top_skill": POOL_TOP, "top_tfidf": POOL_TOP}
+    draw, no_score = draw_order(seed), F.lit(None).cast("double")
+    kind = F.when(F.coalesce(F.col("category").isin(list(relevant)), F.lit(False)), F.lit("relevant")).otherwise(F.lit("other"))
+
+    def offer(stratum: Column, score: Column, order: Column) -> Column:
+        return F.struct(stratum.alias("stratum"), score.cast("double").alias("score"), order.alias("order"))
+
+    def within(stratum: str):
+        return lambda o: o["stratum"] == stratum
+
+    def named(stratum: str):
+        return lambda x: F.struct(x.alias("id"), F.lit(stratum).alias("stratum"))
+
+    nothing = F.lit(None).cast("string")
+    offered = ranked.select(
+        "jd_id", "id", "rank",
+        F.explode(F.array(
+            offer(F.lit("top_skill"), F.col("skills_score"), nothing),
+            offer(F.lit("top_tfidf"), F.col("tfidf_score"), nothing),
+            offer(kind, no_score, draw),
+            offer(F.lit("any"), no_score, draw),
+        )).alias("_o"),
+    ).select("jd_id", "id", "rank", "_o.*")
+    best = [F.col("score").desc_nulls_last(), F.col("order").asc(), F.col("rank").asc()]
+    cut = first_rows(offered, ["jd_id", "stratum"], best, max(sizes.values()))
+    room = reduce(lambda c, s: c.when(F.col("stratum") == s, F.lit(sizes[s])), sizes, F)
+    rows = cut.where(F.col("_place") <= room).groupBy("jd_id").agg(
+        F.sort_array(F.collect_list(F.struct("stratum", draw.alias("draw"), "rank", "id"))).alias("_all")
+    ).withColumn("_picked", F.expr("cast(array() as array<string>)"))
+    for i, (stratum, quota) in enumerate(quotas.items()):
+        ids = F.transform(F.filter("_all", within(stratum)), lambda o: o["id"])
+        # Quotas are rounded and may add up to more than n by one or two; the last cut below sees to that.
+        most = F.greatest(F.lit(0), F.lit(quota) - F.size("_picked")) if stratum == "any" else F.lit(quota)
+        rows = rows.withColumn(f"_t{i}", F.slice(F.array_except(ids, F.col("_picked")), F.lit(1), most))
+        rows = rows.withColumn("_picked", F.concat("_picked", f"_t{i}"))
+    taken = [F.transform(f"_t{i}", named(stratum)) for i, stratum in enumerate(quotas)]
+    picks = rows.select("jd_id", F.explode(F.concat(*taken)).alias("_p")).select("jd_id", "_p.*")
     shuffled = [draw_order(seed, "shuffle"), F.col("id").asc()]
-    return first_rows(picks, ["jd_id"], shuffled, n, "pick").select("jd_id", "pick", "id", "stratum")
+    pick = F.row_number().over(Window.partitionBy("jd_id").orderBy(*shuffled))
+    return picks.withColumn("pick", pick).where(F.col("pick") <= n).select("jd_id", "pick", "id", "stratum")
 
 
 def unlabelled(pool: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +152,24 @@ def pool_input(spark, n=200):
     )
 
 
+def test_a_large_draw_moves_rows_twice(spark):
+    ranked = spark.range(40_000).select(
+        F.concat(F.lit("j"), F.col("id") % 2).alias("jd_id"), (F.col("id") / 2).cast("int").alias("rank"),
+        F.col("id").cast("string").alias("id"), F.when(F.col("id") % 3 == 0, "A").when(F.col("id") % 3 == 1, "B").alias("category"),
+        F.rand(1).alias("skills_score"), F.when(F.col("id") % 5 > 0, F.rand(2)).alias("tfidf_score"),
+    )
+    pool = pools.stratified_pool(ranked, 5000, relevant=["A"])
+    assert plan_of(pool).count("Exchange hashpartitioning") <= 2
+    rows = pool.collect()
+    for job in ("j0", "j1"):
+        mine = [r for r in rows if r.jd_id == job]
+        assert len({r.id for r in mine}) == len(mine) == 5000
+        assert sorted(r.pick for r in mine) == list(range(1, 5001))
+        held = Counter(r.stratum for r in mine)
+        assert held["top_skill"] == 40 and 0 < held["top_tfidf"] <= 40 and held["relevant"] == 1250 and held["other"] == 750
+    assert pools.stratified_pool(ranked.limit(0), 10, relevant=[]).count() == 0
+
+
 def test_stratified_pool(spark):
     pool = pools.stratified_pool(pool_input(spark), 30, relevant=["A"]).collect()
     assert len(pool) == len({r.id for r in pool}) == 30
