@@ -229,7 +229,8 @@ def smooth_idf(spark, sf):
     """Per pool and document frequency: the weight, and how many terms have it."""
     corpus = similarity.with_job_texts(*_plain(spark, sf))
     counted = similarity.document_frequencies(similarity.term_frequencies(corpus, fx.STOP_WORDS))
-    sized = counted.join(similarity.corpus_sizes(corpus), "jd_id")
+    sizes = similarity.corpus_sizes(corpus)
+    sized = attach(counted, sizes, "jd_id", F.col("term"), is_small(sizes))
     weighted = sized.withColumn("idf", similarity.smooth_idf(F.col("df"), F.col("n")))
     return weighted.groupBy("jd_id", "df").agg(F.round(F.max("idf"), 6).alias("idf"), F.count(F.lit(1)).alias("terms"))
 

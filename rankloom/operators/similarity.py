@@ -63,14 +63,18 @@ def corpus_sizes(corpus: DataFrame) -> DataFrame:
 
 
 def term_rows(counted: DataFrame) -> DataFrame:
-    """One row ``(jd_id, pos, term, tf)`` per document and term."""
-    each = counted.select("jd_id", "pos", "counts", F.posexplode("terms").alias("_k", "term"))
+    """One row ``(jd_id, pos, term, tf)`` per document and term.
+
+    The outer form, without its rows for empty lists: from the plain one Spark infers a filter on the size of the list and
+    pushes it down to the texts, where the whole counting of a text is repeated for every term of it.
+    """
+    each = counted.select("jd_id", "pos", "counts", F.posexplode_outer("terms").alias("_k", "term")).where(F.col("_k").isNotNull())
     return each.select("jd_id", "pos", "term", F.get("counts", F.col("_k")).alias("tf"))
 
 
 def term_frequencies(documents: DataFrame, stop_words: Sequence[str]) -> DataFrame:
     """``(jd_id, pos, term, tf)``: how often each token and token pair occurs in each text."""
-    return term_rows(add_term_counts(documents.select("jd_id", "pos", "text"), stop_words))
+    return term_rows(add_term_counts(spread(documents.select("jd_id", "pos", "text"), "pos"), stop_words))
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:

@@ -161,3 +161,15 @@ def test_several_jobs_by_vectors_equal_one_after_the_other(spark):
         of_job = together.where(F.col("jd_id") == job)
         assert sorted(map(tuple, of_job.select("pos", "similarity").collect())) == sorted(map(tuple, alone.select("pos", "similarity").collect()))
     assert plan_of(together).count("parquet") <= 1 and "Cartesian" not in plan_of(together) and "NestedLoop" not in plan_of(together)
+
+
+def test_terms_of_a_text_are_counted_once(spark):
+    """No filter inferred from the list of terms may repeat the counting, once per term, below it."""
+    candidates, jobs = frames(spark, JOBS, CANDIDATES)
+    tf = S.term_frequencies(S.with_job_texts(candidates, jobs), ["the"])
+    for rows in (tf, tf.groupBy("jd_id", "pos").count(), S.document_frequencies(tf)):
+        # Once for candidates and once for jobs.
+        assert plan_of(rows).split("Initial Plan")[0].count("regexp_extract_all(") == 2
+    got = {(r.pos, r.term): r.tf for r in tf.where("jd_id = 1").collect()}
+    assert got[11, "coffee"] == 2 and got[11, "coffee black"] == 1 and got[13, "and"] == 1
+    assert not [key for key in got if key[0] == 12]
