@@ -74,11 +74,17 @@ def sql_grams(x: str) -> str:
 
 
 def _in_files(rows: DataFrame, number: str, label: str, fmt: str = "csv", **options) -> list[str]:
-    """``rows`` in three files of unequal size, in order of ``number``; a small one comes first."""
+    """``rows`` in three folders of unequal size, in order of ``number``; a small one comes first.
+
+    Each is written in ranges of ``number``, so that no task reads or writes all rows; files in order of their names, one after
+    the other, hold the rows as one file would. Rows of one number keep the order in which they are read.
+    """
     folder, n = scratch_path(rows.sparkSession, label), F.col(number)
     parts = {"a": n % 7 == 0, "b": n % 7 > 1, "c": n % 7 == 1}
     for name, held in parts.items():
-        rows.where(held).coalesce(1).sortWithinPartitions(number).drop(number).write.format(fmt).options(**options).save(f"{folder}/{name}")
+        placed = rows.where(held).withColumn("_read", F.monotonically_increasing_id())
+        ranges = placed.repartitionByRange(number, "_read").sortWithinPartitions(number, "_read")
+        ranges.drop(number, "_read").write.format(fmt).options(**options).save(f"{folder}/{name}")
     return [f"{folder}/{name}" for name in parts]
 
 

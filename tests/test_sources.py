@@ -235,3 +235,18 @@ def test_store_of_documents_reads_little_for_a_lookup(spark, tmp_path):
     assert lookup_by_id(store, "030000").count() == 30_001
     sinks.write_documents(store.limit(0), str(tmp_path / "empty"))
     assert lookup_by_id(spark.read.schema(store.schema).parquet(str(tmp_path / "empty")), "1").count() == 0
+
+
+def test_files_of_the_catalog_are_written_in_ranges(spark):
+    """No task writes a whole folder, and files in order of their names hold the rows in order."""
+    from catalog.text_queries import _in_files
+
+    rows = spark.range(700, numPartitions=3).selectExpr("699 - id AS n", "cast(699 - id AS string) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        a, b, c = _in_files(rows, "n", "ranges", "parquet")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all(len(spark.read.parquet(path).inputFiles()) > 1 for path in (a, b, c))
+    read = [int(r.text) for r in readers.resolve_columns(spark.read.parquet(a, b, c)).orderBy("pos").collect()]
+    assert read == [n for held in ([0], [2, 3, 4, 5, 6], [1]) for n in range(700) if n % 7 in held]
