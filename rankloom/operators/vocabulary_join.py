@@ -37,16 +37,25 @@ def _term_table(vocabulary: DataFrame) -> DataFrame:
 
 
 def _places(documents: DataFrame, keys: Sequence[str], longest: int) -> DataFrame:
-    """Per place where a term can begin: ``spot``, the atom before it and the next ``longest`` and one."""
-    body = documents.select(*keys, _atoms(F.coalesce("text", F.lit(""))).alias("_atoms")).where(F.size("_atoms") > 0)
+    """Per place where a term can begin: its atom ``first``, and where it stands, ``_k``, in its ``_piece``.
+
+    Lists are exploded in the outer form: from the plain one Spark infers a filter on their size and pushes it down to the
+    texts, where a text is cut to atoms again for every piece.
+    """
     blank = F.array(F.lit(BLANK))
-    padded = body.select(*keys, F.concat(blank, "_atoms", blank).alias("_atoms"))
+    atoms = documents.select(*keys, _atoms(F.coalesce("text", F.lit(""))).alias("_atoms"))
+    padded = atoms.select(*keys, F.concat(blank, "_atoms", blank).alias("_atoms"))
     pieces = F.transform(F.sequence(F.lit(1), F.size("_atoms") - 2, F.lit(PIECE)), lambda i: F.slice("_atoms", i, F.lit(PIECE + longest + 1)))
-    apart = padded.select(*keys, F.explode(pieces).alias("_piece"))
-    starts = F.sequence(F.lit(1), F.least(F.lit(PIECE), F.size("_piece") - 2))
-    spots = F.transform(starts, lambda j: F.slice("_piece", j, F.lit(longest + 2)))
-    each = apart.select(*keys, F.explode(spots).alias("spot"))
-    return each.select(*keys, "spot", F.col("spot")[1].alias("first")).where(F.col("first") != BLANK)
+    cut = padded.select(*keys, F.when(F.size("_atoms") > 2, pieces).alias("_pieces"))
+    apart = cut.select(*keys, F.explode_outer("_pieces").alias("_piece")).where(F.col("_piece").isNotNull())
+    starts = F.slice("_piece", F.lit(2), F.least(F.lit(PIECE), F.size("_piece") - 2))
+    each = apart.select(*keys, "_piece", F.posexplode_outer(starts).alias("_k", "first"))
+    return each.where(F.col("first") != BLANK)
+
+
+def _with_spot(places: DataFrame, longest: int) -> DataFrame:
+    """``spot`` instead of the piece: the atom before the place and the next ``longest`` and one."""
+    return places.withColumn("spot", F.slice("_piece", F.col("_k") + 1, F.lit(longest + 2))).drop("_piece", "_k")
 
 
 def skills_by_table(documents: DataFrame, vocabulary: DataFrame, keys: Sequence[str] = ("pos",)) -> DataFrame:
@@ -60,8 +69,12 @@ def skills_by_table(documents: DataFrame, vocabulary: DataFrame, keys: Sequence[
     longest = terms.agg(F.max("n")).first()[0] or 0
     light = is_light(terms, LIGHT_TERMS)
     lengths = terms.groupBy("first").agg(F.collect_set("n").alias("_lengths"))
-    spread = F.xxhash64(*keys, "spot")
-    begun = attach(_places(documents, keys, longest), lengths, "first", spread, light)
+    places = _places(documents, keys, longest)
+    if light:
+        # Nothing moves, so the few places that begin a term are found before anything is cut out of the pieces.
+        begun = _with_spot(attach(places, lengths, "first", F.col("_k"), light), longest)
+    else:
+        begun = attach(_with_spot(places, longest), lengths, "first", F.xxhash64(*keys, "spot"), light)
     tried = begun.select(*keys, "spot", F.explode("_lengths").alias("n")).where(F.size("spot") >= F.col("n") + 2)
     before, after = F.col("spot")[0], F.get("spot", F.col("n") + 1)
     alone = tried.where(~before.rlike(rf"{_RUN}|\.") & ~after.rlike(_RUN))

@@ -13,6 +13,8 @@ BROADCAST_ROWS = 5_000
 # Rows of unknown width are broadcast only if their bytes stay below this too.
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
+# Rows of costly work that a task may hold, those that it gets when rows are dealt anew, and the most tasks for that; see spread().
+MOST_ROWS, DEALT_ROWS, MOST_TASKS = 5_000, 2_500, 10_000
 
 
 def build_session(app: str = "rankloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -65,14 +67,17 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     What counts is how many tasks of the scan hold rows: a file that splits is as good as many, and one that
     cannot be split is one task, however many cores wait. Counting reads no column of the table. Where there are
-    as many such tasks as cores nothing is moved. The number of partitions is given because adaptive execution
+    as many such tasks as cores, and none has more than MOST_ROWS rows, nothing is moved. Else a task gets about DEALT_ROWS,
+    so that its time does not grow with the table. The number of partitions is given because adaptive execution
     would otherwise merge them by their bytes.
     """
     spark = df.sparkSession
-    filled = df.select(F.spark_partition_id().alias("_part")).distinct().count()
-    if filled >= spark.sparkContext.defaultParallelism:
+    tasks = df.groupBy(F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    filled, total, most = tasks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if filled >= spark.sparkContext.defaultParallelism and most <= MOST_ROWS:
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    fine = min(-(-total // DEALT_ROWS), MOST_TASKS)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), fine), key)
 
 
 def is_small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -66,3 +66,13 @@ def test_wide_rows_are_not_light(spark):
     assert is_light(spark.range(5).selectExpr("id", "repeat('x', 100) AS t"))
     assert not is_light(spark.range(5).selectExpr("id", "repeat('x', 100) AS t"), size=300)
     assert not is_light(spark.range(6), rows=5)
+
+
+def test_tasks_do_not_grow_with_the_table(spark, tmp_path):
+    """Files as many as cores, each with many rows, are dealt to more tasks."""
+    cores, rows = spark.sparkContext.defaultParallelism, 6_000
+    path = str(tmp_path / "large")
+    spark.range(cores * rows, numPartitions=cores).write.parquet(path)
+    dealt = spread(spark.read.parquet(path), "id")
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > cores and max(sizes) < 5_000 and sum(sizes) == cores * rows

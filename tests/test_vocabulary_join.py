@@ -47,3 +47,10 @@ def test_a_large_vocabulary_is_joined(spark):
     assert {r.pos: r.skills for r in out.collect()} == {1: ["s7", "s9", "s998"], 2: []}
     assert "NestedLoop" not in plan_of(out) and "EvalPython" not in plan_of(out)
     assert V.skills_by_table(docs, terms.limit(0)).where("size(skills) = 0").count() == 2
+
+
+def test_a_text_is_cut_to_atoms_once(spark):
+    documents = spark.createDataFrame([(1, "a b " * 600), (2, ""), (3, None), (4, " ")], "pos long, text string")
+    places = V._places(documents, ["pos"], 3)
+    assert plan_of(places).split("Initial Plan")[0].count("regexp_extract_all(") == 1
+    assert {r.pos: r["count"] for r in places.groupBy("pos").count().collect()} == {1: 1200}
