@@ -113,7 +113,9 @@ def frequent_terms(counted: DataFrame) -> DataFrame:
     of_file = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(max(files // SAMPLED_FILES, 1)))
     some = counted.where(of_file == 0) if files > SAMPLED_FILES else counted
     every = max(some.count() // SAMPLED_DOCUMENTS, 1)
-    sample = some.where(F.pmod(F.xxhash64("pos"), F.lit(every)) == 0)
+    # Stored, as finding it reads the terms of all those files.
+    sample = some.where(F.pmod(F.xxhash64("pos"), F.lit(every)) == 0).select("jd_id", "pos", "terms", "counts")
+    sample = materialize(sample, "sampled-documents")
     rows = sample.agg(F.sum(F.size("terms"))).first()[0] or 0
     counts = term_rows(sample).groupBy("jd_id", "term").agg(F.count(F.lit(1)).alias("c"))
     return materialize(counts.where(F.col("c") > max(rows * FREQUENT_SHARE, 1)).select("jd_id", "term"), "frequent-terms")
