@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from . import patterns as P
 from .stop_words import ENGLISH
@@ -50,26 +55,60 @@ def add_ngrams(documents: DataFrame, stop_words: Sequence[str], text: str = "tex
     return documents.withColumn("_words", tokens(body, stop_words)).withColumn(name, F.concat(word, pairs)).drop("_words")
 
 
-def add_term_counts(documents: DataFrame, stop_words: Sequence[str], text: str = "text") -> DataFrame:
-    """Add ``terms``, the distinct tokens and pairs of a text, and ``counts``, how often each occurs.
+def add_words(documents: DataFrame, stop_words: Sequence[str], text: str = "text") -> DataFrame:
+    """Add ``words``, the tokens of a text in their order. All that is known of its terms follows from them."""
+    return documents.withColumn("words", tokens(F.coalesce(F.col(text), F.lit("")), stop_words))
+
+
+def count_terms(documents: DataFrame) -> DataFrame:
+    """Replace ``words`` by ``terms``, the distinct tokens and pairs, and ``counts``, how often each occurs; in no order.
 
-    Counted inside the row: sorted, equal terms form runs, and a count is the distance between the
-    starts of two runs. Every array read more than once has a projection of its own.
+    The words of a batch of rows are counted together, in columns.
     """
-    grams = add_ngrams(documents, stop_words, text, "_grams")
-    ordered = grams.withColumn("_grams", F.sort_array("_grams"))
-    begins = lambda term, i: F.when((i == 0) | (term != F.get("_grams", i - 1)), i)
-    runs = ordered.withColumn("_begins", F.array_compact(F.transform("_grams", begins)))
-    ends = F.concat(F.slice("_begins", 2, F.greatest(F.size("_begins"), F.lit(1))), F.array(F.size("_grams")))
-    counted = runs.withColumns(
-        {
-            "terms": F.transform("_begins", lambda i: F.get("_grams", i)),
-            "counts": F.when(F.size("_grams") > 0, F.zip_with(ends, "_begins", lambda e, b: e - b)).otherwise(
-                F.array().cast("array<int>")
-            ),
-        }
-    )
-    return counted.drop("_grams", "_begins")
+    kept = documents.drop("words")
+    schema = StructType([*kept.schema, *(StructField(c, ArrayType(t)) for c, t in (("terms", StringType()), ("counts", IntegerType())))])
+    out = to_arrow_schema(schema)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, counts, rows = counted_words(batch.column("words"))
+            ends = pa.array(np.searchsorted(rows, np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, values) for values in (terms, pa.array(counts))]
+            columns = [*(batch.column(c) for c in out.names[:-2]), *lists]
+            yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(columns, out, strict=True)], schema=out)
+
+    return documents.select(*kept.columns, "words").mapInArrow(count, schema)
+
+
+def counted_words(words: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct tokens and pairs of every row, how often each occurs in it, and its row, in order of the rows."""
+    rows = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    found = words.flatten().dictionary_encode()
+    word, many = found.indices.to_numpy().astype(np.int64), len(found.dictionary)
+    if not many:
+        return found.dictionary, np.zeros(0, np.int32), rows
+    per_row = many * (many + 1)
+    if len(words) * per_row >= 1 << 62:
+        # Row, first and second word do not fit one number. Those of a single row always do.
+        middle = len(words) // 2
+        (t1, c1, r1), (t2, c2, r2) = counted_words(words.slice(0, middle)), counted_words(words.slice(middle))
+        return pa.concat_arrays([t1, t2]), np.concatenate([c1, c2]), np.concatenate([r1, r2 + middle])
+    # A word is a pair whose first word is number 0; as first words all others are numbered from 1.
+    near = np.flatnonzero(rows[1:] == rows[:-1])
+    pairs = rows[near] * per_row + (word[near] + 1) * many + word[near + 1]
+    keys, counts = np.unique(np.concatenate([rows * per_row + word, pairs]), return_counts=True)
+    row, pair = np.divmod(keys, per_row)
+    first, last = np.divmod(pair, many)
+    paired = first > 0
+    joined = pc.binary_join_element_wise(*(found.dictionary.take(pa.array(k[paired])) for k in (first - 1, last)), " ")
+    single = found.dictionary.take(pa.array(last[~paired]))
+    place = np.where(paired, np.cumsum(paired) - 1, len(joined) + np.cumsum(~paired) - 1)
+    return pa.concat_arrays([joined, single]).take(pa.array(place)), counts.astype(np.int32), row
+
+
+def add_term_counts(documents: DataFrame, stop_words: Sequence[str], text: str = "text") -> DataFrame:
+    """Add ``terms``, the distinct tokens and pairs of a text, and ``counts``, how often each occurs; in no order."""
+    return count_terms(add_words(documents, stop_words, text))
 
 
 def chunk_words(documents: DataFrame, text: str = "text", size: int = CHUNK_WORDS) -> DataFrame:

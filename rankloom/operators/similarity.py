@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..functions.terms import add_term_counts, default_stop_words
+from ..functions.terms import add_term_counts, add_words, count_terms, default_stop_words
 from ..runtime import attach, is_light, is_small, materialize, spread
+from . import term_columns
 from .ordering import first_rows
 
 # A term is frequent if it takes more than this share of all (document, term) rows. Shares add up to
@@ -22,6 +26,9 @@ FREQUENT_SHARE = 1 / 20_000
 SAMPLED_DOCUMENTS = 1_000
 SAMPLED_FILES = 256
 
+# Rows of rare terms, and bytes of them, that one task gets; below the first number a task is not worth its start.
+TASK_TERMS, TASK_BYTES, FEWEST_TERMS = 2_000_000, 64 << 20, 50_000
+
 # Sums over shuffled rows differ in the last bits from run to run. Equal texts must get equal
 # scores, so similarities are cut to this many digits.
 STABLE_DIGITS = 10
@@ -74,7 +81,7 @@ def term_rows(counted: DataFrame) -> DataFrame:
 
 def term_frequencies(documents: DataFrame, stop_words: Sequence[str]) -> DataFrame:
     """``(jd_id, pos, term, tf)``: how often each token and token pair occurs in each text."""
-    return term_rows(add_term_counts(spread(documents.select("jd_id", "pos", "text"), "pos"), stop_words))
+    return term_rows(add_term_counts(spread(documents.select("jd_id", "pos", "text"), "pos"), stop_words).drop("text"))
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
@@ -86,21 +93,13 @@ def _job_tf() -> Column:
     return F.when(F.col("pos") == JOB_POS, F.col("tf"))
 
 
-def _with_idf(rows: DataFrame, sizes: DataFrame, spread_by: str, small: bool) -> DataFrame:
-    """Turn ``df`` and ``job_tf`` into ``idf`` and ``job_weight``, 0 for terms the job does not have."""
-    sized = attach(rows, sizes, "jd_id", F.col(spread_by), small)
-    idf = smooth_idf(F.col("df"), F.col("n"))
-    return sized.withColumns(
-        {"idf": idf, "job_weight": F.coalesce(sublinear_tf(F.col("job_tf")) * idf, F.lit(0.0))}
-    ).drop("df", "n", "job_tf")
+def _with_terms(documents: DataFrame) -> DataFrame:
+    """Documents with ``terms, counts``, be they stored so or as ``words``."""
+    return count_terms(documents) if "words" in documents.columns else documents
 
 
-def _products(weighted: DataFrame) -> DataFrame:
-    """Per document, its part of the dot product with the job and of its squared norm."""
-    w = sublinear_tf(F.col("tf")) * F.col("idf")
-    return weighted.groupBy("jd_id", "pos").agg(
-        F.sum(w * F.col("job_weight")).alias("dot"), F.sum(w * w).alias("norm2")
-    )
+def _known_terms(documents: DataFrame) -> list[str]:
+    return ["words"] if "words" in documents.columns else ["terms", "counts"]
 
 
 def frequent_terms(counted: DataFrame) -> DataFrame:
@@ -114,8 +113,8 @@ def frequent_terms(counted: DataFrame) -> DataFrame:
     some = counted.where(of_file == 0) if files > SAMPLED_FILES else counted
     every = max(some.count() // SAMPLED_DOCUMENTS, 1)
     # Stored, as finding it reads the terms of all those files.
-    sample = some.where(F.pmod(F.xxhash64("pos"), F.lit(every)) == 0).select("jd_id", "pos", "terms", "counts")
-    sample = materialize(sample, "sampled-documents")
+    sample = some.where(F.pmod(F.xxhash64("pos"), F.lit(every)) == 0)
+    sample = materialize(_with_terms(sample).select("jd_id", "pos", "terms", "counts"), "sampled-documents")
     rows = sample.agg(F.sum(F.size("terms"))).first()[0] or 0
     counts = term_rows(sample).groupBy("jd_id", "term").agg(F.count(F.lit(1)).alias("c"))
     return materialize(counts.where(F.col("c") > max(rows * FREQUENT_SHARE, 1)).select("jd_id", "term"), "frequent-terms")
@@ -125,26 +124,41 @@ def term_products(counted: DataFrame, sizes: DataFrame, frequent: DataFrame, sma
     """A stored table of one row per document: ``(jd_id, pos, dot, norm2)``.
 
     ``norm2`` is the squared length of its weights, ``dot`` the product with the row of the job in ``counted``, 0 where that
-    has none. ``counted`` is a parquet table with ``jd_id, pos, terms, counts``, read several times here; ``sizes`` has the
+    has none. ``counted`` is a parquet table with ``jd_id, pos`` and either ``words`` or ``terms, counts``, read twice here; ``sizes`` has the
     documents per pool, ``frequent`` the few terms to be counted without a shuffle.
 
     A weight needs the number of documents that share the term, and the few terms that most documents share cannot be
     brought together in one task each. So frequent terms are counted first, in every task on its own, and their counts
-    are broadcast; those rows never leave their partition before they have become one row per document. All other rows
-    are shuffled once, and counted where the rows of their term meet: a small share of all, as the term is not frequent.
+    are sent to all tasks; what a document has of those terms is one row of sums. All other terms are shuffled once, as lists,
+    and counted where those of a term meet: a small share of all, as the term is not frequent. A task gets about TASK_TERMS
+    of them or TASK_BYTES, whatever the table, as it holds them in columns (``term_columns``).
     """
-    tf = term_rows(counted)
-    few = F.broadcast(frequent)
-    common = materialize(document_frequencies(tf.join(few, ["jd_id", "term"], "left_semi")), "common-terms")
-    near = tf.join(F.broadcast(common), ["jd_id", "term"])
-    # The term comes first, as sorting looks at the first key first, and one pool may own all rows.
-    together = Window.partitionBy("term", "jd_id")
-    far = tf.join(few, ["jd_id", "term"], "left_anti").withColumns(
-        {"df": F.count(F.lit(1)).over(together), "job_tf": F.max(_job_tf()).over(together)}
+    spark = counted.sparkSession
+    # Fewer than 1/FREQUENT_SHARE rows, so they may pass through the driver.
+    few = frequent.toArrow()
+    listed = term_columns.TermList(few)
+    found = counted.select("jd_id", "pos", *_known_terms(counted)).mapInArrow(
+        term_columns.listed_counts(listed, JOB_POS), "place int, df long, job_tf int, size long"
     )
-    parts = counted.select("jd_id", "pos", F.lit(0.0).alias("dot"), F.lit(0.0).alias("norm2"))
-    for rows in (near, far):
-        parts = parts.unionByName(_products(_with_idf(rows, sizes, "pos", small)))
+    counts = found.groupBy("place").agg(F.sum("df").alias("df"), F.max("job_tf").alias("job_tf"), F.sum("size").alias("size")).toArrow()
+    df, job_tf, rows, size = np.zeros(few.num_rows, np.int64), np.zeros(few.num_rows, np.int32), 0, 0
+    for r in counts.to_pylist():
+        if r["place"] is None:
+            rows, size = r["df"], r["size"]
+        else:
+            df[r["place"]], job_tf[r["place"]] = r["df"], r["job_tf"] or 0
+
+    sized = attach(counted, sizes, "jd_id", F.col("pos"), small, "left").select("jd_id", "pos", "n", *_known_terms(counted))
+    summed = StructType([*(counted.schema[c] for c in ("jd_id", "pos")), *(StructField(c, DoubleType()) for c in ("dot", "norm2"))])
+    lists = {"pos": LongType(), "term": StringType(), "tf": IntegerType(), "dot": DoubleType(), "norm2": DoubleType()}
+    apart = StructType(
+        [StructField("task", IntegerType()), summed["jd_id"], StructField("n", LongType()), *(StructField(c, ArrayType(t)) for c, t in lists.items())]
+    )
+    tasks = max(-(-rows // TASK_TERMS), -(-size // TASK_BYTES))
+    tasks = max(tasks, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // FEWEST_TERMS)), 1)
+    split = sized.mapInArrow(term_columns.listed_sums(listed, df, job_tf, tasks, to_arrow_schema(apart)), apart)
+    met = split.repartitionById(tasks, F.col("task"))
+    parts = met.mapInArrow(term_columns.gathered_sums(JOB_POS, to_arrow_schema(summed)), summed)
     return materialize(
         parts.groupBy("jd_id", "pos").agg(F.sum("dot").alias("dot"), F.sum("norm2").alias("norm2")), "term-products"
     )
@@ -159,13 +173,13 @@ def _cosine() -> Column:
 def cosine_with_job(members: DataFrame, jobs: DataFrame, stop_words: Sequence[str], small: bool) -> DataFrame:
     """TF-IDF cosine of every document with the job of its pool: ``(jd_id, pos, similarity)``.
 
-    ``members`` is a parquet table with ``jd_id, pos, terms, counts``, read several times here;
+    ``members`` is a parquet table with ``jd_id, pos, words``, read several times here;
     ``jobs`` has ``jd_id, text``, one for every pool (:func:`check_pools`), and ``small`` says that they are few.
     The result is a light step over a stored table.
     """
-    columns = ["jd_id", "pos", "terms", "counts"]
-    own = add_term_counts(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
-    own = materialize(own.select(columns), "job-terms")
+    columns = ["jd_id", "pos", "words"]
+    own = add_words(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
+    own = materialize(own.select(columns), "job-words")
     counted = members.select(columns).unionByName(own)
     sums = term_products(counted, corpus_sizes(counted), frequent_terms(members.select(columns)), small)
     norms = sums.where(F.col("pos") == JOB_POS).select("jd_id", F.col("norm2").alias("job_norm2"))
@@ -178,7 +192,7 @@ def collection_norms(members: DataFrame) -> DataFrame:
 
     The dear part of TF-IDF: done once, it serves any number of jobs (:func:`cosine_with_jobs`).
     """
-    counted = members.select(F.when(F.col("pos").isNotNull(), F.lit(0)).alias("jd_id"), "pos", "terms", "counts")
+    counted = members.select(F.when(F.col("pos").isNotNull(), F.lit(0)).alias("jd_id"), "pos", *_known_terms(members))
     sizes = corpus_sizes(counted).withColumn("n", F.col("n") + 1)
     return term_products(counted, sizes, frequent_terms(counted), True).select("pos", "norm2")
 
@@ -191,7 +205,7 @@ def cosine_with_jobs(
     A job's text is part of its corpus, so it adds one to the document frequency of its own terms and leaves all others
     alone. ``norms`` (:func:`collection_norms`) are those without any job; per job they are put right by its terms only,
     ``tf'^2 (idf(df + 1)^2 - idf(df)^2)`` each, and the dot product needs no other terms either. The terms of all jobs are
-    found in the rows of ``members`` (``pos, terms, counts``, a parquet table) by one join, which shuffles nothing while
+    found in the rows of ``members`` (``pos`` and ``words`` or ``terms, counts``, a parquet table) by one join, which shuffles nothing while
     they are light enough to broadcast. A document without any of a job's terms has no row here.
     """
     norms = collection_norms(members) if norms is None else norms
@@ -200,7 +214,7 @@ def cosine_with_jobs(
     light = is_light(asked, ASKED_TERMS)
     n = F.lit(members.count() + 1)
 
-    pairs = members.select("pos", F.explode(F.arrays_zip("terms", "counts")).alias("t"))
+    pairs = _with_terms(members).select("pos", F.explode(F.arrays_zip("terms", "counts")).alias("t"))
     rows = pairs.select("pos", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
     hits = materialize(attach(rows, asked.select("term").distinct(), "term", F.col("pos"), light), "asked-rows")
     # One row per term of a job, at most.
@@ -231,7 +245,7 @@ def tfidf_similarity(candidates: DataFrame, jobs: DataFrame, stop_words: Sequenc
     check_pools(candidates, jobs)
     stop_words = default_stop_words() if stop_words is None else stop_words
     texts = spread(candidates.select("jd_id", F.col("pos").cast("bigint").alias("pos"), "text"), "pos")
-    members = materialize(add_term_counts(texts, stop_words).drop("text"), "term-counts")
+    members = materialize(add_words(texts, stop_words).drop("text"), "words")
     return cosine_with_job(members, jobs, stop_words, is_small(jobs))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import build_features, education_label
-from ..functions.terms import add_term_counts, default_stop_words
+from ..functions.terms import add_words, default_stop_words
 from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary
 from ..operators import scoring
 from ..operators.jobs import parse_job_descriptions
@@ -43,7 +43,7 @@ def score_candidates(candidates: DataFrame, jobs: DataFrame, current_year: int,
     """Candidates ``(jd_id, pos, id, category, text)`` with all scores and their explanation, in no order.
 
     The texts are read once, which is by far the dearest step, in one pass without a shuffle. What
-    was read is stored: features and term counts. Options are those of :func:`score_read`.
+    was read is stored: features and words. Options are those of :func:`score_read`.
     """
     return explained(_scored(candidates, jobs, current_year, **options))
 
@@ -71,7 +71,7 @@ def score_read(
     small = is_small(jobs)
     similar = cosine_with_job(read, jobs, stop_words, small)
     met = semantic_similarity(vectors, job_vectors) if vectors is not None and job_vectors is not None else None
-    return _combined(read.drop("terms", "counts"), jobs, similar, met, vocab, weights, small)
+    return _combined(read.drop("words"), jobs, similar, met, vocab, weights, small)
 
 
 def _combined(
@@ -101,10 +101,10 @@ def explained(scored: DataFrame) -> DataFrame:
 def read_documents(
     candidates: DataFrame, current_year: int, stop_words: Sequence[str], vocab: Vocabulary = DEFAULT_VOCABULARY
 ) -> DataFrame:
-    """Features and term counts of every candidate; the text itself is left behind."""
+    """Features and words of every candidate; the text itself is left behind."""
     category = F.col("category") if "category" in candidates.columns else F.lit("")
     texts = candidates.select("jd_id", F.col("pos").cast("bigint").alias("pos"), "id", category.alias("category"), "text")
-    return add_term_counts(build_features(spread(texts, "pos"), current_year, vocab), stop_words).drop("text")
+    return add_words(build_features(spread(texts, "pos"), current_year, vocab), stop_words).drop("text")
 
 
 def _scaled(similarity: DataFrame, name: str, small: bool) -> DataFrame:
@@ -156,10 +156,10 @@ def score_for_jobs(
     def for_every_job(df: DataFrame) -> DataFrame:
         return df.select(every_job, *(c for c in df.columns if c != "jd_id"))
 
-    cosines = cosine_with_jobs(read.select("pos", "terms", "counts"), jobs, stop_words)
+    cosines = cosine_with_jobs(read.select("pos", "words"), jobs, stop_words)
     similar = for_every_job(read.select("pos")).join(cosines, ["jd_id", "pos"], "left").fillna(0.0, ["similarity"])
     met = semantic_for_jobs(vectors, job_vectors) if vectors is not None and job_vectors is not None else None
-    rows = for_every_job(read.drop("terms", "counts"))
+    rows = for_every_job(read.drop("words"))
     return _combined(rows, jobs, materialize(similar, "similar"), met, vocab, weights, True)
 
 

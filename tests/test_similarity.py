@@ -173,3 +173,32 @@ def test_terms_of_a_text_are_counted_once(spark):
     got = {(r.pos, r.term): r.tf for r in tf.where("jd_id = 1").collect()}
     assert got[11, "coffee"] == 2 and got[11, "coffee black"] == 1 and got[13, "and"] == 1
     assert not [key for key in got if key[0] == 12]
+
+
+def test_rare_terms_are_dealt_over_tasks_by_their_number(spark, monkeypatch):
+    """Every task gets few terms, each of them whole, whether documents are stored as words or as counted terms."""
+    jobs, candidates = skewed_corpus()
+    want = brute_force(jobs, candidates)
+    monkeypatch.setattr(S, "FREQUENT_SHARE", 1 / 50)
+    monkeypatch.setattr(S, "TASK_TERMS", 100)
+    assert_close(similarities(spark, jobs, candidates, ()), want)
+    people, _ = frames(spark, jobs, candidates)
+    words = runtime.materialize(S.add_words(people, ()).drop("text"), "words")
+    terms = runtime.materialize(S.count_terms(words), "terms")
+    sizes = S.corpus_sizes(words)
+    as_words, as_terms = (
+        {(r.jd_id, r.pos): r.norm2 for r in S.term_products(d, sizes, S.frequent_terms(d), True).collect()} for d in (words, terms)
+    )
+    assert len(as_words) == len(candidates)
+    assert_close(as_words, as_terms)
+
+
+def test_terms_without_position_or_pool(spark):
+    """A row without position counts for the terms it has and has no sum; one without pool counts for nothing."""
+    rows = [("x", 1, ["tea", "cup"]), ("x", None, ["tea"]), ("x", 2, []), (None, 3, ["tea", "pot"])]
+    words = runtime.materialize(spark.createDataFrame(rows, "jd_id string, pos long, words array<string>"), "words")
+    sizes = spark.createDataFrame([("x", 3)], "jd_id string, n long")
+    got = {(r.jd_id, r.pos): r.norm2 for r in S.term_products(words, sizes, S.frequent_terms(words), True).collect()}
+    rare, tea = math.log(4 / 2) + 1, math.log(4 / 3) + 1
+    assert got["x", 1] == pytest.approx(tea**2 + 2 * rare**2) and got["x", 2] == 0.0
+    assert set(got) == {("x", 1), ("x", 2), (None, 3)} and got[None, 3] == 0.0

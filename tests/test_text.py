@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as X
-from rankloom.functions.terms import add_ngrams, add_term_counts, chunk_words
+from rankloom.functions.terms import add_ngrams, add_term_counts, add_words, chunk_words
 
 
 def redacted(spark, texts):
@@ -148,3 +148,8 @@ def test_stop_words_from_a_file_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(terms, "MOST_STOP_WORDS", 2)
     with pytest.raises(ValueError, match="more than 2"):
         terms.read_stop_words(spark, str(tmp_path / "words.txt"))
+
+
+def test_stored_words_are_the_tokens_in_order(spark):
+    df = spark.createDataFrame([(1, "The Cat, the x hat_1 déjà!"), (2, None)], "pos long, text string")
+    assert {r.pos: r.words for r in add_words(df, ["the"]).collect()} == {1: ["cat", "hat_1", "déjà"], 2: []}
