@@ -60,8 +60,13 @@ def add_words(documents: DataFrame, stop_words: Sequence[str], text: str = "text
     return documents.withColumn("words", tokens(F.coalesce(F.col(text), F.lit("")), stop_words))
 
 
+def add_joined_words(documents: DataFrame, stop_words: Sequence[str], text: str = "text") -> DataFrame:
+    """:func:`add_words` with all words of a text in one, blanks between them: stored and moved in one piece."""
+    return add_words(documents, stop_words, text).withColumn("words", F.array_join("words", " "))
+
+
 def count_terms(documents: DataFrame) -> DataFrame:
-    """Replace ``words`` by ``terms``, the distinct tokens and pairs, and ``counts``, how often each occurs; in no order.
+    """Replace ``words``, joined or not, by ``terms``, the distinct tokens and pairs, and ``counts``, how often each occurs; in no order.
 
     The words of a batch of rows are counted together, in columns.
     """
@@ -80,30 +85,57 @@ def count_terms(documents: DataFrame) -> DataFrame:
     return documents.select(*kept.columns, "words").mapInArrow(count, schema)
 
 
-def counted_words(words: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def listed_words(words: pa.Array) -> pa.ListArray:
+    """Words as lists, be they joined or not."""
+    if pa.types.is_list(words.type):
+        return words
+    # An empty text has no words, not an empty one.
+    cut = pc.split_pattern(words, " ").flatten()
+    cut = cut.filter(pc.not_equal(cut, ""))
+    blanks = pc.count_substring(words, " ").fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = np.where(pc.binary_length(words).fill_null(0).to_numpy(zero_copy_only=False) > 0, blanks + 1, 0)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), cut)
+
+
+def counted_words(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct tokens and pairs of every row, how often each occurs in it, and its row, in order of the rows."""
-    rows = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    known, first, last, counts, row = counted_pairs(words)
+    paired = first >= 0
+    joined = pc.binary_join_element_wise(*(known.take(pa.array(k[paired])) for k in (first, last)), " ")
+    single = known.take(pa.array(last[~paired]))
+    place = np.where(paired, np.cumsum(paired) - 1, len(joined) + np.cumsum(~paired) - 1)
+    return pa.concat_arrays([joined, single]).take(pa.array(place)), counts, row
+
+
+def counted_pairs(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words, and of the tokens and pairs of every row the places of their first and last word among these, how
+    often each occurs in the row, and the row, in order of the rows. A token has no first word: -1."""
+    words = listed_words(words)
+    rows = np.repeat(np.arange(len(words)), pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False))
     found = words.flatten().dictionary_encode()
     word, many = found.indices.to_numpy().astype(np.int64), len(found.dictionary)
-    if not many:
-        return found.dictionary, np.zeros(0, np.int32), rows
+    return (found.dictionary, *_counted(rows, word, many, len(words)))
+
+
+def _counted(rows: np.ndarray, word: np.ndarray, many: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     per_row = many * (many + 1)
-    if len(words) * per_row >= 1 << 62:
+    if size * per_row >= 1 << 62:
         # Row, first and second word do not fit one number. Those of a single row always do.
-        middle = len(words) // 2
-        (t1, c1, r1), (t2, c2, r2) = counted_words(words.slice(0, middle)), counted_words(words.slice(middle))
-        return pa.concat_arrays([t1, t2]), np.concatenate([c1, c2]), np.concatenate([r1, r2 + middle])
+        middle = size // 2
+        cut = np.searchsorted(rows, middle)
+        halves = _counted(rows[:cut], word[:cut], many, middle), _counted(rows[cut:] - middle, word[cut:], many, size - middle)
+        first, last, counts, row = (np.concatenate(x) for x in zip(*halves))
+        row[len(halves[0][3]) :] += middle
+        return first, last, counts, row
     # A word is a pair whose first word is number 0; as first words all others are numbered from 1.
     near = np.flatnonzero(rows[1:] == rows[:-1])
-    pairs = rows[near] * per_row + (word[near] + 1) * many + word[near + 1]
-    keys, counts = np.unique(np.concatenate([rows * per_row + word, pairs]), return_counts=True)
-    row, pair = np.divmod(keys, per_row)
-    first, last = np.divmod(pair, many)
-    paired = first > 0
-    joined = pc.binary_join_element_wise(*(found.dictionary.take(pa.array(k[paired])) for k in (first - 1, last)), " ")
-    single = found.dictionary.take(pa.array(last[~paired]))
-    place = np.where(paired, np.cumsum(paired) - 1, len(joined) + np.cumsum(~paired) - 1)
-    return pa.concat_arrays([joined, single]).take(pa.array(place)), counts.astype(np.int32), row
+    keys = np.concatenate([rows * per_row + word, rows[near] * per_row + (word[near] + 1) * many + word[near + 1]])
+    keys.sort()
+    begins = np.flatnonzero(np.diff(keys, prepend=-1))
+    counts = np.diff(begins, append=len(keys)).astype(np.int32)
+    row, pair = np.divmod(keys[begins], max(per_row, 1))
+    first, last = np.divmod(pair, max(many, 1))
+    return first - 1, last, counts, row
 
 
 def add_term_counts(documents: DataFrame, stop_words: Sequence[str], text: str = "text") -> DataFrame:

@@ -7,14 +7,16 @@ position. Ranking a whole table against one job is the case of a single pool.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from ..functions.terms import add_term_counts, add_words, count_terms, default_stop_words
+from ..functions.terms import add_joined_words, add_term_counts, add_words, count_terms, default_stop_words
 from ..runtime import attach, is_light, is_small, materialize, spread
 from . import term_columns
 from .ordering import first_rows
@@ -26,8 +28,8 @@ FREQUENT_SHARE = 1 / 20_000
 SAMPLED_DOCUMENTS = 1_000
 SAMPLED_FILES = 256
 
-# Rows of rare terms, and bytes of them, that one task gets; below the first number a task is not worth its start.
-TASK_TERMS, TASK_BYTES, FEWEST_TERMS = 2_000_000, 64 << 20, 50_000
+# Rows of rare terms that one task gets, some 28 bytes each; below the second number a task is not worth its start.
+TASK_TERMS, FEWEST_TERMS = 2_000_000, 50_000
 
 # Sums over shuffled rows differ in the last bits from run to run. Equal texts must get equal
 # scores, so similarities are cut to this many digits.
@@ -129,39 +131,54 @@ def term_products(counted: DataFrame, sizes: DataFrame, frequent: DataFrame, sma
 
     A weight needs the number of documents that share the term, and the few terms that most documents share cannot be
     brought together in one task each. So frequent terms are counted first, in every task on its own, and their counts
-    are sent to all tasks; what a document has of those terms is one row of sums. All other terms are shuffled once, as lists,
-    and counted where those of a term meet: a small share of all, as the term is not frequent. A task gets about TASK_TERMS
-    of them or TASK_BYTES, whatever the table, as it holds them in columns (``term_columns``).
+    are sent to all tasks; what a document has of those terms is one row of sums. All other terms are shuffled once, as
+    packed numbers, and counted where those of a term meet: a small share of all, as the term is not frequent. A task gets about
+    TASK_TERMS of them, whatever the table, as it holds them in columns (``term_columns``). The sums that it has for each
+    document are shuffled like that too, and added where those of a document meet.
     """
     spark = counted.sparkSession
     # Fewer than 1/FREQUENT_SHARE rows, so they may pass through the driver.
     few = frequent.toArrow()
-    listed = term_columns.TermList(few)
-    found = counted.select("jd_id", "pos", *_known_terms(counted)).mapInArrow(
-        term_columns.listed_counts(listed, JOB_POS), "place int, df long, job_tf int, size long"
+    paired = "words" in counted.columns
+    listed, found, key = _numbered_terms(counted, few, paired)
+    counts = found.where(F.col("place").isNotNull() | F.col("rows").isNotNull()).groupBy("place").agg(
+        F.sum("df").alias("df"), F.max("job_tf").alias("job_tf"), F.sum("rows").alias("rows")
     )
-    counts = found.groupBy("place").agg(F.sum("df").alias("df"), F.max("job_tf").alias("job_tf"), F.sum("size").alias("size")).toArrow()
-    df, job_tf, rows, size = np.zeros(few.num_rows, np.int64), np.zeros(few.num_rows, np.int32), 0, 0
-    for r in counts.to_pylist():
+    df, job_tf, rows = np.zeros(few.num_rows, np.int64), np.zeros(few.num_rows, np.int32), 0
+    for r in counts.toArrow().to_pylist():
         if r["place"] is None:
-            rows, size = r["df"], r["size"]
+            rows = r["rows"]
         else:
             df[r["place"]], job_tf[r["place"]] = r["df"], r["job_tf"] or 0
 
     sized = attach(counted, sizes, "jd_id", F.col("pos"), small, "left").select("jd_id", "pos", "n", *_known_terms(counted))
     summed = StructType([*(counted.schema[c] for c in ("jd_id", "pos")), *(StructField(c, DoubleType()) for c in ("dot", "norm2"))])
-    lists = {"pos": LongType(), "term": StringType(), "tf": IntegerType(), "dot": DoubleType(), "norm2": DoubleType()}
-    apart = StructType(
-        [StructField("task", IntegerType()), summed["jd_id"], StructField("n", LongType()), *(StructField(c, ArrayType(t)) for c, t in lists.items())]
-    )
-    tasks = max(-(-rows // TASK_TERMS), -(-size // TASK_BYTES))
-    tasks = max(tasks, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // FEWEST_TERMS)), 1)
-    split = sized.mapInArrow(term_columns.listed_sums(listed, df, job_tf, tasks, to_arrow_schema(apart)), apart)
+    fields = {"task": StructField("task", IntegerType()), "jd_id": summed["jd_id"], "n": StructField("n", LongType()), "known": StructField("known", BooleanType())}
+    fields |= {c: StructField(c, BinaryType()) for c in ("pos", "first", "last", "tf", "dot", "norm2")}
+    apart, parts = StructType(list(fields.values())), StructType([fields[c] for c in ("task", "jd_id", "pos", "dot", "norm2")])
+    tasks = max(-(-rows // TASK_TERMS), min(spark.sparkContext.defaultParallelism, -(-rows // FEWEST_TERMS)), 1)
+    # No task hands on more sums than it has terms, and most hand on fewer.
+    adding = max(tasks // 2, min(spark.sparkContext.defaultParallelism, tasks))
+    split = sized.mapInArrow(term_columns.listed_sums(listed, df, job_tf, tasks, key, to_arrow_schema(apart)), apart)
     met = split.repartitionById(tasks, F.col("task"))
-    parts = met.mapInArrow(term_columns.gathered_sums(JOB_POS, to_arrow_schema(summed)), summed)
-    return materialize(
-        parts.groupBy("jd_id", "pos").agg(F.sum("dot").alias("dot"), F.sum("norm2").alias("norm2")), "term-products"
-    )
+    partial = met.mapInArrow(term_columns.gathered_sums(JOB_POS, adding, to_arrow_schema(parts)), parts)
+    added = partial.repartitionById(adding, F.col("task")).mapInArrow(term_columns.document_sums(to_arrow_schema(summed)), summed)
+    return materialize(added, "term-products")
+
+
+def _numbered_terms(counted: DataFrame, few: pa.Table, paired: bool) -> tuple[term_columns.TermList, DataFrame, int]:
+    """The frequent terms, what every task counted of them, and the key under which no two words of the table have one number.
+
+    The words and their numbers are compared wherever they stand in the table, once per task and word.
+    """
+    kinds = "place int, df long, job_tf int, rows long, number long, word string"
+    for key in count():
+        listed = term_columns.TermList(few, paired, key)
+        body = term_columns.listed_counts(listed, JOB_POS, key)
+        found = materialize(counted.select("jd_id", "pos", *_known_terms(counted)).mapInArrow(body, kinds), "listed-counts")
+        words = found.where(F.col("word").isNotNull()).select("number", "word").distinct()
+        if words.groupBy("number").count().where("count > 1").isEmpty():
+            return listed, found, key
 
 
 def _cosine() -> Column:
@@ -178,7 +195,7 @@ def cosine_with_job(members: DataFrame, jobs: DataFrame, stop_words: Sequence[st
     The result is a light step over a stored table.
     """
     columns = ["jd_id", "pos", "words"]
-    own = add_words(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
+    own = add_joined_words(jobs.select("jd_id", F.lit(JOB_POS).cast("bigint").alias("pos"), "text"), stop_words)
     own = materialize(own.select(columns), "job-words")
     counted = members.select(columns).unionByName(own)
     sums = term_products(counted, corpus_sizes(counted), frequent_terms(members.select(columns)), small)
@@ -245,7 +262,7 @@ def tfidf_similarity(candidates: DataFrame, jobs: DataFrame, stop_words: Sequenc
     check_pools(candidates, jobs)
     stop_words = default_stop_words() if stop_words is None else stop_words
     texts = spread(candidates.select("jd_id", F.col("pos").cast("bigint").alias("pos"), "text"), "pos")
-    members = materialize(add_words(texts, stop_words).drop("text"), "words")
+    members = materialize(add_joined_words(texts, stop_words).drop("text"), "words")
     return cosine_with_job(members, jobs, stop_words, is_small(jobs))
 
 

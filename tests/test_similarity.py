@@ -1,12 +1,16 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from rankloom import runtime
 from rankloom.operators import similarity as S
+from rankloom.operators import term_columns
 
 
 def brute_force(jobs, candidates, stop=()):
@@ -202,3 +206,59 @@ def test_terms_without_position_or_pool(spark):
     rare, tea = math.log(4 / 2) + 1, math.log(4 / 3) + 1
     assert got["x", 1] == pytest.approx(tea**2 + 2 * rare**2) and got["x", 2] == 0.0
     assert set(got) == {("x", 1), ("x", 2), (None, 3)} and got[None, 3] == 0.0
+
+
+def test_words_that_share_a_number_get_others(spark, monkeypatch):
+    """Terms are compared by numbers of their words, so a key under which two words have one number is not used."""
+    jobs, candidates = skewed_corpus()
+    real, keys = term_columns.listed_counts, []
+
+    def all_alike_at_first(listed, job_pos, key):
+        body, colliding = real(listed, job_pos, key), key < 2
+        keys.append(key)
+
+        def count(batches):
+            for b in body(batches):
+                same = [None if w is None else 7 for w in b.column("word").to_pylist()]
+                yield b.set_column(b.schema.get_field_index("number"), "number", pa.array(same, pa.int64())) if colliding else b
+
+        return count
+
+    monkeypatch.setattr(term_columns, "listed_counts", all_alike_at_first)
+    assert_close(similarities(spark, jobs, candidates, ()), brute_force(jobs, candidates))
+    assert keys == [0, 1, 2]
+
+
+def test_terms_are_told_apart_where_mixed_numbers_meet(monkeypatch):
+    rng = np.random.default_rng(3)
+    pool, first, last = (rng.integers(0, 4, 500) for _ in range(3))
+    want = len({*zip(pool, first, last)})
+    for mixed in (term_columns._mixed, lambda a, b: np.zeros(len(a), np.uint64)):
+        monkeypatch.setattr(term_columns, "_mixed", mixed)
+        group = term_columns._groups(pool, first, last)
+        assert len({*zip(pool, first, last, group)}) == len({*group}) == group.max() + 1 == want
+
+
+def test_sums_of_documents_move_together():
+    """A task hands on one row per pool and next task, not one per document, and sums come out as they are defined."""
+    texts = {i: f"always many{i % 3} only{i} rare{i // 2}" for i in range(60)}
+    batch = pa.RecordBatch.from_pydict(
+        {"jd_id": pa.array(["x"] * 60), "pos": pa.array(list(texts)), "n": pa.array([60] * 60), "words": pa.array(list(texts.values()))}
+    )
+    few = term_columns.TermList(pa.table({"jd_id": ["x"], "term": ["always"]}), True, 0)
+    packed = {c: pa.binary() for c in ("pos", "first", "last", "tf", "dot", "norm2")}
+    apart = pa.schema({"task": pa.int32(), "jd_id": pa.string(), "n": pa.int64(), "known": pa.bool_(), **packed})
+    parts = pa.schema([apart.field(c) for c in ("task", "jd_id", "pos", "dot", "norm2")])
+    summed = pa.schema({"jd_id": pa.string(), "pos": pa.int64(), "dot": pa.float64(), "norm2": pa.float64()})
+
+    def dealt(rows, tasks):
+        return [[b.filter(pc.equal(b.column("task"), t)) for b in rows] for t in range(tasks)]
+
+    split = list(term_columns.listed_sums(few, np.array([60]), np.array([0]), 3, 0, apart)([batch]))
+    gathered = [list(term_columns.gathered_sums(-1, 2, parts)(bs)) for bs in dealt(split, 3)]
+    assert all(sum(b.num_rows for b in bs) <= 2 for bs in gathered)
+    found = [b for bs in dealt([b for bs in gathered for b in bs], 2) for b in term_columns.document_sums(summed)(bs)]
+    got = {r["pos"]: r["norm2"] for b in found for r in b.to_pylist()}
+    terms = {i: words + [f"{a} {b}" for a, b in zip(words, words[1:])] for i, words in ((i, t.split()) for i, t in texts.items())}
+    df = Counter(t for ts in terms.values() for t in ts)
+    assert_close(got, {i: sum((math.log(61 / (1 + df[t])) + 1) ** 2 for t in ts) for i, ts in terms.items()})

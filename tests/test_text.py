@@ -1,10 +1,11 @@
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as X
-from rankloom.functions.terms import add_ngrams, add_term_counts, add_words, chunk_words
+from rankloom.functions.terms import add_joined_words, add_ngrams, add_term_counts, add_words, chunk_words, count_terms, listed_words
 
 
 def redacted(spark, texts):
@@ -153,3 +154,19 @@ def test_stop_words_from_a_file_are_bounded(spark, tmp_path, monkeypatch):
 def test_stored_words_are_the_tokens_in_order(spark):
     df = spark.createDataFrame([(1, "The Cat, the x hat_1 déjà!"), (2, None)], "pos long, text string")
     assert {r.pos: r.words for r in add_words(df, ["the"]).collect()} == {1: ["cat", "hat_1", "déjà"], 2: []}
+
+
+def test_joined_words_are_listed_again():
+    """Also from the middle of a batch; an empty text has no words."""
+    texts = ["déjà vu", "", None, "cat", "hat_1 cat hat"] * 40
+    joined = pa.array(texts)
+    for some, of in ((joined, texts), (joined.slice(3, 150), texts[3:153]), (joined.slice(1, 2), texts[1:3])):
+        assert listed_words(some).to_pylist() == [(t or "").split() for t in of]
+    lists = pa.array([["a b"], []])
+    assert listed_words(lists) is lists
+
+
+def test_joined_words_are_counted_like_lists(spark):
+    df = spark.createDataFrame([(1, "The cat. The cat sat"), (2, None), (3, "")], "pos long, text string")
+    as_text, as_list = ({r.pos: dict(zip(r.terms, r.counts)) for r in count_terms(add(df, ["the"]).drop("text")).collect()} for add in (add_joined_words, add_words))
+    assert as_text == as_list == {1: {"cat": 2, "sat": 1, "cat cat": 1, "cat sat": 1}, 2: {}, 3: {}}
