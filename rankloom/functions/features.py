@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
 from .text import norm_quotes
-from .vocabulary import DEFAULT_VOCABULARY, Vocabulary, lookup_table
+from .text_columns import near_terms
+from .vocabulary import DEFAULT_VOCABULARY, MARKS_BEFORE, Vocabulary, lookup_table
 
 
 def extract_skills(text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:
     """Sorted canonical skills that occur as whole terms, in one pass over the text."""
-    if any("'" in term for term in vocab.skill_of):
-        text = norm_quotes(text)
-    hits = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(vocab.pattern), 1))
+    return _skills_in(_lowered(text, vocab), vocab)
+
+
+def extract_skills_nearby(text: Column, vocab: Vocabulary = DEFAULT_VOCABULARY) -> Column:
+    """:func:`extract_skills`, its pattern tried only around the places where a term may begin. Executors find these in columns of texts."""
+    return _skills_in(near_terms(list(vocab.skill_of), "_" + MARKS_BEFORE)(_lowered(text, vocab)), vocab)
+
+
+def _lowered(text: Column, vocab: Vocabulary) -> Column:
+    return F.lower(norm_quotes(text) if any("'" in term for term in vocab.skill_of) else text)
+
+
+def _skills_in(lowered: Column, vocab: Vocabulary) -> Column:
+    hits = F.array_distinct(F.regexp_extract_all(lowered, F.lit(vocab.pattern), 1))
     skills_of = lookup_table({term: "|".join(skills) for term, skills in vocab.skills_by_hit.items()})
     found = F.flatten(F.transform(hits, lambda hit: F.split(F.element_at(skills_of, hit), r"\|")))
     return F.array_sort(F.array_distinct(found))
@@ -105,13 +119,14 @@ def education_label(level: Column) -> Column:
 
 
 def build_features(
-    documents: DataFrame, current_year: int, vocab: Vocabulary = DEFAULT_VOCABULARY, text: str = "text"
+    documents: DataFrame, current_year: int, vocab: Vocabulary = DEFAULT_VOCABULARY, text: str = "text",
+    skills_of: Callable[[Column, Vocabulary], Column] = extract_skills,
 ) -> DataFrame:
     """Add ``skills``, ``experience_years`` and ``education_level``. Narrow: no shuffle."""
     body = F.coalesce(F.col(text), F.lit(""))
     return documents.withColumns(
         {
-            "skills": extract_skills(body, vocab),
+            "skills": skills_of(body, vocab),
             "experience_years": experience_years(body, current_year),
             "education_level": education_level(body),
         }

@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from . import patterns as P
 from .stop_words import ENGLISH
 from .text import strip
+from .text_columns import joined_words
 
 CHUNK_WORDS = 200
 MOST_STOP_WORDS = 10_000
@@ -61,8 +62,12 @@ def add_words(documents: DataFrame, stop_words: Sequence[str], text: str = "text
 
 
 def add_joined_words(documents: DataFrame, stop_words: Sequence[str], text: str = "text") -> DataFrame:
-    """:func:`add_words` with all words of a text in one, blanks between them: stored and moved in one piece."""
-    return add_words(documents, stop_words, text).withColumn("words", F.array_join("words", " "))
+    """:func:`add_words` with all words of a text in one, blanks between them: stored and moved in one piece.
+
+    Executors cut the words in columns of texts; the pattern reads only texts that are not sure to be cut alike there.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    return documents.withColumn("words", F.coalesce(joined_words(stop_words)(F.lower(body)), F.array_join(tokens(body, stop_words), " ")))
 
 
 def count_terms(documents: DataFrame) -> DataFrame:
@@ -114,16 +119,17 @@ def counted_pairs(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np
     rows = np.repeat(np.arange(len(words)), pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False))
     found = words.flatten().dictionary_encode()
     word, many = found.indices.to_numpy().astype(np.int64), len(found.dictionary)
-    return (found.dictionary, *_counted(rows, word, many, len(words)))
+    return (found.dictionary, *counted_numbers(rows, word, many, len(words)))
 
 
-def _counted(rows: np.ndarray, word: np.ndarray, many: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def counted_numbers(rows: np.ndarray, word: np.ndarray, many: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`counted_pairs` of words given by their rows, in order, and their places among ``many`` words; ``size`` rows in all."""
     per_row = many * (many + 1)
     if size * per_row >= 1 << 62:
         # Row, first and second word do not fit one number. Those of a single row always do.
         middle = size // 2
         cut = np.searchsorted(rows, middle)
-        halves = _counted(rows[:cut], word[:cut], many, middle), _counted(rows[cut:] - middle, word[cut:], many, size - middle)
+        halves = counted_numbers(rows[:cut], word[:cut], many, middle), counted_numbers(rows[cut:] - middle, word[cut:], many, size - middle)
         first, last, counts, row = (np.concatenate(x) for x in zip(*halves))
         row[len(halves[0][3]) :] += middle
         return first, last, counts, row

@@ -96,7 +96,8 @@ DEFAULT_ALIASES = {
 }
 
 # Characters that must not touch a term: a full stop may follow it but not precede it.
-_BEFORE = rf"(?<![{WORD}+#.])"
+MARKS_BEFORE = "+#."
+_BEFORE = rf"(?<![{WORD}{MARKS_BEFORE}])"
 _AFTER = rf"(?![{WORD}+#])"
 
 

@@ -176,7 +176,8 @@ def _numbered_terms(counted: DataFrame, few: pa.Table, paired: bool) -> tuple[te
         listed = term_columns.TermList(few, paired, key)
         body = term_columns.listed_counts(listed, JOB_POS, key)
         found = materialize(counted.select("jd_id", "pos", *_known_terms(counted)).mapInArrow(body, kinds), "listed-counts")
-        words = found.where(F.col("word").isNotNull()).select("number", "word").distinct()
+        # Dealt by number once, for both steps.
+        words = found.where(F.col("word").isNotNull()).select("number", "word").repartition("number").distinct()
         if words.groupBy("number").count().where("count > 1").isEmpty():
             return listed, found, key
 

@@ -17,7 +17,8 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ..functions.terms import counted_pairs
+from ..functions.terms import counted_numbers, counted_pairs
+from ..functions.text_columns import Texts, codes, strings_at
 
 # Documents that a task works on at once, rows that it hands on at once.
 DOCUMENTS_AT_ONCE, ROWS_AT_ONCE = 2_000, 200_000
@@ -50,9 +51,32 @@ def _is(values: pa.Array, number: int) -> np.ndarray:
     return pc.fill_null(pc.equal(values, number), False).to_numpy(zero_copy_only=False)
 
 
+def _numbered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, key: int) -> np.ndarray:
+    """A number other than 0 for every piece, mixed from its bytes, eight at a time, and its size."""
+    found = np.full(len(starts), key, np.uint64) * _FACTORS[3] + sizes.astype(np.uint64) * _FACTORS[0]
+    rest = np.arange(len(starts))
+    for done in range(0, int(sizes.max(initial=0)), 8):
+        rest = rest[sizes[rest] > done] if done else rest
+        mixed = (found[rest] ^ codes(data, starts[rest] + done, sizes[rest] - done).view(np.uint64)) * _FACTORS[1]
+        found[rest] = (mixed ^ (mixed >> np.uint64(32))) * _FACTORS[2]
+    return (found ^ (found >> np.uint64(29)) | np.uint64(1)).view(np.int64)
+
+
 def word_numbers(words: pa.Array, key: int) -> np.ndarray:
     """A number other than 0 for every word."""
-    return (pd.util.hash_array(words.to_numpy(zero_copy_only=False).astype(object), hash_key=f"{key:016d}", categorize=False) | np.uint64(1)).view(np.int64)
+    texts = Texts(words)
+    return _numbered(texts.data, texts.begins, texts.ends - texts.begins, key)
+
+
+def _other_words(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The places of words that are not the same as the word at the place ``first`` of each."""
+    differ = sizes != sizes[first]
+    rest = np.flatnonzero(~differ)
+    for done in range(0, int(sizes.max(initial=0)), 8):
+        rest = rest[sizes[rest] > done] if done else rest
+        here, there = (codes(data, starts[x] + done, sizes[rest] - done) for x in (rest, first[rest]))
+        differ[rest[here != there]] = True
+    return np.flatnonzero(differ)
 
 
 def _mixed(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -111,10 +135,14 @@ def _pieces(batches: Batches) -> Iterator[pa.RecordBatch]:
 
 
 class _Terms:
-    """All terms of all rows: their first and last words as places among ``words``, whose numbers have a 0 before them,
-    how often each occurs, and the row of each, in order of the rows."""
+    """All terms of all rows: their first and last words as places in ``numbers``, those of the words with a 0 before them,
+    how often each occurs, and the row of each, in order of the rows. Where ``named``, also the ``words`` of these numbers; words
+    that have the number of another one follow at the end, with that number once more."""
 
-    def __init__(self, batch: pa.RecordBatch, key: int):
+    def __init__(self, batch: pa.RecordBatch, key: int, named: bool = False):
+        if "words" in batch.schema.names and not pa.types.is_list(batch.column("words").type):
+            self._of_joined(batch.column("words"), key, named)
+            return
         if "words" in batch.schema.names:
             self.words, first, last, self.tf, self.row_of = counted_pairs(batch.column("words"))
             self.first, self.last = first + 1, last + 1
@@ -126,6 +154,22 @@ class _Terms:
             self.first, self.tf = np.zeros_like(self.last), counts.flatten().to_numpy()
         self.numbers = np.append([0], word_numbers(self.words, key))
 
+    def _of_joined(self, words: pa.Array, key: int, named: bool) -> None:
+        texts = Texts(words)
+        blanks = np.flatnonzero(texts.data[: texts.ends[-1] + 1 if len(words) else 1] == 32)
+        sizes = np.diff(blanks) - 1
+        starts, sizes = blanks[:-1][sizes > 0] + 1, sizes[sizes > 0]
+        row_of = np.repeat(np.arange(len(words)), np.diff(np.searchsorted(starts, np.append(texts.begins, len(texts.data)))))
+        word, numbers = pd.factorize(_numbered(texts.data, starts, sizes, key))
+        first, last, self.tf, self.row_of = counted_numbers(row_of, word, len(numbers), len(words))
+        self.first, self.last = first + 1, last + 1
+        if named:
+            at = np.empty(len(numbers), np.int64)
+            at[word[::-1]] = np.arange(len(word))[::-1]
+            at = np.append(at, _other_words(texts.data, starts, sizes, at[word]))
+            numbers, self.words = numbers[word[at]], strings_at(texts.data, starts[at], sizes[at])
+        self.numbers = np.append([0], numbers)
+
 
 def listed_counts(frequent: TermList, job_pos: int, key: int) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
     """Per task ``(place, df, job_tf)`` of the listed terms it has, ``(number, word)`` of its words, and one row with its other terms as ``rows``."""
@@ -138,7 +182,7 @@ def listed_counts(frequent: TermList, job_pos: int, key: int) -> Callable[[Batch
         df, job_tf = np.zeros(frequent.size, np.int64), np.zeros(frequent.size, np.int32)
         rows, seen = 0, set()
         for batch in _pieces(batches):
-            found = _Terms(batch, key)
+            found = _Terms(batch, key, named=True)
             known = frequent.known(found.numbers)
             place = frequent.find(frequent.pool_of(batch.column("jd_id"))[found.row_of], known[found.first], known[found.last])
             rows += int((place < 0).sum())

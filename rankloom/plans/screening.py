@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import build_features, education_label
+from ..functions.features import build_features, education_label, extract_skills_nearby
 from ..functions.terms import add_joined_words, default_stop_words
 from ..functions.vocabulary import DEFAULT_VOCABULARY, Vocabulary
 from ..operators import scoring
@@ -104,7 +104,8 @@ def read_documents(
     """Features and words of every candidate; the text itself is left behind."""
     category = F.col("category") if "category" in candidates.columns else F.lit("")
     texts = candidates.select("jd_id", F.col("pos").cast("bigint").alias("pos"), "id", category.alias("category"), "text")
-    return add_joined_words(build_features(spread(texts, "pos"), current_year, vocab), stop_words).drop("text")
+    featured = build_features(spread(texts, "pos"), current_year, vocab, skills_of=extract_skills_nearby)
+    return add_joined_words(featured, stop_words).drop("text")
 
 
 def _scaled(similarity: DataFrame, name: str, small: bool) -> DataFrame:
