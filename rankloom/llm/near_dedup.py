@@ -13,11 +13,16 @@ How many links a group has grows with its square, so they are never listed:
 2. Of every entry the smallest node is taken (a combinable minimum); each node is compared with the smallest of those.
    Confirmed links join nodes into components. A group of near copies comes together here, in stars.
    Pairs that meet in entries of their own are first compared by four bits of each value.
-3. Entries that still hold several components are the open cases. Components that share an open entry form a cluster;
-   in a cluster all pairs of nodes of different components within the distance are compared, in blocks of bounded size.
-   Nodes of one component are not compared again, so a large group costs one pass for each block of open nodes.
+3. Entries that still hold several components are the open cases. Components with nodes in one open entry whose sketches
+   are within the distance form a cluster, and no others: that an entry is shared by chance joins none. In a cluster all
+   pairs of nodes of different components within the distance are compared, in blocks of bounded size. Nodes of one
+   component are not compared again, so a large group costs one pass for each block of open nodes.
 4. Components are taken again over the links of both steps.
 
+Entries are made from the signatures where they are needed, and most are nobody else's. So tasks first exchange 32 bits of
+each, packed, and get back a bit that says whether another node may have it; only entries that may be shared are moved in
+full. What sets are needed for is worked out on numbers of nodes, and the sets are joined last.
+
 Words are runs of ``[^\\x20\\x09-\\x0D]``, A-Z lower-cased. Sets hold 48 bits of a 64-bit hash; nodes are named by 64
 bits of a hash of the set.
 
@@ -29,7 +34,7 @@ different groups. An empty table gives an empty result. Further columns are igno
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +51,12 @@ WORDS = 5
 BLOCK = 512
 MAP_BITS = 26
 SPLIT = 400
+# Nodes packed into one row of the index, and about how many entries a task compares at once.
+PACKED, ENTRIES = 10_000, 1 << 20
+# Rows of an open entry that one task compares, and rows of many open entries that make a group.
+OPEN, ROWS = 1 << 14, 1 << 14
+# So many products of two numbers take the time of comparing two sets.
+PRODUCTS = 300_000
 
 _rng = np.random.default_rng(1234)
 _FACTORS = _rng.integers(1 << 31, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -141,11 +152,7 @@ def _in_slices(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, in
 
 
 def features(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, place (hash of the text), n_shingles, node (null for an empty set), entries."""
-    kinds = {
-        "doc_id": pa.int64(), "place": pa.int64(), "n_shingles": pa.int64(), "node": pa.int64(),
-        "entries": pa.list_(pa.int64()), "sketch": pa.binary(),
-    }
+    """doc_id, place (hash of the text), n_shingles, node (null for an empty set), signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,27 +163,107 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                 # Sets of three or fewer can only be similar to equal ones, which are the same node: the nearest other set
                 # has one more shingle, or one less.
                 some = [i for i in full if 100 * len(sets[i]) >= PERCENT * (len(sets[i]) + 1)]
-                keys: list = [[]] * len(sets)
-                sketches: list = [None] * len(sets)
+                signed: list = [None] * len(sets)
                 if some:
-                    signed = signatures([sets[i] for i in some])
-                    for i, row, sketch in zip(some, entries(signed), _sketches(signed)):
-                        keys[i], sketches[i] = row, sketch.tobytes()
+                    for i, row in zip(some, signatures([sets[i] for i in some])):
+                        signed[i] = row.astype("<u2").tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(begin, end - begin),
                         batch.column(1).slice(begin, end - begin),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                        pa.array(keys, kinds["entries"]),
-                        pa.array(sketches, kinds["sketch"]),
+                        pa.array(signed, pa.binary()),
                     ],
-                    names=list(kinds),
+                    names=["doc_id", "place", "n_shingles", "node", "signature"],
                 )
 
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, place long, n_shingles long, node long, entries array<long>, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, place long, n_shingles long, node long, signature binary")
+
+
+def _signed(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u2").reshape(-1, VALUES).astype(np.uint16)
+
+
+def _index(found: DataFrame) -> DataFrame:
+    """The signatures of all nodes, some thousand to a row: chunk (the first node), n, nodes, signatures. A node is in one row."""
+    nodes = found.where("signature is not null").groupBy("node").agg(F.min("signature").alias("signature"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, PACKED):
+                node, signature = (batch.column(c).slice(begin, PACKED).to_pylist() for c in (0, 1))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "chunk": pa.array(node[:1], pa.int64()), "n": pa.array([len(node)], pa.int64()),
+                        "nodes": pa.array([np.array(node, "<i8").tobytes()], pa.binary()),
+                        "signatures": pa.array([b"".join(signature)], pa.binary()),
+                    }
+                )
+
+    return nodes.select("node", "signature").mapInArrow(pack, "chunk long, n long, nodes binary, signatures binary")
+
+
+def _keys(raw: bytes, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a row's signatures: the entries; their distinct keys, sorted; which key each entry has; which keys come more than
+    once; where the keys of each part begin and end. A key is the entry's part, and 32 bits of the entry."""
+    entry = entries(_signed(raw)).ravel()
+    plain = entry.view(np.uint64)
+    key = (plain >> np.uint64(32)) % np.uint64(parts) << np.uint64(32) | plain & np.uint64(0xFFFFFFFF)
+    keys, at, times = np.unique(key, return_inverse=True, return_counts=True)
+    return entry, keys, at, times > 1, np.searchsorted(keys, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
+
+
+def _entered(index: DataFrame) -> DataFrame:
+    """(entry, node) for every entry that another node has too, and for some that only share a key with another entry.
+
+    The number of parts follows the number of entries, so how many keys coincide by chance does not grow: one in 4,000.
+    A key that many nodes have comes once from each row of the index.
+    """
+    parts = max(1, -(-VALUES * (index.agg(F.sum("n")).first()[0] or 0) // ENTRIES))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, raw in zip(*(batch.column(c).to_pylist() for c in (0, 1))):
+                _, keys, _, again, cuts = _keys(raw, parts)
+                low = keys.astype("<u4")
+                some = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "part": pa.array(some, pa.int64()), "chunk": pa.array([chunk] * len(some), pa.int64()),
+                        "keys": pa.array([low[cuts[p] : cuts[p + 1]].tobytes() for p in some], pa.binary()),
+                        "again": pa.array([np.packbits(again[cuts[p] : cuts[p + 1]]).tobytes() for p in some], pa.binary()),
+                    }
+                )
+
+    def meet(group: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(k, "<u4") for k in group.column("keys").to_pylist()]
+        again = [np.unpackbits(np.frombuffer(a, np.uint8), count=len(k)) for a, k in zip(group.column("again").to_pylist(), keys)]
+        every, shared = np.concatenate(keys), np.concatenate(again).astype(bool)
+        order = np.argsort(every, kind="stable")
+        same = every[order[1:]] == every[order[:-1]]
+        shared[order[1:][same]] = True
+        shared[order[:-1][same]] = True
+        ends = np.cumsum([len(k) for k in keys])
+        bits = [np.packbits(shared[e - len(k) : e]).tobytes() for e, k in zip(ends, keys)]
+        return pa.table({"chunk": group.column("chunk"), "part": group.column("part"), "shared": pa.array(bits, pa.binary())})
+
+    def take(rows: pa.Table, bits: pa.Table) -> pa.Table:
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        for nodes, raw in zip(rows.column("nodes").to_pylist(), rows.column("signatures").to_pylist()):
+            entry, keys, at, _, cuts = _keys(raw, parts)
+            shared = np.zeros(len(keys), bool)
+            for p, b in zip(bits.column("part").to_pylist(), bits.column("shared").to_pylist()):
+                shared[cuts[p] : cuts[p + 1]] = np.unpackbits(np.frombuffer(b, np.uint8), count=int(cuts[p + 1] - cuts[p]))
+            kept = shared[at]
+            found.append((entry[kept], np.repeat(np.frombuffer(nodes, "<i8"), VALUES)[kept]))
+        return pa.table({name: pa.array(np.concatenate([f[i] for f in found]), pa.int64()) for i, name in enumerate(("entry", "node"))})
+
+    sent = index.select("chunk", "signatures").mapInArrow(send, "part long, chunk long, keys binary, again binary")
+    told = sent.groupBy("part").applyInArrow(meet, "chunk long, part long, shared binary")
+    return index.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(take, "entry long, node long")
 
 
 def _sketches(signature: np.ndarray) -> np.ndarray:
@@ -185,10 +272,29 @@ def _sketches(signature: np.ndarray) -> np.ndarray:
     return low[:, ::2] << 4 | low[:, 1::2]
 
 
-def _plausible(pairs: DataFrame, found: DataFrame) -> DataFrame:
+def _apart(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """In how many values sketches differ."""
+    differ = one ^ two
+    return ((differ & 15) > 0).sum(1) + (differ > 15).sum(1)
+
+
+def _node_sketches(index: DataFrame) -> DataFrame:
+    """node, sketch."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for nodes, raw in zip(*(batch.column(c).to_pylist() for c in (0, 1))):
+                sketch = [s.tobytes() for s in _sketches(_signed(raw))]
+                yield pa.RecordBatch.from_pydict(
+                    {"node": pa.array(np.frombuffer(nodes, "<i8"), pa.int64()), "sketch": pa.array(sketch, pa.binary())}
+                )
+
+    return index.select("nodes", "signatures").mapInArrow(unpack, "node long, sketch binary")
+
+
+def _plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (first, last) of nodes whose sketches differ in at most DISTANCE values. Signatures within the distance
     always do, so no candidate is lost."""
-    sketches = found.where("sketch is not null").groupBy("node").agg(F.min("sketch").alias("sketch"))
     both = pairs.join(sketches.select(F.col("node").alias("first"), F.col("sketch").alias("one")), "first").join(
         sketches.select(F.col("node").alias("last"), F.col("sketch").alias("two")), "last"
     )
@@ -196,9 +302,7 @@ def _plausible(pairs: DataFrame, found: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, VALUES // 2) for c in ("one", "two"))
-            differ = one ^ two
-            apart = ((differ & 15) > 0).sum(1) + (differ > 15).sum(1)
-            yield batch.select(["first", "last"]).filter(pa.array(apart <= DISTANCE))
+            yield batch.select(["first", "last"]).filter(pa.array(_apart(one, two) <= DISTANCE))
 
     return both.select("first", "last", "one", "two").mapInArrow(keep, "first long, last long")
 
@@ -244,19 +348,16 @@ def _links(pairs: list[tuple[int, int]]) -> pa.Table:
     return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], schema=LINK)
 
 
-def _stars(sets: DataFrame) -> DataFrame:
-    """Confirmed links between nodes and the first node of their star. ``sets``: node, first, members.
+def _stars(firsts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links between nodes and the first node of their star. ``firsts``: node, first; ``sets``: node, members.
 
     A star of more than SPLIT nodes is dealt over several groups, each with a copy of its first node.
     """
-    size = sets.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / SPLIT).cast("int").alias("_parts")).where("_parts > 1")
-    centres = sets.join(sets.select(F.col("first").alias("node")).distinct(), "node", "left_semi")
-    around = sets.where("node <> first").join(size, "first", "left").select(
-        "first", F.pmod("node", F.coalesce("_parts", F.lit(1))).cast("int").alias("part"), "node", "members"
-    )
-    inside = centres.select(F.col("node").alias("first"), "node", "members").join(size, "first", "left").select(
-        "first", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("part"), "node", "members"
-    )
+    outer = firsts.where("node <> first")
+    size = outer.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / SPLIT).cast("int").alias("_parts"))
+    around = outer.join(size, "first").select("first", F.pmod("node", F.col("_parts")).cast("int").alias("part"), "node")
+    inside = size.select("first", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"), F.col("first").alias("node"))
+    dealt = around.unionByName(inside).join(sets, "node").select("first", "part", "node", "members")
 
     def confirm(group: pa.Table) -> pa.Table:
         first = group.column("first")[0].as_py()
@@ -266,17 +367,89 @@ def _stars(sets: DataFrame) -> DataFrame:
         centre = _unpack(members[nodes.index(first)])
         return _links([(first, n) for n, m in zip(nodes, members) if n != first and similar(centre, _unpack(m))])
 
-    return around.unionByName(inside).groupBy("first", "part").applyInArrow(confirm, "a long, b long")
+    return dealt.groupBy("first", "part").applyInArrow(confirm, "a long, b long")
+
+
+def _reached(comps: np.ndarray, close: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Pairs of close rows of different components, enough to join all components that close rows join: one for each
+    component that a row reaches for the first time, or again. ``close`` tells which of some rows are close to a row."""
+    left = np.arange(len(comps))
+    while len(left):
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            i = queue.pop()
+            same = comps[left] == comps[i]
+            other = left[~same]
+            met = other[close(i, other)]
+            for k in np.unique(comps[met], return_index=True)[1]:
+                yield i, int(met[k])
+            queue += left[same].tolist() + met.tolist()
+            left = np.setdiff1d(other, met, assume_unique=True)
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Confirmed links between components of a cluster. ``members``: cluster, comp, node, members.
+def _near(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Links (a, b) between components that have plausible nodes in one open entry, enough to join all those that are
+    joined so. ``rows``: entry, node, comp, n (rows of the entry).
+
+    Rows of an entry with more than OPEN are cut into parts, and every two parts compared. Entries are compared many at a time.
+    """
+    parts = rows.withColumn("_parts", F.ceil(F.col("n") / OPEN).cast("long")).withColumn("_part", F.pmod("node", F.col("_parts")))
+    dealt = parts.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).select(
+        "entry", F.least("_part", "_other").alias("one"), F.greatest("_part", "_other").alias("two"), "node", "comp"
+    )
+    groups = max(1, rows.count() // ROWS)
+    put = dealt.withColumn("_group", F.pmod(F.xxhash64("entry", "one", "two"), F.lit(groups)))
+
+    def join(group: pa.Table) -> pa.Table:
+        entry, one, two, comps = (group.column(c).to_numpy() for c in ("entry", "one", "two", "comp"))
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, VALUES // 2)
+        order = np.lexsort((two, one, entry))
+        new = np.any([x[order[1:]] != x[order[:-1]] for x in (entry, one, two)], axis=0)
+        begin = np.r_[0, np.flatnonzero(new) + 1]
+        size = np.diff(np.r_[begin, len(order)])
+        i, j = order[begin[size == 2]], order[begin[size == 2] + 1]
+        close = (comps[i] != comps[j]) & (_apart(sketch[i], sketch[j]) <= DISTANCE)
+        i, j = comps[i[close]], comps[j[close]]
+        found = set(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist()))
+        for b, n in zip(begin[size > 2], size[size > 2]):
+            at = order[b : b + n]
+            some, drawn = comps[at], sketch[at]
+            for i, j in _reached(some, lambda i, others: _apart(drawn[i], drawn[others]) <= DISTANCE):
+                found.add((int(min(some[i], some[j])), int(max(some[i], some[j]))))
+        return _links(list(found))
+
+    return put.join(sketches, "node").groupBy("_group").applyInArrow(join, "a long, b long").distinct()
+
+
+def _columns(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Members that two sets or more have: their columns, sorted, whose they are, and how many columns there are."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    held = np.flatnonzero((times > 1)[at])
+    column = (np.cumsum(times > 1) - 1)[at[held]]
+    order = np.argsort(column, kind="stable")
+    return column[order], owner[held][order], int((times > 1).sum())
+
+
+def _common(n: int, column: np.ndarray, owner: np.ndarray, columns: int, width: int = 4096) -> np.ndarray:
+    """How many members each two of ``n`` sets have in common, as products of some columns at a time."""
+    both = np.zeros((n, n), np.int64)
+    for begin in range(0, columns, width):
+        first, last = np.searchsorted(column, (begin, begin + width))
+        part = np.zeros((n, width), np.float32)
+        part[owner[first:last], column[first:last] - begin] = 1
+        both += (part @ part.T).astype(np.int64)
+    return both
+
+
+def _blocks(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links between components of a cluster. ``nodes``: cluster, comp, node; ``sets``: node, members.
 
     Components of more than BLOCK nodes are cut into blocks that are not compared with one another; all others of the
     cluster are pooled, and cut into blocks that are. Every pair of blocks that may hold a link is one group.
     """
-    sizes = members.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("_n"))
-    placed = members.join(sizes, ["cluster", "comp"]).withColumn("own", F.when(F.col("_n") > BLOCK, F.col("comp"))).drop("_n")
+    sizes = nodes.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("_n"))
+    placed = nodes.join(sizes, ["cluster", "comp"]).withColumn("own", F.when(F.col("_n") > BLOCK, F.col("comp"))).drop("_n")
     parts = placed.groupBy("cluster", "own").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_parts"))
     cells = parts.select(
         "cluster", F.coalesce(F.col("own").cast("string"), F.lit("pool")).alias("own"), "_parts",
@@ -296,8 +469,9 @@ def _blocks(members: DataFrame) -> DataFrame:
         .join(cells.select("cluster", "own", "_parts").distinct(), ["cluster", "own"])
         .withColumn("part", F.pmod("node", F.col("_parts")).cast("int"))
         .join(ways, ["cluster", "own", "part"])
-        .select("cluster", "one", "two", "comp", "node", "members")
+        .select("cluster", "one", "two", "comp", "node")
     )
+    dealt = materialize(dealt, "near-dealt")
 
     def compare(group: pa.Table) -> pa.Table:
         nodes, comps = (np.array(group.column(c).to_pylist(), np.int64) for c in ("node", "comp"))
@@ -307,39 +481,34 @@ def _blocks(members: DataFrame) -> DataFrame:
         apart = np.zeros((len(n), len(n)), np.uint8)
         for k in range(VALUES):
             apart += signature[:, k, None] != signature[None, :, k]
-        open_ = np.triu((apart <= DISTANCE) & (comps[:, None] != comps[None]), 1)
+        open_ = (apart <= DISTANCE) & (comps[:, None] != comps[None])
         open_ &= 100 * np.minimum(n[:, None], n[None]) >= PERCENT * np.maximum(n[:, None], n[None])
-        one, two = np.nonzero(open_)
-        root = {c: c for c in comps.tolist()}
-
-        def top(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
+        # Many pairs are confirmed by one product, few pairs of long sets one by one.
+        column, owner, columns = _columns(sets)
+        if open_.sum() * PRODUCTS > len(n) ** 2 * columns:
+            both = _common(len(n), column, owner, columns)
+            open_ &= 100 * both >= PERCENT * (n[:, None] + n[None] - both)
+            sure = lambda i, others: open_[i, others]
+        else:
+            sure = lambda i, others: np.array([bool(open_[i, j]) and similar(sets[i], sets[j]) for j in others], bool)
+        return _links([(int(nodes[i]), int(nodes[j])) for i, j in _reached(comps, sure)])
 
-        found = []
-        for k in np.argsort(apart[one, two], kind="stable"):
-            i, j = one[k], two[k]
-            x, y = top(int(comps[i])), top(int(comps[j]))
-            if x != y and similar(sets[i], sets[j]):
-                root[x] = y
-                found.append((int(nodes[i]), int(nodes[j])))
-        return _links(found)
-
-    return dealt.groupBy("cluster", "one", "two").applyInArrow(compare, "a long, b long")
+    held = _may_be_in(sets, dealt, "node").join(dealt, "node").select("cluster", "one", "two", "comp", "node", "members")
+    return held.groupBy("cluster", "one", "two").applyInArrow(compare, "a long, b long")
 
 
 def _components(docs: DataFrame, words: int) -> DataFrame:
     """Per document: doc_id, place (hash of the text), n_shingles, comp (null for an empty set)."""
     found = materialize(features(docs, words), "near-features")
-    entered = found.where("node is not null").select("node", F.explode("entries").alias("entry"))
+    index = materialize(_index(found), "near-index")
+    entered = materialize(_entered(index), "near-entered")
+    sketches = _node_sketches(index)
     shared = entered.groupBy("entry").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     met = materialize(entered.join(shared, "entry"), "near-met")
     # Most entries that two nodes alone share are chance: such pairs are looked at once, in a short form of the signatures.
     many = met.where("node <> first and node <> last").select("entry").distinct()
     two = met.where("node = first").select("entry", "first", "last").join(many, "entry", "left_anti")
-    pairs = two.join(_plausible(two.select("first", "last").distinct(), found), ["first", "last"])
+    pairs = two.join(_plausible(two.select("first", "last").distinct(), sketches), ["first", "last"])
     held = materialize(
         met.join(many, "entry", "left_semi").select("entry", "node", "first").unionByName(
             pairs.select("entry", F.explode(F.array("first", "last")).alias("node"), "first")
@@ -349,18 +518,16 @@ def _components(docs: DataFrame, words: int) -> DataFrame:
     first = held.groupBy("node").agg(F.min("first").alias("first"))
     place = found.where("node is not null").groupBy("node").agg(F.min("place").alias("place"))
     wanted = materialize(first.join(place, "node"), "near-wanted")
-    sets = materialize(_sets(docs, wanted, words), "near-sets")
-    stars = materialize(_stars(sets), "near-stars")
+    sets = materialize(_sets(docs, wanted.select("node", "place"), words), "near-sets")
+    stars = materialize(_stars(wanted.select("node", "first"), sets), "near-stars")
     comps = connected(stars)
     # A node without a confirmed link is a component of its own.
     named = held.select("entry", "node").join(comps, "node", "left").select("entry", "node", F.coalesce("label", "node").alias("comp"))
-    open_ = named.groupBy("entry").agg(F.min("comp").alias("a"), F.max("comp").alias("last")).where("a < last").select("entry", "a")
-    near = materialize(
-        named.select("entry", F.col("comp").alias("b")).join(open_, "entry").where("a <> b").select("a", "b").distinct(), "near-open"
-    )
-    clusters = connected(near).select(F.col("node").alias("comp"), F.col("label").alias("cluster"))
-    with_comp = sets.join(comps, "node", "left").select("node", "members", F.coalesce("label", "node").alias("comp"))
-    more = materialize(_blocks(with_comp.join(clusters, "comp")), "near-links")
+    open_ = named.groupBy("entry").agg(F.min("comp").alias("_a"), F.max("comp").alias("_z"), F.count(F.lit(1)).alias("n"))
+    rows = materialize(named.join(open_.where("_a < _z").select("entry", "n"), "entry"), "near-open")
+    clusters = connected(materialize(_near(rows, sketches), "near-plausible")).select(F.col("node").alias("comp"), F.col("label").alias("cluster"))
+    nodes = rows.select("node", "comp").distinct().join(clusters, "comp")
+    more = materialize(_blocks(nodes, sets), "near-links")
     labels = connected(stars.unionByName(more))
     return found.join(labels, "node", "left").select("doc_id", "place", "n_shingles", F.coalesce("label", "node").alias("comp"))
 

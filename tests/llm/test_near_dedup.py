@@ -162,3 +162,91 @@ def test_fewer_links_keep_the_components(spark):
     assert less.count() < 1000
     for some in (table, less):
         assert {r.node: r.label for r in connected(some).collect()} == {x: find(x) for x in root if any(x in p and p[0] != p[1] for p in links)}
+
+
+def _chance(spark, n=400, words=30, vocabulary=160):
+    """Texts of common words: many share entries by chance, and few are near."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{int(vocabulary * rng.random() ** 2)}" for _ in range(words))) for i in range(n)]
+    rows += [(n + i, rows[i][1] + " end") for i in range(20)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_entries_shared_by_chance_join_no_clusters(spark, monkeypatch):
+    """What is compared in blocks, each block with each, must not grow with chance meetings: nodes within the distance only."""
+    rows, df = _chance(spark)
+    seen = []
+    monkeypatch.setattr(nd, "_blocks", lambda nodes, *more, put=nd._blocks: seen.append(nodes.count()) or put(nodes, *more))
+    assert sorted(map(tuple, nd.near_groups(df, 1).collect()), key=repr) == brute(rows, 1)
+    sets = {nd._node(s): s for s in (nd.shingle_set(t, 1) for _, t in rows)}
+    sketch = nd._sketches(nd.signatures(list(sets.values())))
+    near = np.array([(nd._apart(s[None], sketch) <= nd.DISTANCE).sum() > 1 for s in sketch])
+    assert 0 < near.sum() < len(sets) / 2 and seen[0] <= near.sum()
+
+
+def test_entries_that_may_be_shared_are_all_those_shared(spark, monkeypatch):
+    monkeypatch.setattr(nd, "PACKED", 50)
+    monkeypatch.setattr(nd, "ENTRIES", 3000)
+    rows, df = _chance(spark)
+    found = nd.features(df.unionAll(df), 1)
+    assert "entries" not in found.columns
+    sets = {nd._node(s): s for s in (nd.shingle_set(t, 1) for _, t in rows)}
+    owners = {}
+    for node, row in zip(sets, nd.entries(nd.signatures(list(sets.values())))):
+        for e in row.tolist():
+            owners.setdefault(e, set()).add(node)
+    shared = {(e, n) for e, some in owners.items() if len(some) > 1 for n in some}
+    got = [tuple(r) for r in nd._entered(nd._index(found)).collect()]
+    assert len(got) == len(set(got)) and shared <= set(got)
+    assert len(shared) < len(owners) / 2 and len(got) < 1.01 * len(shared) + 10
+    assert nd._entered(nd._index(found.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("most", [4, 1 << 14])
+def test_near_nodes_of_open_entries_join_their_components(spark, monkeypatch, most):
+    """Large entries are compared in parts; what is joined is what all plausible pairs join."""
+    monkeypatch.setattr(nd, "OPEN", most)
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 256, (6, nd.VALUES // 2)).astype(np.uint8)
+    sketch = base[rng.integers(0, 6, 60)]
+    sketch = np.where(rng.random(sketch.shape) < 0.25, rng.integers(0, 256, sketch.shape), sketch).astype(np.uint8)
+    comp = [int(rng.integers(0, 25)) for _ in range(60)]
+    rows = [(e, i, comp[i]) for e in range(12) for i in rng.choice(60, 2 + 2 * e, replace=False).tolist()]
+    sizes = {e: 2 + 2 * e for e in range(12)}
+    frame = spark.createDataFrame([(*r, sizes[r[0]]) for r in rows], "entry long, node long, comp long, n long")
+    sketches = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sketch)], "node long, sketch binary")
+
+    def joined(links):
+        root = {c: c for c in comp}
+
+        def top(c):
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        for a, b in links:
+            root[max(top(a), top(b))] = min(top(a), top(b))
+        return {c: top(c) for c in comp}
+
+    every = [
+        (comp[i], comp[j]) for e in sizes for x, i, _ in rows for y, j, _ in rows
+        if x == y == e and i < j and nd._apart(sketch[i][None], sketch[j][None])[0] <= nd.DISTANCE
+    ]
+    want = joined(every)
+    assert 1 < len(set(want.values())) < len(set(comp))
+    assert joined([tuple(r) for r in nd._near(frame, sketches).collect()]) == want
+
+
+def test_common_members_are_counted():
+    rng = np.random.default_rng(7)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(30)]
+    column, owner, columns = nd._columns(sets)
+    both = nd._common(30, column, owner, columns, width=64)
+    assert all(both[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(30) for j in range(30) if i != j)
+
+
+def test_blocks_confirm_alike_in_either_way(spark, monkeypatch):
+    rows, df = _chance(spark, 150, 20, 60)
+    for products in (0, 1 << 60):
+        monkeypatch.setattr(nd, "PRODUCTS", products)
+        assert sorted(map(tuple, nd.near_groups(df, 1).collect()), key=repr) == brute(rows, 1)
