@@ -7,14 +7,19 @@ to one task; ``load_large_csv`` splits such files, and ``multi_line=False`` thos
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import fnmatch
+import os
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, redact_pii
-from ..operators.ordering import row_ordinals
+from ..operators.ordering import rank_rows, row_ordinals
+from ..runtime import materialize, spread
 from .sinks import has_batches
 from .split_csv import read_split_csv
 
@@ -23,9 +28,12 @@ TEXT_COLUMNS = ("Resume_str", "resume_str", "resume_text", "Resume", "resume", "
 ID_COLUMNS = ("ID", "id", "Id", "resume_id")
 CATEGORY_COLUMNS = ("Category", "category")
 
-TEXT_FILES = "*.[tT][xX][tT]"
+TEXT_FILES = ("*.[tT][xX][tT]",)
 # Documents in these formats count as candidates too, but nothing here decodes them.
-UNREAD_FILES = "*.{[pP][dD][fF],[dD][oO][cC][xX]}"
+UNREAD_FILES = ("*.[pP][dD][fF]", "*.[dD][oO][cC][xX]")
+
+# Names listed at a time, and bytes of contents held at a time; larger files come one by one.
+_LISTED, _HELD = 10_000, 8 << 20
 
 # Sources below each other: the number of the source above, the position in it below.
 _SOURCE_BITS = 48
@@ -81,14 +89,93 @@ def load_large_csv(spark: SparkSession, path: str | list[str], redact: bool = Tr
     return prepare_text(resolve_columns(read_split_csv(spark, path), "pos"), redact)
 
 
-def read_files(spark: SparkSession, folder: str, names: str = TEXT_FILES) -> DataFrame:
-    """``(path, content)`` of the files directly in ``folder`` whose name matches; other files are not opened."""
-    files = spark.read.format("binaryFile").options(recursiveFileLookup="false", pathGlobFilter=names)
+def _local_folder(spark: SparkSession, folder: str) -> str | None:
+    """``file:`` and the full path, if ``folder`` is a folder on disk; None for a file, a pattern or any other store."""
+    if re.search(r"[*?\[\]{}\\]", folder):
+        return None
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    full = store.makeQualified(path)
+    return f"file:{full.toUri().getPath()}" if full.toUri().getScheme() == "file" and store.isDirectory(full) else None
+
+
+def _listed(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
+    """``(path, place)`` of the files directly in a folder on disk whose name matches, as a task walks over them.
+
+    Nothing holds all names: Spark's reader keeps an entry for every file on the driver, of whatever name. Like there,
+    empty files and names that begin with a dot or an underscore are left out, and ``place``, the name as in a link, gives the order.
+    """
+    wanted = re.compile("|".join(map(fnmatch.translate, names)))
+    hidden = re.compile(r"\.|_[^=]*$|.*\._COPYING_$", re.DOTALL)
+    base = folder.rstrip("/") + "/"
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(found: list[str]) -> pa.RecordBatch:
+            place = [re.sub(r'[\x00-\x20"#%<>?\[\\\]^`{|}\x7f]', lambda m: f"%{ord(m[0]):02X}", name) for name in found]
+            return pa.RecordBatch.from_pydict({"path": pa.array([base + n for n in found], pa.string()), "place": pa.array(place, pa.string())})
+
+        for _ in batches:
+            found: list[str] = []
+            with os.scandir(base.removeprefix("file:")) as files:
+                for file in files:
+                    if wanted.match(file.name) and not hidden.match(file.name) and file.is_file() and file.stat().st_size:
+                        found.append(file.name)
+                        if len(found) == _LISTED:
+                            yield packed(found)
+                            found = []
+            yield packed(found)
+
+    return spark.range(0, 1, 1, 1).mapInArrow(walk, "path string, place string")
+
+
+def _with_contents(files: DataFrame) -> DataFrame:
+    """``files`` on disk with the ``content`` at each ``path``, read by the tasks that the paths are dealt to."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(batch: pa.RecordBatch, begin: int, found: list[bytes]) -> pa.RecordBatch:
+            held = batch.slice(begin, len(found))
+            return pa.RecordBatch.from_arrays([*held.columns, pa.array(found, pa.binary())], names=[*held.schema.names, "content"])
+
+        for batch in batches:
+            begin, found, size = 0, [], 0
+            for path in batch.column("path").to_pylist():
+                with open(path.removeprefix("file:"), "rb") as file:
+                    found.append(file.read())
+                size += len(found[-1])
+                if size >= _HELD:
+                    yield packed(batch, begin, found)
+                    begin, found, size = begin + len(found), [], 0
+            yield packed(batch, begin, found)
+
+    return spread(files, "path").mapInArrow(read, ", ".join(f"{c} {kind}" for c, kind in files.dtypes) + ", content binary")
+
+
+def _by_spark(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
+    files = spark.read.format("binaryFile").options(recursiveFileLookup="false", pathGlobFilter="{" + ",".join(names) + "}")
     return files.load(folder).select("path", "content")
 
 
+def read_files(spark: SparkSession, folder: str, names: Sequence[str] = TEXT_FILES) -> DataFrame:
+    """``(path, content)`` of the files directly in ``folder`` whose name matches; other files are not opened.
+
+    Files of a folder on disk are listed and read by tasks. Spark's reader serves other stores, and lists them on the driver.
+    """
+    local = _local_folder(spark, folder)
+    return _with_contents(_listed(spark, local, names).select("path")) if local else _by_spark(spark, folder, names)
+
+
+def _numbered_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``(pos, path, content)`` of the text files in ``folder``, in order of their paths. Numbering moves paths only."""
+    local = _local_folder(spark, folder)
+    if not local:
+        return row_ordinals(_by_spark(spark, folder, TEXT_FILES))
+    ranked = rank_rows(materialize(_listed(spark, local, TEXT_FILES), "listed"), [], [F.col("place")])
+    return _with_contents(ranked.select((F.col("rank") - 1).cast("long").alias("pos"), "path"))
+
+
 def _no_unread(spark: SparkSession, folder: str) -> None:
-    unread = read_files(spark, folder, UNREAD_FILES).select("path")
+    local = _local_folder(spark, folder)
+    unread = (_listed(spark, local, UNREAD_FILES) if local else _by_spark(spark, folder, UNREAD_FILES)).select("path")
     some = [r.path for r in unread.orderBy("path").limit(3).collect()]
     if some:
         raise ValueError(f"{unread.count()} files in {folder} are in formats that are not decoded, such as {some}")
@@ -117,7 +204,7 @@ def load_folder(spark: SparkSession, folder: str, redact: bool = True) -> DataFr
     Files that would be documents but cannot be decoded are an error, not left out.
     """
     _no_unread(spark, folder)
-    return prepare_text(text_files(row_ordinals(read_files(spark, folder))).select("pos", "id", "category", "text"), redact)
+    return prepare_text(text_files(_numbered_files(spark, folder)).select("pos", "id", "category", "text"), redact)
 
 
 def union_sources(sources: Sequence[DataFrame]) -> DataFrame:

@@ -48,6 +48,36 @@ def test_folder(spark, tmp_path):
     assert [(r.id, r.category, r.text) for r in rows] == [("a", "", "one\ntwo"), ("b.two", "", "café ok")]
 
 
+def test_a_folder_is_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    """As Spark's reader does it, but nothing about a file is held on the driver; many files, odd names, files not wanted."""
+    monkeypatch.setattr(readers, "_LISTED", 7)
+    monkeypatch.setattr(readers, "_HELD", 50)
+    inbox = tmp_path / "in box"
+    inbox.mkdir()
+    odd = ["a b.txt", "a!b.txt", "a%20b.txt", "é.txt", "_x.txt", "_x=1.txt", "_metadata.txt", ".h.txt", "a.b.TXT", "c.md", "x.txt._COPYING_", "[1].txt"]
+    for name in odd + [f"doc.{i}.txt" for i in range(40)]:
+        (inbox / name).write_text(f"text of {name}" * (1 + len(name) % 5))
+    (inbox / "deep.txt").mkdir()
+    (inbox / "link.txt").symlink_to(inbox / "c.md")
+    (inbox / "empty.txt").write_text("")
+    for folder in (str(inbox), f"file://{inbox}", f"file:{inbox}/"):
+        got = readers.read_files(spark, folder)
+        assert not got.inputFiles() and "binaryFile" not in plan_of(got)
+        assert sorted((r.path, bytes(r.content)) for r in got.collect()) == sorted(
+            (r.path, bytes(r.content)) for r in readers._by_spark(spark, folder, readers.TEXT_FILES).collect()
+        )
+        loaded = readers.load_folder(spark, folder, redact=False)
+        assert "binaryFile" not in plan_of(loaded)
+        old = readers.row_ordinals(readers._by_spark(spark, folder, readers.TEXT_FILES))
+        want = readers.prepare_text(readers.text_files(old), redact=False).select("pos", "id", "category", "text")
+        assert loaded.schema.simpleString() == want.schema.simpleString()
+        assert sorted(map(tuple, loaded.collect())) == sorted(map(tuple, want.collect()))
+    assert "binaryFile" in readers.read_files(spark, str(inbox / "a b.txt"))._jdf.queryExecution().toString()
+    assert [r.content for r in readers.read_files(spark, str(inbox / "doc.1.t*")).collect()] == [(inbox / "doc.1.txt").read_bytes()]
+    (tmp_path / "bare").mkdir()
+    assert readers.load_folder(spark, str(tmp_path / "bare")).count() == 0
+
+
 def test_positions_follow_files_not_tasks(spark, tmp_path):
     """A small file first: Spark packs the larger one into the first task."""
     (tmp_path / "a.csv").write_text("text\nfirst\n")
